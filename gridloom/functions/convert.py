@@ -10,12 +10,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-NUMBER_SHAPE = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
-DATE_SHAPE = r"[0-9]{4}(-[0-9]{1,2}-|/[0-9]{1,2}/| [0-9]{1,2} |\\[0-9]{1,2}\\)[0-9]{1,2}"
-CLOCK_SHAPE = r"([01]?[0-9]|2[0-3]):[0-5]?[0-9](:[0-5]?[0-9](\.[0-9]+)?)?"
-ZONE_SUFFIX = " ?(Z|UTC)$"
-ISO_SHAPE = rf"^{DATE_SHAPE}([ T]{CLOCK_SHAPE}( ?(Z|UTC))?)?$"
-TIME_SHAPE = rf"^{CLOCK_SHAPE}( ?(Z|UTC))?$"
+NUMBER = r"[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?"
+DAY = r"[0-9]{4}(?:-[0-9]{1,2}-|/[0-9]{1,2}/| [0-9]{1,2} |\\[0-9]{1,2}\\)[0-9]{1,2}"
+CLOCK = r"(?:[01]?[0-9]|2[0-3]):[0-5]?[0-9](?::[0-5]?[0-9](?:\.[0-9]+)?)?"
+ZONE = "(?: ?(?:Z|UTC))?"
 
 # Accepted spellings of yes and no, and the spreadsheet epoch.
 TRUE_TOKENS = ("Y", "YES", "TRUE", "T", "1")
@@ -26,9 +24,17 @@ MICROS_PER_DAY = 86_400_000_000
 FIRST_SERIAL, LAST_SERIAL = -693_593, 2_958_465  # 0001-01-01 and 9999-12-31
 
 
+def _only(c: Column, pattern: str) -> Column:
+    """The first group of ``pattern`` where it matches, else empty text, which no cast accepts.
+
+    The value is named once, so expressions stay small however often they are nested.
+    """
+    return F.regexp_extract(c, pattern, 1)
+
+
 def numeric(c: Column) -> Column:
     """Plain decimal or exponent text to double; anything else NULL."""
-    return F.when(c.rlike(NUMBER_SHAPE), F.trim(c).try_cast("double"))
+    return _only(c, f"^({NUMBER})$").try_cast("double")
 
 
 def serial(c: Column) -> Column:
@@ -41,36 +47,34 @@ def serial_to_date(days: Column) -> Column:
     return F.date_add(F.lit(SERIAL_EPOCH).cast("date"), days.try_cast("int"))
 
 
-def _iso(c: Column, target: str) -> Column:
-    """Year-first text, any of the four separators, with or without a clock, to ``target``."""
-    dashed = F.regexp_replace(c, r"^([0-9]{4})[-/ \\]([0-9]{1,2})[-/ \\]([0-9]{1,2})", "$1-$2-$3")
-    bare = F.regexp_replace(dashed, ZONE_SUFFIX, "")
-    return F.when(c.rlike(ISO_SHAPE), bare.try_cast(target))
+def year_first_date(c: Column) -> Column:
+    """Year-first text with any of the four separators; a valid clock may follow."""
+    day = _only(c, f"^({DAY})(?:[ T]{CLOCK}{ZONE})?$")
+    return F.translate(day, "/ \\", "---").try_cast("date")
 
 
-def date_from_groups(c: Column, pattern: str, year: int, month: int, day: int, century: bool = False) -> Column:
-    """Date from three groups of ``pattern``; impossible dates give NULL."""
-    number = F.lpad(F.regexp_extract(c, pattern, year), 4, "0")
-    if century:
-        short = F.regexp_extract(c, pattern, year)
-        number = F.concat(F.when(short < "69", F.lit("20")).otherwise(F.lit("19")), short)
-    text = F.concat_ws("-", number, F.regexp_extract(c, pattern, month), F.regexp_extract(c, pattern, day))
-    return F.when(c.rlike(pattern), text.try_cast("date"))
+def year_first_datetime(c: Column) -> Column:
+    moment = _only(c, f"^({DAY}[ T]{CLOCK}|{DAY}(?=$)){ZONE}$")
+    dashed = F.regexp_replace(moment, r"^([0-9]{4})[/ \\]([0-9]{1,2})[/ \\]", "$1-$2-")
+    return dashed.try_cast("timestamp_ntz")
 
 
 def month_first_date(c: Column, literal_short_years: bool = False) -> Column:
     """``m/d/yyyy``, then ``m/d/yy`` (00-68 are 2000s). Text after the date is ignored."""
+    md = "[0-9]{1,2}/[0-9]{1,2}/"
     if literal_short_years:
-        return date_from_groups(c, r"^([0-9]{1,2})/([0-9]{1,2})/([0-9]{1,4})", 3, 1, 2)
-    return F.coalesce(
-        date_from_groups(c, r"^([0-9]{1,2})/([0-9]{1,2})/([0-9]{4})", 3, 1, 2),
-        date_from_groups(c, r"^([0-9]{1,2})/([0-9]{1,2})/([0-9]{2})([^0-9]|$)", 3, 1, 2, century=True),
-    )
+        short = _only(c, f"^({md}[0-9]{{1,4}})")
+        return F.regexp_replace(short, "^([0-9]+)/([0-9]+)/([0-9]+)$", "000$3-$1-$2").try_cast("date")
+    long = F.regexp_replace(_only(c, f"^({md}[0-9]{{4}})"), "^([0-9]+)/([0-9]+)/([0-9]+)$", "$3-$1-$2")
+    short = _only(c, f"^({md}[0-9]{{2}})(?![0-9])")
+    short = F.regexp_replace(short, "^([0-9]+)/([0-9]+)/([0-5][0-9]|6[0-8])$", "20$3-$1-$2")
+    short = F.regexp_replace(short, "^([0-9]+)/([0-9]+)/([0-9]{2})$", "19$3-$1-$2")
+    return F.coalesce(long.try_cast("date"), short.try_cast("date"))
 
 
 def to_date(c: Column, us_dates: bool = False) -> Column:
     """Year-first text, else a serial truncated to its day; ``us_dates`` also takes month/day/year."""
-    choices = [_iso(c, "date"), serial_to_date(serial(c))]
+    choices = [year_first_date(c), serial_to_date(serial(c))]
     if us_dates:
         choices.append(month_first_date(c))
     return F.coalesce(*choices)
@@ -80,25 +84,20 @@ def to_datetime(c: Column) -> Column:
     """Year-first text, else a serial with its day fraction rounded to the microsecond."""
     micros = F.round(serial(c) * F.lit(float(MICROS_PER_DAY))).try_cast("bigint")
     epoch = F.lit(f"{SERIAL_EPOCH} 00:00:00").cast("timestamp_ntz")
-    return F.coalesce(_iso(c, "timestamp_ntz"), F.timestamp_add("MICROSECOND", micros, epoch))
+    return F.coalesce(year_first_datetime(c), F.timestamp_add("MICROSECOND", micros, epoch))
 
 
 def to_time(c: Column) -> Column:
     """Clock text, the clock of year-first text, else a serial's day fraction, as ``HH:mm:ss[.ffffff]``."""
-    midnight = F.lit("2000-01-01 00:00:00").cast("timestamp_ntz")
-    own_clock = F.nullif(F.regexp_extract(c, "[ T]([0-9]{1,2}:.*)$", 1), F.lit(""))
-    clock = F.when(c.rlike(TIME_SHAPE), c).when(
-        _iso(c, "date").isNotNull(), F.coalesce(own_clock, F.lit("00:00"))
-    )
-    dated = F.concat(F.lit("2000-01-01 "), F.regexp_replace(clock, ZONE_SUFFIX, ""))
+    clock = F.concat(F.lit("2000-01-01 "), _only(c, f"^({CLOCK}){ZONE}$"))
     micros = F.round(F.pmod(numeric(c), F.lit(1.0)) * F.lit(float(MICROS_PER_DAY))).try_cast("bigint")
+    midnight = F.lit("2000-01-01 00:00:00").cast("timestamp_ntz")
     moment = F.coalesce(
-        dated.try_cast("timestamp_ntz"),
+        F.when(clock != "2000-01-01 ", clock.try_cast("timestamp_ntz")),
+        year_first_datetime(c),
         F.timestamp_add("MICROSECOND", F.pmod(micros, F.lit(MICROS_PER_DAY)), midnight),
     )
-    text = F.date_format(moment, "HH:mm:ss.SSSSSS")
-    # the dot anchors the match, so zeros of the seconds stay
-    return F.regexp_replace(text, r"(\.[0-9]*[1-9])0+$|\.0+$", "$1")
+    return F.substring(moment.cast("string"), 12, 15)
 
 
 def to_logical(c: Column) -> Column:

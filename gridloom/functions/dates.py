@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from gridloom.functions.convert import date_from_groups, month_first_date, serial, serial_to_date
+from gridloom.functions.convert import month_first_date, serial, serial_to_date
 from gridloom.functions.text import squish
 
 
@@ -18,8 +18,9 @@ def parse_date_ladder(c: Column, literal_short_years: bool = False) -> Column:
     year digits; the default reads it as 2024.
     """
     s = squish(c)
-    years = "{1,4}" if literal_short_years else "{4}"
-    year_first = date_from_groups(s, rf"^([0-9]{years})-([0-9]{{1,2}})-([0-9]{{1,2}})", 1, 2, 3)
+    years, pad = ("{1,4}", "000$1") if literal_short_years else ("{4}", "$1")
+    day = F.regexp_extract(s, f"^([0-9]{years}-[0-9]{{1,2}}-[0-9]{{1,2}})", 1)
+    year_first = F.regexp_replace(day, "^([0-9]+)", pad).try_cast("date")
     return F.coalesce(serial_to_date(F.floor(serial(s))), year_first, month_first_date(s, literal_short_years))
 
 
