@@ -24,17 +24,12 @@ MICROS_PER_DAY = 86_400_000_000
 FIRST_SERIAL, LAST_SERIAL = -693_593, 2_958_465  # 0001-01-01 and 9999-12-31
 
 
-def _only(c: Column, pattern: str) -> Column:
-    """The first group of ``pattern`` where it matches, else empty text, which no cast accepts.
+def numeric(c: Column) -> Column:
+    """Plain decimal or exponent text to double; anything else NULL.
 
-    The value is named once, so expressions stay small however often they are nested.
+    The shape test also keeps text from the cast, whose failures are far slower than the test.
     """
-    return F.regexp_extract(c, pattern, 1)
-
-
-def numeric(c: Column) -> Column:
-    """Plain decimal or exponent text to double; anything else NULL."""
-    return _only(c, f"^({NUMBER})$").try_cast("double")
+    return F.when(c.rlike(f"^{NUMBER}$"), c.try_cast("double"))
 
 
 def serial(c: Column) -> Column:
@@ -47,29 +42,36 @@ def serial_to_date(days: Column) -> Column:
     return F.date_add(F.lit(SERIAL_EPOCH).cast("date"), days.try_cast("int"))
 
 
+def _year_first(c: Column) -> Column:
+    """Cheap necessary test for year-first text: a separator after four characters."""
+    return F.substring(c, 5, 1).isin("-", "/", " ", "\\")
+
+
 def year_first_date(c: Column) -> Column:
     """Year-first text with any of the four separators; a valid clock may follow."""
-    day = _only(c, f"^({DAY})(?:[ T]{CLOCK}{ZONE})?$")
-    return F.translate(day, "/ \\", "---").try_cast("date")
+    day = F.regexp_extract(c, f"^({DAY})(?:[ T]{CLOCK}{ZONE})?$", 1)
+    return F.when(_year_first(c), F.translate(day, "/ \\", "---").try_cast("date"))
 
 
 def year_first_datetime(c: Column) -> Column:
-    moment = _only(c, f"^({DAY}[ T]{CLOCK}|{DAY}(?=$)){ZONE}$")
+    moment = F.regexp_extract(c, f"^({DAY}[ T]{CLOCK}|{DAY}(?=$)){ZONE}$", 1)
     dashed = F.regexp_replace(moment, r"^([0-9]{4})[/ \\]([0-9]{1,2})[/ \\]", "$1-$2-")
-    return dashed.try_cast("timestamp_ntz")
+    return F.when(_year_first(c), dashed.try_cast("timestamp_ntz"))
 
 
 def month_first_date(c: Column, literal_short_years: bool = False) -> Column:
     """``m/d/yyyy``, then ``m/d/yy`` (00-68 are 2000s). Text after the date is ignored."""
     md = "[0-9]{1,2}/[0-9]{1,2}/"
     if literal_short_years:
-        short = _only(c, f"^({md}[0-9]{{1,4}})")
-        return F.regexp_replace(short, "^([0-9]+)/([0-9]+)/([0-9]+)$", "000$3-$1-$2").try_cast("date")
-    long = F.regexp_replace(_only(c, f"^({md}[0-9]{{4}})"), "^([0-9]+)/([0-9]+)/([0-9]+)$", "$3-$1-$2")
-    short = _only(c, f"^({md}[0-9]{{2}})(?![0-9])")
-    short = F.regexp_replace(short, "^([0-9]+)/([0-9]+)/([0-5][0-9]|6[0-8])$", "20$3-$1-$2")
-    short = F.regexp_replace(short, "^([0-9]+)/([0-9]+)/([0-9]{2})$", "19$3-$1-$2")
-    return F.coalesce(long.try_cast("date"), short.try_cast("date"))
+        years = F.regexp_extract(c, f"^({md}[0-9]{{1,4}})", 1)
+        parsed = F.regexp_replace(years, "^([0-9]+)/([0-9]+)/([0-9]+)$", "000$3-$1-$2").try_cast("date")
+    else:
+        long = F.regexp_replace(F.regexp_extract(c, f"^({md}[0-9]{{4}})", 1), "^([0-9]+)/([0-9]+)/([0-9]+)$", "$3-$1-$2")
+        short = F.regexp_extract(c, f"^({md}[0-9]{{2}})(?![0-9])", 1)
+        short = F.regexp_replace(short, "^([0-9]+)/([0-9]+)/([0-5][0-9]|6[0-8])$", "20$3-$1-$2")
+        short = F.regexp_replace(short, "^([0-9]+)/([0-9]+)/([0-9]{2})$", "19$3-$1-$2")
+        parsed = F.coalesce(long.try_cast("date"), short.try_cast("date"))
+    return F.when(c.contains("/"), parsed)
 
 
 def to_date(c: Column, us_dates: bool = False) -> Column:
@@ -89,11 +91,11 @@ def to_datetime(c: Column) -> Column:
 
 def to_time(c: Column) -> Column:
     """Clock text, the clock of year-first text, else a serial's day fraction, as ``HH:mm:ss[.ffffff]``."""
-    clock = F.concat(F.lit("2000-01-01 "), _only(c, f"^({CLOCK}){ZONE}$"))
+    clock = F.regexp_extract(c, f"^({CLOCK}){ZONE}$", 1)
     micros = F.round(F.pmod(numeric(c), F.lit(1.0)) * F.lit(float(MICROS_PER_DAY))).try_cast("bigint")
     midnight = F.lit("2000-01-01 00:00:00").cast("timestamp_ntz")
     moment = F.coalesce(
-        F.when(clock != "2000-01-01 ", clock.try_cast("timestamp_ntz")),
+        F.when(c.contains(":"), F.concat(F.lit("2000-01-01 "), F.nullif(clock, F.lit(""))).try_cast("timestamp_ntz")),
         year_first_datetime(c),
         F.timestamp_add("MICROSECOND", F.pmod(micros, F.lit(MICROS_PER_DAY)), midnight),
     )

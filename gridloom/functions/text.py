@@ -29,8 +29,9 @@ ACCENTED, UNACCENTED = _accent_table()
 
 
 def squish(c: Column) -> Column:
-    """Collapse runs of whitespace to one space and trim."""
-    return F.trim(F.regexp_replace(c, r"\s+", " "))
+    """Collapse runs of whitespace to one space and trim. Text without such runs is only trimmed."""
+    uneven = c.rlike(r"[\t-\r]|  ")
+    return F.trim(F.when(uneven, F.regexp_replace(c, r"\s+", " ")).otherwise(c))
 
 
 def has_data(c: Column) -> Column:
@@ -39,9 +40,14 @@ def has_data(c: Column) -> Column:
 
 
 def clean_text(c: Column) -> Column:
-    """Canonical redaction mark, single spaces, trimmed; blank becomes NULL."""
-    marked = F.regexp_replace(c.cast("string"), WITHHELD_MARK, WITHHELD_CANONICAL)
-    return F.nullif(squish(marked), F.lit(""))
+    """Canonical redaction mark, single spaces, trimmed; blank becomes NULL.
+
+    Most values need no rewriting: one test for a bracket or uneven spacing spares them both.
+    """
+    c = c.cast("string")
+    rewritten = F.regexp_replace(F.regexp_replace(c, WITHHELD_MARK, WITHHELD_CANONICAL), r"\s+", " ")
+    text = F.trim(F.when(c.rlike(r"[(\t-\r]|  "), rewritten).otherwise(c))
+    return F.nullif(text, F.lit(""))
 
 
 def is_missing_token(c: Column) -> Column:

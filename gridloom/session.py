@@ -8,6 +8,11 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+# Method size above which the JVM stops compiling generated code; wide projections then run as several
+# small methods, which it does compile. Worth setting on a cluster too.
+RECOMMENDED_CONF = {"spark.sql.codegen.hugeMethodLimit": "8000"}
+
+
 def local_session(app: str = "gridloom", cores: int | str = "*", **conf: str) -> SparkSession:
     """Session for tests and the bench; on a cluster the session comes from spark-submit."""
     builder = (
@@ -19,8 +24,8 @@ def local_session(app: str = "gridloom", cores: int | str = "*", **conf: str) ->
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
     )
-    for key, value in conf.items():
-        builder = builder.config(key.replace("__", "."), value)
+    for key, value in {**RECOMMENDED_CONF, **{k.replace("__", "."): v for k, v in conf.items()}}.items():
+        builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
