@@ -21,6 +21,7 @@ from gridloom.operators import overlap as ov
 from gridloom.operators import parts as pt
 from gridloom.operators import report as rp
 from gridloom.operators import typed as ty
+from gridloom.operators.common import materialise
 from gridloom.plans import release
 from gridloom.plans.profiles import APPREHENSIONS
 from gridloom.session import scratch_path
@@ -152,7 +153,7 @@ def sink_csv(spark, sf):
     path = scratch_path(spark, "weekly")
     weekly = rp.weekly_counts_by_source(inputs.events(spark, sf), F.col("event_date"))
     sinks.sink_csv(weekly, path)
-    return spark.read.schema(weekly.schema).option("header", "true").csv(path)
+    return readers.read_csv(spark, path, weekly.schema)
 
 
 @register
@@ -205,7 +206,7 @@ def _known_files(df):
 def profile_incremental(spark, sf):
     """An inventory of the first files, brought up to date by profiling the unseen files alone."""
     grid = inputs.grid(spark, sf)
-    old = _inventory(_known_files(grid)).withColumn("generation", F.lit("old"))
+    old = materialise(_inventory(_known_files(grid)).withColumn("generation", F.lit("old")), "inventory")
     new = _inventory(g.unseen_files(grid, old)).withColumn("generation", F.lit("new"))
     return g.merge_inventory(old, new, INVENTORY_KEYS)
 
@@ -251,7 +252,7 @@ def crosswalk_conflicts(spark, sf):
 
 
 def _layouts(spark, grid):
-    return g.sheet_layouts(cw.crosswalk_apply(_inventory(grid), _rules(spark)), WIDE_COLUMNS)
+    return materialise(g.sheet_layouts(cw.crosswalk_apply(_inventory(grid), _rules(spark)), WIDE_COLUMNS), "layouts")
 
 
 @register
@@ -654,8 +655,8 @@ def tagged_union_cutoff(spark, sf):
 
 @register
 def release_monthly_counts(spark, sf):
-    """Dirty text to typed table to monthly counts by source."""
-    typed = ty.typed_table(inputs.raw(spark, sf), RAW_SPEC)
+    """Dirty text to typed table, published once, and monthly counts by source read from it."""
+    typed = materialise(ty.typed_table(inputs.raw(spark, sf), RAW_SPEC), "final")
     date = rp.event_date_of(["stamp_text", "date_text"])
     return rp.monthly_counts_by_source(typed, date, SINCE, "record_count")
 

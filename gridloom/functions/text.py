@@ -61,7 +61,7 @@ def redaction_flag(c: Column) -> Column:
 
 def clean_names(c: Column) -> Column:
     """Free-text header to snake_case. Names left empty become ``x``; NULL stays NULL."""
-    s = F.translate(c, ACCENTED, UNACCENTED)
+    s = F.when(c.rlike("[\u00c0-\u017f]"), F.translate(c, ACCENTED, UNACCENTED)).otherwise(c)
     s = F.regexp_replace(s, "[\"']", "")
     s = F.regexp_replace(s, "%", "_percent_")
     s = F.regexp_replace(s, "#", "_number_")

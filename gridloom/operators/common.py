@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridloom.session import ensure_checkpoint_dir
+from gridloom.session import ensure_checkpoint_dir, scratch_path
 
 PROVENANCE = ("source_file", "source_sheet")
 
@@ -33,6 +33,27 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]
     return df.withColumn("_rank", F.row_number().over(window)).where("_rank = 1").drop("_rank")
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows hashed by ``keys`` over the session's full number of shuffle partitions.
+
+    For few small rows that are about to multiply: adaptive execution sizes partitions by the bytes it
+    sees before they do and would leave them all to one task, unless the number is given.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
+def materialise(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to the shared folder and read back. Runs a job.
+
+    For tables that are small next to the rows they will be joined with. A written table has a known
+    size, so Spark decides between broadcasting it and a sort-merge join before it plans any shuffle of
+    the large side; the size of a frame still to be computed is a guess.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def with_ordinal(df: DataFrame, order: Sequence[str | Column], name: str) -> DataFrame:
     """Number all rows 1, 2, 3, ... in ``order`` without bringing them into one task.
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.functions.text import has_data
-from gridloom.operators.common import PROVENANCE, CheckFailed
+from gridloom.operators.common import PROVENANCE, CheckFailed, spread
 
 COPIES_PER_STEP = 4096
 
@@ -57,9 +57,9 @@ def _repeat(df: DataFrame, copies: str) -> DataFrame:
     """Each row as many times as ``copies`` says, in two steps so that no task writes out all copies of a row."""
     step = F.lit(COPIES_PER_STEP)
     steps = df.withColumn("_step", F.explode(F.sequence(F.lit(0), F.floor((F.col(copies) - 1) / step))))
-    spread = steps.repartition("_step", *[c for c in df.columns if c != copies])
+    placed = spread(steps, "_step", *[c for c in df.columns if c != copies])
     here = F.least(step, F.col(copies) - F.col("_step") * step)
-    return spread.withColumn("_copy", F.explode(F.sequence(F.lit(1), here.cast("int")))).drop("_step", "_copy", copies)
+    return placed.withColumn("_copy", F.explode(F.sequence(F.lit(1), here.cast("int")))).drop("_step", "_copy", copies)
 
 
 def rows_only_in_a(a: DataFrame, b: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -105,7 +105,11 @@ def column_inventory(grid: DataFrame, headers: DataFrame) -> DataFrame:
 
 
 def unseen_files(grid: DataFrame, inventory: DataFrame) -> DataFrame:
-    """Rows of files the inventory does not know. The known files are few next to the rows."""
+    """Rows of files the inventory does not know.
+
+    ``inventory`` is meant to be a stored table: then its size is known, and rows need no shuffle while
+    the list of files can be broadcast.
+    """
     return grid.join(inventory.select("source_file").distinct(), "source_file", "left_anti")
 
 
@@ -138,8 +142,9 @@ def _repeats_header(cells: Column, named: Column, threshold: int) -> Column:
 def repeat_header_drop(grid: DataFrame, layouts: DataFrame, threshold: int = 2) -> DataFrame:
     """Data rows below the header, without rows that repeat at least ``threshold`` of their headers.
 
-    The layouts hold one row per sheet. Spark broadcasts them when they are small enough, and otherwise
-    sort-merges, where adaptive skew handling splits a sheet that holds much of the data.
+    The layouts hold one row per sheet and are meant to be a stored table (see :func:`materialise`). Spark
+    broadcasts them when their size allows, so rows stay where they are; beyond that it sort-merges, and
+    adaptive skew handling splits a sheet that holds much of the data.
     """
     return (
         grid.join(layouts, SHEET)

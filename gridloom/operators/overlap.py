@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridloom.functions.dates import month_start
-from gridloom.operators.common import with_ordinal
+from gridloom.operators.common import spread, with_ordinal
 from gridloom.operators.parts import with_date_range
 
 SALTS = 8
@@ -36,7 +36,7 @@ def containing_pairs(metadata: DataFrame) -> DataFrame:
     covers = (F.col("larger_min_date") <= F.col("smaller_min_date")) & (F.col("larger_max_date") >= F.col("smaller_max_date"))
     wider = (F.col("larger_min_date") < F.col("smaller_min_date")) | (F.col("larger_max_date") > F.col("smaller_max_date"))
     return (
-        smaller.join(larger, ["month", "salt"])
+        spread(smaller, "month", "salt").join(larger, ["month", "salt"])
         .where((F.col("smaller_file") != F.col("larger_file")) & covers)
         .where(wider | (F.col("smaller_file") < F.col("larger_file")))
         .select(*PAIR_COLUMNS)
@@ -69,7 +69,7 @@ def daily_counts(parts: DataFrame, event_date: Column, pairs: DataFrame | None =
 def date_spine(pairs: DataFrame) -> DataFrame:
     """One row per pair and day of the smaller range."""
     days = F.sequence("smaller_min_date", "smaller_max_date", F.expr("interval 1 day"))
-    return pairs.withColumn("event_date", F.explode(days))
+    return spread(pairs, "pair_id").withColumn("event_date", F.explode(days))
 
 
 def daily_comparison(pairs: DataFrame, counts: DataFrame) -> DataFrame:

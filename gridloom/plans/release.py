@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from gridloom.operators import crosswalk as cw
 from gridloom.operators import grid as g
 from gridloom.operators import parts as p
-from gridloom.operators.common import CheckFailed, require_empty
+from gridloom.operators.common import CheckFailed, materialise, require_empty
 from gridloom.operators.typed import typed_table
 from gridloom.plans.spec import DatasetProfile
 from gridloom.sources.readers import scan_parts_union_by_name
@@ -42,8 +42,9 @@ def canonical_columns(inventory: DataFrame) -> list[str]:
 
 
 def standardized(grid: DataFrame, profiled: GridProfile, columns: Sequence[str]) -> DataFrame:
-    """All sheets as rows of the canonical text schema."""
-    return g.standardize_part(grid, g.sheet_layouts(profiled.inventory, columns), columns)
+    """All sheets as rows of the canonical text schema. The layouts are computed and stored first."""
+    layouts = materialise(g.sheet_layouts(profiled.inventory, columns), "layouts")
+    return g.standardize_part(grid, layouts, columns)
 
 
 def build_parts(grid: DataFrame, profile: DatasetProfile, path: str, ledger: DataFrame | None = None) -> DataFrame:
@@ -51,15 +52,15 @@ def build_parts(grid: DataFrame, profile: DatasetProfile, path: str, ledger: Dat
 
     Raises when no sheet has a header, or two columns of a sheet would take one canonical name.
     """
-    profiled = profile_grid(grid, profile)
     rules = cw.rules_frame(grid.sparkSession, profile.crosswalk)
-    if profiled.inventory.isEmpty():
+    inventory = materialise(profile_grid(grid, profile).inventory, "column_inventory")
+    if inventory.isEmpty():
         raise CheckFailed("No sheet was profiled.")
-    require_empty(cw.crosswalk_conflicts(profiled.inventory, rules), "Columns of one sheet share a canonical name.")
-    columns = canonical_columns(profiled.inventory)
-    named = p.part_naming(profiled.inventory.select(*g.SHEET).distinct(), ledger)
-    layouts = g.sheet_layouts(profiled.inventory, columns).join(named.select(*g.SHEET, "part_file"), g.SHEET)
-    sink_parts(g.standardize_part(grid, layouts, columns, keep=["part_file"]), path)
+    require_empty(cw.crosswalk_conflicts(inventory.drop("canonical_name"), rules), "Columns of one sheet share a canonical name.")
+    columns = canonical_columns(inventory)
+    named = p.part_naming(inventory.select(*g.SHEET).distinct(), ledger)
+    layouts = g.sheet_layouts(inventory, columns).join(named.select(*g.SHEET, "part_file"), g.SHEET)
+    sink_parts(g.standardize_part(grid, materialise(layouts, "layouts"), columns, keep=["part_file"]), path)
     return named
 
 

@@ -27,6 +27,11 @@ def scan_projected(spark: SparkSession, path: str, columns: Sequence[str]) -> Da
     return spark.read.parquet(path).select(*columns)
 
 
+def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
+    """Delimited text with a header and a known schema; ``""`` is empty text, nothing at all is missing."""
+    return spark.read.schema(schema).option("header", "true").option("nullValue", "\\N").csv(path)
+
+
 def csv_scan_typed(
     spark: SparkSession,
     releases: Sequence[tuple[str, str, str]],
