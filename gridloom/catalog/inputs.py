@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.operators.benchmark import MONTHS
+from gridloom.operators.common import materialise, use_all_cores
 from gridloom.plans.spec import TableSpec
 
 
@@ -16,6 +17,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table ahead of costly text work: dealt out when it has fewer splits than the cluster has cores."""
+    return use_all_cores(table(spark, sf_dir, name))
+
+
 def _pick(key: Column, *choices: Column) -> Column:
     """``choices[key % n]``."""
     n = len(choices)
@@ -71,7 +77,7 @@ def raw_of(orders: DataFrame) -> DataFrame:
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw_of(table(spark, sf_dir, "orders")).select(*RAW_COLUMNS)
+    return raw_of(spread_table(spark, sf_dir, "orders")).select(*RAW_COLUMNS)
 
 
 def parts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,7 +95,7 @@ PAIR_COLUMNS = ["source_file", "source_sheet", "date_text", "stamp_text", "flag_
 
 def pair(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Two releases of the same records: B lacks some, changes some, repeats some, and fills another column."""
-    orders = raw_of(table(spark, sf_dir, "orders"))
+    orders = raw_of(spread_table(spark, sf_dir, "orders"))
     text = lambda c: F.lit(c).cast("string")
     a = orders.withColumns({"note_a": F.col("o_orderpriority"), "note_b": text(None)}).select(*PAIR_COLUMNS)
     kept = orders.where("o_orderstatus <> 'P'").withColumns({
@@ -133,6 +139,11 @@ def grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stored_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The grid as a stored table, for plans that read it more than once."""
+    return materialise(grid(spark, sf_dir), "grid")
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A part per event type, and a second, slightly thinner release of one week of each."""
     source = table(spark, sf_dir, "events").withColumn("event_date", F.col("ts").cast("date"))

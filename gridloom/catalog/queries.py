@@ -50,7 +50,7 @@ def register(function: Query) -> Query:
 
 
 def _links(spark, sf):
-    return lk.link_extract(table(spark, sf, "pages"))
+    return lk.link_extract(inputs.spread_table(spark, sf, "pages"))
 
 
 def _classified(links):
@@ -59,7 +59,7 @@ def _classified(links):
 
 def _link_generations(spark, sf):
     """Links of the pages under ``/en/`` as already known, links of all pages as current."""
-    pages = table(spark, sf, "pages")
+    pages = inputs.spread_table(spark, sf, "pages")
     known = lk.link_extract(pages.where(F.col("url").contains("/en/")))
     return _classified(known), _classified(lk.link_extract(pages))
 
@@ -166,12 +166,12 @@ def table_profile(spark, sf):
 
 @register
 def clean_names(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", fn.clean_names(F.col("text")).alias("clean_name"))
+    return inputs.spread_table(spark, sf, "documents").select("doc_id", fn.clean_names(F.col("text")).alias("clean_name"))
 
 
 @register
 def header_detect(spark, sf):
-    return g.header_detect(inputs.grid(spark, sf), APPREHENSIONS.header_terms)
+    return g.header_detect(inputs.stored_grid(spark, sf), APPREHENSIONS.header_terms)
 
 
 @register
@@ -185,12 +185,12 @@ def _inventory(grid):
 
 @register
 def column_inventory(spark, sf):
-    return _inventory(inputs.grid(spark, sf))
+    return _inventory(inputs.stored_grid(spark, sf))
 
 
 @register
 def failed_sheets(spark, sf):
-    grid = inputs.grid(spark, sf)
+    grid = inputs.stored_grid(spark, sf)
     return g.failed_sheets(g.grid_sheet_inventory(grid), g.header_rows(grid, APPREHENSIONS.header_terms))
 
 
@@ -205,7 +205,7 @@ def _known_files(df):
 @register
 def profile_incremental(spark, sf):
     """An inventory of the first files, brought up to date by profiling the unseen files alone."""
-    grid = inputs.grid(spark, sf)
+    grid = inputs.stored_grid(spark, sf)
     old = materialise(_inventory(_known_files(grid)).withColumn("generation", F.lit("old")), "inventory")
     new = _inventory(g.unseen_files(grid, old)).withColumn("generation", F.lit("new"))
     return g.merge_inventory(old, new, INVENTORY_KEYS)
@@ -213,7 +213,7 @@ def profile_incremental(spark, sf):
 
 @register
 def distinct_columns(spark, sf):
-    return cw.distinct_columns(_inventory(inputs.grid(spark, sf)))
+    return cw.distinct_columns(_inventory(inputs.stored_grid(spark, sf)))
 
 
 # ---- crosswalk and standardisation
@@ -229,13 +229,13 @@ def _distinct_columns(grid):
 
 @register
 def crosswalk_apply(spark, sf):
-    return cw.crosswalk_apply(_distinct_columns(inputs.grid(spark, sf)), _rules(spark))
+    return cw.crosswalk_apply(_distinct_columns(inputs.stored_grid(spark, sf)), _rules(spark))
 
 
 @register
 def crosswalk_lost(spark, sf):
     """Columns that a crosswalk made from the first two columns of each sheet does not list."""
-    grid = inputs.grid(spark, sf)
+    grid = inputs.stored_grid(spark, sf)
     earlier = _inventory(grid).where(F.col("column_position") <= 2)
     crosswalk = cw.crosswalk_apply(earlier.select("clean_column", "raw_column").distinct(), _rules(spark))
     return cw.crosswalk_lost(_distinct_columns(grid), crosswalk)
@@ -243,12 +243,12 @@ def crosswalk_lost(spark, sf):
 
 @register
 def crosswalk_collapsed(spark, sf):
-    return cw.crosswalk_collapsed(cw.crosswalk_apply(_distinct_columns(inputs.grid(spark, sf)), _rules(spark)))
+    return cw.crosswalk_collapsed(cw.crosswalk_apply(_distinct_columns(inputs.stored_grid(spark, sf)), _rules(spark)))
 
 
 @register
 def crosswalk_conflicts(spark, sf):
-    return cw.crosswalk_conflicts(_inventory(inputs.grid(spark, sf)), cw.rules_frame(spark, CONFLICTING_RULES))
+    return cw.crosswalk_conflicts(_inventory(inputs.stored_grid(spark, sf)), cw.rules_frame(spark, CONFLICTING_RULES))
 
 
 def _layouts(spark, grid):
@@ -257,26 +257,26 @@ def _layouts(spark, grid):
 
 @register
 def repeat_header_drop(spark, sf):
-    grid = inputs.grid(spark, sf)
+    grid = inputs.stored_grid(spark, sf)
     kept = g.repeat_header_drop(grid, _layouts(spark, grid))
     return kept.select("source_file", "source_sheet", "row_number", F.array_join("cells", "|", "").alias("cells_text"))
 
 
 @register
 def standardize_part(spark, sf):
-    grid = inputs.grid(spark, sf)
+    grid = inputs.stored_grid(spark, sf)
     return g.standardize_part(grid, _layouts(spark, grid), WIDE_COLUMNS)
 
 
 @register
 def part_naming(spark, sf):
-    return pt.part_naming(g.grid_sheet_inventory(inputs.grid(spark, sf)))
+    return pt.part_naming(g.grid_sheet_inventory(inputs.stored_grid(spark, sf)))
 
 
 @register
 def parts_incremental(spark, sf):
     """First files as already built parts; the rest named after them."""
-    sheets = g.grid_sheet_inventory(inputs.grid(spark, sf))
+    sheets = g.grid_sheet_inventory(inputs.stored_grid(spark, sf))
     ledger = pt.part_naming(_known_files(sheets))
     return ledger.unionByName(pt.part_naming(sheets, ledger)).select("source_file", "source_sheet", "ordinal", "part_file")
 
@@ -284,7 +284,7 @@ def parts_incremental(spark, sf):
 @register
 def parts_check(spark, sf):
     """Parts built for the sheets that have a header, against all sheets."""
-    grid = inputs.grid(spark, sf)
+    grid = inputs.stored_grid(spark, sf)
     written = pt.part_naming(_inventory(grid).select("source_file", "source_sheet").distinct())
     return pt.parts_check(g.grid_sheet_inventory(grid), written)
 
@@ -664,7 +664,7 @@ def release_monthly_counts(spark, sf):
 @register
 def release_grid_to_typed(spark, sf):
     """Sheets to typed table: header search, crosswalk, standardisation and typing in one plan."""
-    grid = inputs.grid(spark, sf)
+    grid = inputs.stored_grid(spark, sf)
     profiled = release.profile_grid(grid, APPREHENSIONS)
     typed = ty.typed_table(release.standardized(grid, profiled, WIDE_COLUMNS), APPREHENSIONS.table)
     return typed.groupBy("source_file", "gender", "citizenship").agg(

@@ -12,9 +12,9 @@ from gridloom.operators.grid import SHEET
 
 
 def rules_frame(spark: SparkSession, rules: Mapping[str, tuple[str, ...]]) -> DataFrame:
-    """Rules written as ``canonical -> variants`` as a two-column frame."""
-    pairs = [F.struct(F.lit(v).alias("clean_column"), F.lit(c).alias("canonical_name")) for c, vs in rules.items() for v in vs]
-    return spark.range(1).select(F.inline(F.array(*pairs)))
+    """Rules written as ``canonical -> variants`` as a two-column frame, a literal table of known size."""
+    rows = ", ".join(f"('{variant}', '{canonical}')" for canonical, variants in rules.items() for variant in variants)
+    return spark.sql(f"select * from values {rows} as rules(clean_column, canonical_name)")
 
 
 def distinct_columns(inventory: DataFrame, examples: int = 5) -> DataFrame:
