@@ -116,7 +116,7 @@ def grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     header = F.when(F.col("k") % 2 == 0, texts("APP AGE", "GENDER", "", "Citizenship", "Entry Status")).otherwise(
         texts("Age", " Subject  Gender", "", "CITIZENSHIP", "STATUS_AT_ENTRY")
     )
-    place = header_row + F.col("c_custkey") * 2
+    place = header_row + F.col("c_custkey") * 2 + 2
     row = lambda df, number, cells: df.select("k", number.alias("row_number"), cells.alias("cells"))
     rows = row(nation, F.lit(1).cast("bigint"), texts("Release notice", None, "", "", ""))
     rows = rows.unionAll(row(nation.where("k % 3 >= 1"), F.lit(2).cast("bigint"), texts("gender notes", "", "", "", "")))

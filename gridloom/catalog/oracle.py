@@ -144,8 +144,8 @@ grid as (select concat('file_', cast(k % 5 as varchar), '.xlsx') source_file, co
   select k, 1 row_number, ['Release notice', null, '', '', ''] cells from grid_n
   union all select k, 2, ['gender notes', '', '', '', ''] from grid_n where hdr = 3
   union all select k, hdr, cells from grid_h
-  union all select k, hdr + 2 * c_custkey, [cast(c_custkey % 90 as varchar), case when c_acctbal < 0 then 'M' else 'F' end, '', c_mktsegment, cast(c_custkey as varchar)] from grid_c
-  union all select c.k, c.hdr + 2 * c_custkey + 1, h.cells from grid_c c join grid_h h on c.k = h.k where c.c_mktsegment = 'BUILDING' and c.k % 4 = 0) g)"""
+  union all select k, hdr + 2 * c_custkey + 2, [cast(c_custkey % 90 as varchar), case when c_acctbal < 0 then 'M' else 'F' end, '', c_mktsegment, cast(c_custkey as varchar)] from grid_c
+  union all select c.k, c.hdr + 2 * c_custkey + 3, h.cells from grid_c c join grid_h h on c.k = h.k where c.c_mktsegment = 'BUILDING' and c.k % 4 = 0) g)"""
 
 TERMS = (
     "event|citizenship|gender|age|indicator|sector|status|entry|disposition|transfer|juvenile|unaccompanied|family|fear"
@@ -409,7 +409,7 @@ ORACLE: dict[str, str] = {
           max({ladder('stamp_text')}) stamp_max, min({ladder('date_text')}) date_min, max({ladder('date_text')}) date_max
         from dated group by part_file, source_file, source_sheet) p
       join ({PREFERRED}) d using (part_file) join ({non_empty(PART_COLUMNS + ['flag_date'], 'dated')}) n using (part_file)"""),
-    "part_single_source": q(PARTS, "select coalesce(flag_text, part_file) part_file, count(*) n_rows from parts group by 1 having count(distinct source_file) > 1 or count(distinct source_sheet) > 1"),
+    "part_single_source": q(PARTS, "select coalesce(flag_text, part_file) part_file, count(distinct source_file || '/' || source_sheet) n_sources, count(*) n_rows from parts group by 1 having count(distinct source_file || '/' || source_sheet) > 1"),
     "same_date_ranges": q(EVENTS, "select min_date, max_date, count(*) n_parts, string_agg(part_file || ' [rows: ' || cast(n_rows as varchar) || ']', ' | ' order by part_file) files_and_rows from meta group by all having count(*) > 1"),
     "same_date_range_members": q(EVENTS, "select min_date, max_date, part_file, n_rows, count(*) over (partition by min_date, max_date) n_parts from meta qualify count(*) over (partition by min_date, max_date) > 1"),
     # pair comparison

@@ -213,7 +213,7 @@ def profile_incremental(spark, sf):
 
 @register
 def distinct_columns(spark, sf):
-    return cw.distinct_columns(_inventory(inputs.stored_grid(spark, sf)))
+    return cw.distinct_columns(materialise(_inventory(inputs.stored_grid(spark, sf)), "inventory"))
 
 
 # ---- crosswalk and standardisation
@@ -224,7 +224,7 @@ def _rules(spark):
 
 
 def _distinct_columns(grid):
-    return cw.distinct_columns(_inventory(grid)).select("clean_column", "raw_column", "n_files")
+    return cw.distinct_columns(materialise(_inventory(grid), "inventory")).select("clean_column", "raw_column", "n_files")
 
 
 @register
@@ -330,7 +330,8 @@ def part_single_source(spark, sf):
 
 
 def _event_metadata(spark, sf):
-    return pt.part_summary(inputs.events(spark, sf), ["event_date"], parse=lambda c: c)
+    """Part metadata as a stored table: several plans read it more than once."""
+    return materialise(pt.part_summary(inputs.events(spark, sf), ["event_date"], parse=lambda c: c), "metadata")
 
 
 @register
@@ -524,6 +525,11 @@ def benchmark_latest(spark, sf):
     return bm.benchmark_latest(_benchmark(spark, sf))
 
 
+def _latest(spark, sf):
+    """One row per month, stored: its bounds and its rows are both needed."""
+    return materialise(bm.benchmark_latest(_benchmark(spark, sf)), "benchmark")
+
+
 def _monthly_in_range(spark, sf, benchmark):
     orders = table(spark, sf, "orders").where("o_orderpriority <> '5-LOW' and o_orderdate >= timestamp_ntz'1995-03-01 00:00:00'")
     return bm.monthly_in_range(orders, F.col("o_orderdate").cast("date"), benchmark)
@@ -531,12 +537,12 @@ def _monthly_in_range(spark, sf, benchmark):
 
 @register
 def monthly_in_range(spark, sf):
-    return _monthly_in_range(spark, sf, bm.benchmark_latest(_benchmark(spark, sf)))
+    return _monthly_in_range(spark, sf, _latest(spark, sf))
 
 
 def _cross_reference(spark, sf):
     """The table holds no month before March 1995; the benchmark is compared without its year 1999."""
-    latest = bm.benchmark_latest(_benchmark(spark, sf))
+    latest = _latest(spark, sf)
     monthly = _monthly_in_range(spark, sf, latest)
     return bm.cross_reference(latest.where("fiscal_year <> 1999"), monthly)
 
@@ -599,9 +605,10 @@ def _yearly_metadata(spark, sf):
         "event_date",
     )
     customers = orders.select(F.concat(F.lit("0100_customer_"), F.col("o_custkey").cast("string")).alias("part_file"), "event_date")
-    return yearly.unionAll(customers).groupBy("part_file").agg(
+    metadata = yearly.unionAll(customers).groupBy("part_file").agg(
         F.min("event_date").alias("min_date"), F.max("event_date").alias("max_date"), F.count("*").alias("n_rows")
     )
+    return materialise(metadata, "metadata")
 
 
 @register

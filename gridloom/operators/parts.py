@@ -50,12 +50,11 @@ def data_columns(parts: DataFrame) -> list[str]:
 
 def part_single_source(parts: DataFrame) -> DataFrame:
     """Parts with more than one source file or sheet; empty when all is well."""
-    distinct = F.struct(F.coalesce(F.col("source_file"), F.lit("")), F.coalesce(F.col("source_sheet"), F.lit("")))
+    sources = parts.groupBy(*PART_KEYS).agg(F.count("*").alias("n_rows"))
     return (
-        parts.groupBy("part_file")
-        .agg(F.min(distinct).alias("low"), F.max(distinct).alias("high"), F.count("*").alias("n_rows"))
-        .where("low <> high")
-        .select("part_file", "n_rows")
+        sources.groupBy("part_file")
+        .agg(F.count("*").alias("n_sources"), F.sum("n_rows").alias("n_rows"))
+        .where(F.col("n_sources") > 1)
     )
 
 
@@ -91,15 +90,14 @@ def preferred_date_column(parts: DataFrame, date_columns: Sequence[str]) -> Data
 def part_summary(parts: DataFrame, date_columns: Sequence[str], parse: Callable[[Column], Column] = parse_date_ladder) -> DataFrame:
     """Rows, date column, date range and populated columns of each part, in one aggregation.
 
-    Every measure combines on the map side, so a part with much of the data is no heavier to shuffle.
+    Every measure combines on the map side in a hash table, so a part with much of the data is no heavier
+    to shuffle. Source file and sheet are keys: a part has one of each (see :func:`part_single_source`).
     """
     columns = data_columns(parts)
     known = [c for c in date_columns if c in parts.columns]
     dates = parts.select(*parts.columns, *[parse(F.col(c)).alias(f"_date_{c}") for c in known])
     ranges = [f(f"_date_{c}").alias(f"_{f.__name__}_{c}") for c in known for f in (F.min, F.max)]
-    measured = dates.groupBy("part_file").agg(
-        F.first("source_file", ignorenulls=True).alias("source_file"),
-        F.first("source_sheet", ignorenulls=True).alias("source_sheet"),
+    measured = dates.groupBy(*PART_KEYS).agg(
         F.count("*").alias("n_rows"),
         *_column_flags(columns),
         *ranges,

@@ -47,16 +47,33 @@ def standardized(grid: DataFrame, profiled: GridProfile, columns: Sequence[str])
     return g.standardize_part(grid, layouts, columns)
 
 
-def build_parts(grid: DataFrame, profile: DatasetProfile, path: str, ledger: DataFrame | None = None) -> DataFrame:
+def build_parts(
+    grid: DataFrame,
+    profile: DatasetProfile,
+    path: str,
+    ledger: DataFrame | None = None,
+    failed_path: str | None = None,
+) -> DataFrame:
     """Write the sheets not in ``ledger`` as parts under ``path``; returns the names given to them.
 
-    Raises when no sheet has a header, or two columns of a sheet would take one canonical name.
+    ``ledger`` is the stored result of earlier runs; its sheets are left out before anything else is read.
+    Sheets without a header are written to ``failed_path`` for review. Raises when no new sheet has a
+    header, or two columns of a sheet would take one canonical name.
     """
+    if ledger is not None:
+        grid = grid.join(ledger.select(*g.SHEET), g.SHEET, "left_anti")
     rules = cw.rules_frame(grid.sparkSession, profile.crosswalk)
-    inventory = materialise(profile_grid(grid, profile).inventory, "column_inventory")
+    profiled = profile_grid(grid, profile)
+    inventory = materialise(profiled.inventory, "column_inventory")
+    if failed_path is not None:
+        sink_parquet(profiled.failed, failed_path, mode="append")
     if inventory.isEmpty():
-        raise CheckFailed("No sheet was profiled.")
-    require_empty(cw.crosswalk_conflicts(inventory.drop("canonical_name"), rules), "Columns of one sheet share a canonical name.")
+        if not grid.isEmpty():
+            raise CheckFailed("No sheet was profiled.")
+        return p.part_naming(inventory.select(*g.SHEET), ledger)
+    require_empty(
+        cw.crosswalk_conflicts(inventory.drop("canonical_name"), rules), "Columns of one sheet share a canonical name."
+    )
     columns = canonical_columns(inventory)
     named = p.part_naming(inventory.select(*g.SHEET).distinct(), ledger)
     layouts = g.sheet_layouts(inventory, columns).join(named.select(*g.SHEET, "part_file"), g.SHEET)

@@ -186,13 +186,13 @@ def test_part_names_never_move(spark):
 
 def test_part_single_source_and_summary(spark):
     parts = spark.createDataFrame(
-        [("p", "f", "s", "45123", None), ("p", "f", "s", "bad", " "), ("q", "f", "s", None, "x"), ("q", "g", "s", "", "x")],
+        [("p", "f", "s", "45123", None), ("p", "f", "s", "bad", " "), ("q", "f", "s", None, "x"), ("q", "g", "s", "", "x"), ("r", "f", "s", None, "x")],
         "part_file string, source_file string, source_sheet string, d1 string, d2 string",
     )
-    assert tuples(pt.part_single_source(parts)) == [("q", 2)]
+    assert tuples(pt.part_single_source(parts)) == [("q", 2, 2)]
     summary = {r.part_file: r for r in pt.part_summary(parts, ["d1", "d2"]).collect()}
     assert (summary["p"].date_column, summary["p"].min_date, summary["p"].non_empty_cols) == ("d1", dt.date(2023, 7, 16), "d1")
-    assert (summary["q"].date_column, summary["q"].min_date, summary["q"].n_non_empty_cols) == ("d2", None, 1)
+    assert (summary["r"].date_column, summary["r"].min_date, summary["r"].n_non_empty_cols) == ("d2", None, 1)
 
 
 # ---- typing and audits

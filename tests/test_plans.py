@@ -85,3 +85,8 @@ def test_monthly_counts_push_the_day_to_the_scan(spark, sf_dir):
 def test_range_bounds_are_scalar_subqueries(spark, sf_dir):
     text = plan(entry.queries()["monthly_in_range"](spark, sf_dir))
     assert "Subquery" in text
+
+
+@pytest.mark.parametrize("name", ["part_summary", "part_single_source", "non_empty_columns", "daily_counts", "audit_all"])
+def test_row_level_aggregation_does_not_sort(spark, sf_dir, name):
+    assert "SortAggregate" not in plan(entry.queries()[name](spark, sf_dir))

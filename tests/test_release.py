@@ -27,11 +27,18 @@ SECOND = {("Another.xlsx", "S"): [["Apprehension Date", "Age", "Sector", "Citize
 
 def test_release_from_grid_to_typed_table(spark):
     parts, stacked, final = (scratch_path(spark, n) for n in ("parts", "stacked", "final"))
-    ledger = release.build_parts(grid_of(spark, FIRST), APPREHENSIONS, parts)
+    failed = scratch_path(spark, "failed")
+    ledger = release.build_parts(grid_of(spark, FIRST), APPREHENSIONS, parts, failed_path=failed)
+    assert [r.source_sheet for r in spark.read.parquet(failed).collect()] == ["Notes"]
     assert [r.part_file for r in ledger.collect()] == ["0001_release_q1_fy24_q1"]
     more = release.build_parts(grid_of(spark, {**FIRST, **SECOND}), APPREHENSIONS, parts, ledger)
     assert [r.part_file for r in more.collect()] == ["0002_another_s"]
 
+    with pytest.raises(CheckFailed, match="profiled"):
+        release.build_parts(grid_of(spark, FIRST), APPREHENSIONS, parts, ledger)
+    known = {k: v for k, v in FIRST.items() if k[1] != "Notes"}
+    assert release.build_parts(grid_of(spark, known), APPREHENSIONS, parts, ledger).isEmpty()
+
     rows = release.stack_parts(grid_of(spark, FIRST), parts, stacked, APPREHENSIONS)
     assert rows.count() == 3
     typed = release.finish(rows, APPREHENSIONS, final)
