@@ -60,16 +60,18 @@ def absolute_url(href: Column, base: Column) -> Column:
 
 
 def link_extract(pages: DataFrame) -> DataFrame:
-    """Anchors of ``pages(page_id, url, html)``: ``page_id, position, text, href, full_url``."""
-    found = F.arrays_zip(
-        F.regexp_extract_all("html", F.lit(ANCHOR), F.lit(1)).alias("href"),
-        F.regexp_extract_all("html", F.lit(ANCHOR), F.lit(2)).alias("text"),
+    """Anchors of ``pages(page_id, url, html)``: ``page_id, position, text, href, full_url``.
+
+    A page is searched once for whole anchors; target and text are then taken from each short anchor.
+    """
+    found = F.posexplode(F.regexp_extract_all("html", F.lit(ANCHOR), F.lit(0))).alias("position", "anchor")
+    target = F.regexp_replace(F.regexp_extract("anchor", ANCHOR, 1), "^[\"']|[\"']$", "")
+    label = F.regexp_replace(F.regexp_extract("anchor", ANCHOR, 2), "(?s)<[^>]*>", "")
+    parsed = pages.select("page_id", "url", found).select(
+        "page_id", "url", "position", squish(_unescape(label)).alias("text"), _unescape(F.trim(target)).alias("href")
     )
-    href = _unescape(F.trim(F.regexp_replace("anchor.href", "^[\"']|[\"']$", "")))
-    text = squish(_unescape(F.regexp_replace("anchor.text", "(?s)<[^>]*>", "")))
-    anchors = pages.select("page_id", "url", F.posexplode(found).alias("position", "anchor"))
-    parsed = anchors.select("page_id", "url", "position", text.alias("text"), href.alias("href"))
-    return parsed.select("page_id", "position", "text", "href", absolute_url(F.col("href"), F.col("url")).alias("full_url"))
+    full_url = absolute_url(F.col("href"), F.col("url"))
+    return parsed.select("page_id", "position", "text", "href", full_url.alias("full_url"))
 
 
 def link_classify(

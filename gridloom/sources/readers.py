@@ -27,9 +27,17 @@ def scan_projected(spark: SparkSession, path: str, columns: Sequence[str]) -> Da
     return spark.read.parquet(path).select(*columns)
 
 
-def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
-    """Delimited text with a header and a known schema; ``""`` is empty text, nothing at all is missing."""
-    return spark.read.schema(schema).option("header", "true").option("nullValue", "\\N").csv(path)
+# Stands for "nothing at all" while reading, so that it differs from quoted empty text.
+NOTHING = "\u0001"
+
+
+def read_csv(spark: SparkSession, path: str, schema, missing: str = "") -> DataFrame:
+    """Delimited text with a header and a known schema, as written by ``sink_csv`` with the same ``missing``.
+
+    With the default, ``""`` is empty text and nothing between two commas is a missing value.
+    """
+    reader = spark.read.schema(schema).option("header", "true").option("escape", '"')
+    return reader.option("nullValue", missing or NOTHING).csv(path)
 
 
 def csv_scan_typed(
@@ -45,7 +53,7 @@ def csv_scan_typed(
     """
     frames = []
     for release, day, path in releases:
-        frame = spark.read.option("header", "true").option("inferSchema", "false").csv(path)
+        frame = spark.read.option("header", "true").option("escape", '"').csv(path)
         missing = [name for name in required if name not in frame.columns]
         if missing:
             raise CheckFailed(f"Release {release} lacks required columns: {', '.join(missing)}")

@@ -25,5 +25,6 @@ def sink_parts(df: DataFrame, path: str) -> None:
 
 
 def sink_csv(df: DataFrame, path: str, missing: str = "", mode: str = "overwrite") -> None:
-    """Delimited text with a header; missing values as ``missing``, empty text quoted."""
-    df.write.option("header", "true").option("nullValue", missing).option("emptyValue", '""').mode(mode).csv(path)
+    """Delimited text with a header, quotes doubled; missing values as ``missing``, empty text quoted."""
+    writer = df.write.option("header", "true").option("escape", '"').option("emptyValue", '""')
+    writer.option("nullValue", missing).mode(mode).csv(path)

@@ -339,7 +339,7 @@ def test_newest_release_wins_and_months_are_checked(spark):
 
 
 def test_cross_reference_arithmetic(spark):
-    """Counts of the kind the reference data shows: equal, off by a few, on one side only, zero."""
+    """Counts that are equal, off by a few, on one side only, and zero."""
     latest = spark.createDataFrame(
         [(2020, 10, dt.date(2019, 10, 1), 45139), (2020, 11, dt.date(2019, 11, 1), 42643), (2020, 12, dt.date(2019, 12, 1), 0), (2020, 1, dt.date(2020, 1, 1), 9)],
         "fiscal_year int, fiscal_month int, month_start date, benchmark_count long",

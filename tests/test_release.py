@@ -77,8 +77,10 @@ def test_release_without_a_required_column_is_refused(spark):
         readers.csv_scan_typed(spark, [("r", "2024-01-01", path)], {"Fiscal Year": "fy", "Component": "component"})
 
 
-def test_csv_round_trip_keeps_missing_apart_from_empty(spark):
+@pytest.mark.parametrize("missing", ["", "NA"])
+def test_csv_round_trip_keeps_missing_apart_from_empty(spark, missing):
     path = scratch_path(spark, "nulls")
-    sinks.sink_csv(spark.createDataFrame([(1, None), (2, ""), (3, "x")], "i int, v string"), path)
-    back = readers.read_csv(spark, path, "i int, v string")
-    assert dict(tuple(r) for r in back.collect()) == {1: None, 2: "", 3: "x"}
+    rows = {1: None, 2: "", 3: "x", 4: 'say "a, b"', 5: "\\N", 6: "back\\"}
+    sinks.sink_csv(spark.createDataFrame(list(rows.items()), "i int, v string"), path, missing)
+    back = readers.read_csv(spark, path, "i int, v string", missing)
+    assert dict(tuple(r) for r in back.collect()) == rows
