@@ -27,6 +27,7 @@ from gridloom.functions.text import (
     parse_number,
     redaction_flag,
     squish,
+    tidy,
 )
 
 __all__ = [
@@ -47,6 +48,7 @@ __all__ = [
     "parse_number",
     "redaction_flag",
     "squish",
+    "tidy",
     "to_date",
     "to_datetime",
     "to_double",

@@ -95,7 +95,7 @@ def to_time(c: Column) -> Column:
     micros = F.round(F.pmod(numeric(c), F.lit(1.0)) * F.lit(float(MICROS_PER_DAY))).try_cast("bigint")
     midnight = F.lit("2000-01-01 00:00:00").cast("timestamp_ntz")
     moment = F.coalesce(
-        F.when(c.contains(":"), F.concat(F.lit("2000-01-01 "), F.nullif(clock, F.lit(""))).try_cast("timestamp_ntz")),
+        F.when(c.contains(":") & (clock != ""), F.concat(F.lit("2000-01-01 "), clock).try_cast("timestamp_ntz")),
         year_first_datetime(c),
         F.timestamp_add("MICROSECOND", F.pmod(micros, F.lit(MICROS_PER_DAY)), midnight),
     )

@@ -39,15 +39,18 @@ def has_data(c: Column) -> Column:
     return F.coalesce(c.rlike(r"\S"), F.lit(False))
 
 
-def clean_text(c: Column) -> Column:
-    """Canonical redaction mark, single spaces, trimmed; blank becomes NULL.
+def tidy(c: Column) -> Column:
+    """Canonical redaction mark, single spaces, trimmed.
 
     Most values need no rewriting: one test for a bracket or uneven spacing spares them both.
     """
-    c = c.cast("string")
     rewritten = F.regexp_replace(F.regexp_replace(c, WITHHELD_MARK, WITHHELD_CANONICAL), r"\s+", " ")
-    text = F.trim(F.when(c.rlike(r"[(\t-\r]|  "), rewritten).otherwise(c))
-    return F.nullif(text, F.lit(""))
+    return F.trim(F.when(c.rlike(r"[(\t-\r]|  "), rewritten).otherwise(c))
+
+
+def clean_text(c: Column) -> Column:
+    """Tidied text; blank becomes NULL."""
+    return F.nullif(tidy(c.cast("string")), F.lit(""))
 
 
 def is_missing_token(c: Column) -> Column:

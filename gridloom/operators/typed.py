@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.functions.convert import CONVERTERS, FALSE_TOKENS, TRUE_TOKENS
-from gridloom.functions.text import MISSING_TOKENS, clean_text, is_missing_token, redaction_flag
+from gridloom.functions.text import MISSING_TOKENS, clean_text, is_missing_token, redaction_flag, tidy
 from gridloom.plans.spec import TableSpec
 
 
@@ -28,51 +28,95 @@ def column_order_report(df: DataFrame, order: Sequence[str]) -> DataFrame:
     return df.sparkSession.range(1).select(F.inline(F.array(*structs)))
 
 
+WIDE = 40
+
+
+def _texts(columns: Sequence[str]) -> Column:
+    return F.array(*[F.col(c).cast("string") for c in columns])
+
+
+def _typed_wide(df: DataFrame, spec: TableSpec, flagged: Sequence[str]) -> DataFrame:
+    """Typing by array: one expression per kind of column instead of one per column.
+
+    The code of a projection over very many columns outgrows what the JVM takes in one method. Here all
+    columns are cleaned as one array and each kind is converted as one; both keep their column's index.
+    """
+    columns = df.columns
+    by_kind = {k: [c for c in columns if spec.kind(c) == k] for k in CONVERTERS}
+    tidied = df.select(
+        F.transform(_texts(columns), tidy).alias("_text"),
+        *[redaction_flag(F.col(c)).alias(f"{c}_redacted") for c in flagged],
+    )
+    cleaned = tidied.withColumn("_text", F.transform("_text", lambda text: F.when(text != "", text)))
+    place = {c: F.get("_text", F.lit(i)) for i, c in enumerate(columns)}
+    kinds = [k for k, names in by_kind.items() if names and k != "text"]
+    converted = cleaned.select(
+        "*",
+        *[F.transform(F.array(*[place[c] for c in by_kind[k]]), _of(CONVERTERS[k])).alias(f"_{k}") for k in kinds],
+    )
+    place.update({c: F.get(f"_{k}", F.lit(i)) for k in kinds for i, c in enumerate(by_kind[k])})
+    return converted.select(*_with_flags({c: place[c] for c in columns}, flagged))
+
+
+def _of(convert: Callable[[Column], Column]) -> Callable[[Column], Column]:
+    """``convert`` with its value as the only argument, as array functions want it."""
+    return lambda value: convert(value)
+
+
+def _with_flags(values: dict[str, Column], flagged: Sequence[str]) -> list[Column]:
+    output = []
+    for c, value in values.items():
+        output.append(value.alias(c))
+        if c in flagged:
+            output.append(F.col(f"{c}_redacted"))
+    return output
+
+
 def typed_table(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Text table to typed table, flags next to their column.
 
     The cleaned text is a projection of its own, so each conversion refers to it without recomputing it.
+    Tables of more than ``WIDE`` columns go by :func:`_typed_wide`; what reads them should take the
+    published table, since there no single column can be left out of the work.
     """
     ordered = column_order(df, spec.order)
     flagged = [c for c in ordered.columns if c in spec.redaction_flags]
+    if len(ordered.columns) > WIDE:
+        return _typed_wide(ordered, spec, flagged)
     cleaned = ordered.select(
         *[clean_text(F.col(c)).alias(c) for c in ordered.columns],
         *[redaction_flag(F.col(c)).alias(f"{c}_redacted") for c in flagged],
     )
-    output = []
-    for c in ordered.columns:
-        output.append(CONVERTERS[spec.kind(c)](F.col(c)).alias(c))
-        if c in flagged:
-            output.append(F.col(f"{c}_redacted"))
-    return cleaned.select(*output)
+    return cleaned.select(*_with_flags({c: CONVERTERS[spec.kind(c)](F.col(c)) for c in ordered.columns}, flagged))
 
 
 def audit(df: DataFrame, spec: TableSpec, kinds: Sequence[str]) -> DataFrame:
     """Values of the given kinds that no conversion accepts: ``column, raw_value, n``.
 
-    One scan serves all columns: they are stacked as (column, value) pairs, filtered to the failures,
-    and counted with map-side combining. Missing-value tokens are not failures.
+    One scan serves all columns: a row's values are cleaned as an array and unfolded, filtered to the
+    failures, and counted with map-side combining. Missing-value tokens are not failures.
     """
-    columns = [c for c in df.columns if spec.kind(c) in kinds]
-    schema = "column string, raw_value string, n bigint"
+    by_kind = {k: [c for c in df.columns if spec.kind(c) == k] for k in kinds}
+    columns = [c for names in by_kind.values() for c in names]
     if not columns:
-        return df.sparkSession.createDataFrame([], schema)
-    by_kind = {k: [c for c in columns if spec.kind(c) == k] for k in kinds}
+        return df.sparkSession.createDataFrame([], "column string, raw_value string, n bigint")
     value = F.col("raw_value")
-    failed = F.lit(False)
+    failed, last = F.when(F.lit(False), F.lit(False)), 0
     for kind, names in by_kind.items():
-        if not names:
-            continue
+        last += len(names)
         if kind == "logical":
             unknown = ~F.upper(value).isin(*TRUE_TOKENS, *FALSE_TOKENS, *MISSING_TOKENS)
         else:
             unknown = CONVERTERS[kind](value).isNull()
-        failed = F.when(F.col("column").isin(*names), unknown).otherwise(failed)
-    stacked = df.select(*[clean_text(F.col(c)).alias(c) for c in columns]).unpivot([], columns, "column", "raw_value")
+        failed = failed.when(F.col("_index") < last, unknown)
+    unfolded = df.select(F.posexplode(F.transform(_texts(columns), tidy)).alias("_index", "raw_value"))
+    names = F.array(*[F.lit(c) for c in columns])
     return (
-        stacked.where(value.isNotNull() & ~is_missing_token(value) & failed)
-        .groupBy("column", "raw_value")
+        unfolded.where((value != "") & ~is_missing_token(value))
+        .where(failed)
+        .groupBy("_index", "raw_value")
         .agg(F.count("*").alias("n"))
+        .select(F.get(names, F.col("_index")).alias("column"), "raw_value", "n")
     )
 
 

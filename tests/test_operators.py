@@ -7,6 +7,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from gridloom.catalog import inputs
 from gridloom.operators import benchmark as bm
 from gridloom.operators import compare as cmp
 from gridloom.operators import crosswalk as cw
@@ -220,6 +221,15 @@ def test_column_order_report(spark):
     ]
 
 
+def test_wide_typing_equals_typing_by_column(spark, sf_dir, monkeypatch):
+    raw = inputs.raw(spark, sf_dir)
+    by_column = ty.typed_table(raw, inputs.RAW_SPEC)
+    monkeypatch.setattr(ty, "WIDE", 2)
+    wide = ty.typed_table(raw, inputs.RAW_SPEC)
+    assert wide.dtypes == by_column.dtypes
+    assert wide.exceptAll(by_column).isEmpty() and by_column.exceptAll(wide).isEmpty()
+
+
 def test_whole_column_lists_can_be_typed(spark):
     for profile in PROFILES.values():
         df = spark.range(3).select(*[F.lit("45123.5").alias(c) for c in profile.table.order])
