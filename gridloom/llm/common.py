@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,6 +30,11 @@ def total(columns: Sequence[Column]) -> Column:
     return out
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` worked out once, however often ``use`` mentions it, also within lambdas."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def by_size(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Iterator[pa.RecordBatch]:
     """Arrow batches cut into slices of about ``most`` bytes of ``column``, so that a task's working memory does not
     follow the length of texts times Arrow's rows per batch. A slice holds one row at least; none is left out."""
@@ -81,4 +86,4 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     return links.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)
 
 
-__all__ = ["by_size", "components", "ensure_checkpoint_dir", "literal_table", "materialise", "table", "total"]
+__all__ = ["by_size", "components", "ensure_checkpoint_dir", "let", "literal_table", "materialise", "table", "total"]

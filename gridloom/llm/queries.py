@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import chat, url_filter
+from gridloom.llm import chat, pseudonyms, url_filter
 from gridloom.llm.common import literal_table, table
 
+#: A key for tests; a real one comes from a vault.
+PII_KEY = "not a secret"
+
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
 
@@ -75,7 +78,13 @@ SELECT conv_id, count(*) AS n_turns,
 FROM sized GROUP BY conv_id
 """
 
+def op5_feistel_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = pseudonyms.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY)
+    return done.select("doc_id", "text", F.size("pii").cast("bigint").alias("n_found"), F.array_join("pii.kind", ",").alias("kinds"))
+
+
 QUERIES = {
+    "op5_feistel_pii": op5_feistel_pii,
     "op2_chat_parts": op2_chat_parts,
     "op7_bloom_cascade": op7_bloom_cascade,
 }
