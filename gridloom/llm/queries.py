@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import chat, pseudonyms, url_filter
+from gridloom.llm import chat, mixing, pseudonyms, url_filter
 from gridloom.llm.common import literal_table, table
 
 #: A key for tests; a real one comes from a vault.
@@ -83,13 +83,65 @@ def op5_feistel_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "text", F.size("pii").cast("bigint").alias("n_found"), F.array_join("pii.kind", ",").alias("kinds"))
 
 
+MIX = mixing.Target(entropy=0.998, max_repeat=4.0)
+MIX_SEED = 7
+
+
+def op8_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mixing.mix(docs, MIX, seed=MIX_SEED).select("doc_id", "source", "epoch", "place", "tokens")
+
+
+def mix_sql(docs: str, columns: str) -> str:
+    """The schedule for ``docs`` as SQL; the bisection is a recursion over lists of all sources' shares."""
+    place = lambda epoch: f"CAST('0x' || substr(md5('{MIX_SEED}|' || ({epoch}) || '|' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 15) AS BIGINT)"
+    z = lambda a: f"list_sum(list_transform(ps, lambda x: exp({a} * ln(x))))"
+    entropy = lambda a: f"(ln({z(a)}) - list_sum(list_transform(ps, lambda x: exp({a} * ln(x)) * {a} * ln(x))) / {z(a)})"
+    repeat = lambda a: f"(list_max(list_transform(ps, lambda x: exp({a} * ln(x)) / (x * total))) * total / {z(a)})"
+    mid = "((lo + hi) / 2)"
+    return f"""
+WITH RECURSIVE counted AS (
+  SELECT *, CAST(len(regexp_extract_all(coalesce(text, ''), '[^ \\t\\n\\x0B\\f\\r]+')) AS BIGINT) AS tokens FROM {docs}),
+sums AS (SELECT source, CAST(sum(tokens) AS BIGINT) AS n FROM counted GROUP BY source HAVING sum(tokens) > 0),
+lists AS (SELECT list(n / CAST(total AS DOUBLE)) AS ps, CAST(any_value(total) AS DOUBLE) AS total
+          FROM sums, (SELECT sum(n) AS total FROM sums)),
+even(i, lo, hi) AS (
+  SELECT 0, CASE WHEN {entropy("1e0")} >= {MIX.entropy} * ln(len(ps)) THEN 1e0 ELSE 0e0 END, 1e0 FROM lists
+  UNION ALL
+  SELECT i + 1, CASE WHEN {entropy(mid)} >= {MIX.entropy} * ln(len(ps)) THEN {mid} ELSE lo END,
+         CASE WHEN {entropy(mid)} >= {MIX.entropy} * ln(len(ps)) THEN hi ELSE {mid} END FROM even, lists WHERE i < {mixing.STEPS}),
+seldom(i, lo, hi) AS (
+  SELECT 0, 0e0, CASE WHEN {repeat("0e0")} <= {MIX.max_repeat} THEN 0e0 ELSE 1e0 END FROM lists
+  UNION ALL
+  SELECT i + 1, CASE WHEN {repeat(mid)} <= {MIX.max_repeat} THEN lo ELSE {mid} END,
+         CASE WHEN {repeat(mid)} <= {MIX.max_repeat} THEN {mid} ELSE hi END FROM seldom, lists WHERE i < {mixing.STEPS}),
+exponent AS (SELECT round(greatest((SELECT max(lo) FROM even), (SELECT min(hi) FROM seldom)), 6) AS a),
+powered AS (SELECT source, n, exp(a * ln(n / CAST((SELECT sum(n) FROM sums) AS DOUBLE))) AS pw FROM sums, exponent),
+quotas AS (
+  SELECT source, n, CAST(least(floor(round(pw / (SELECT sum(pw) FROM powered) * (SELECT sum(n) FROM sums), 3)), floor(n * {MIX.max_repeat})) AS BIGINT) AS quota
+  FROM powered),
+plan AS (SELECT source, n, quota, CAST(quota // n AS INTEGER) AS epochs, quota % n AS rest FROM quotas),
+placed AS (
+  SELECT c.*, epochs, rest, {place("epochs + 1")} AS last_place
+  FROM counted c JOIN plan ON c.source IS NOT DISTINCT FROM plan.source WHERE tokens > 0),
+summed AS (
+  SELECT *, epochs + CASE WHEN sum(tokens) OVER (PARTITION BY source ORDER BY last_place RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) <= rest
+                          THEN 1 ELSE 0 END AS times
+  FROM placed),
+used AS (SELECT *, CAST(unnest(range(1, times + 1)) AS INTEGER) AS epoch FROM summed)
+SELECT {columns}, epoch, {place("epoch")} AS place, tokens FROM used
+"""
+
+
 QUERIES = {
+    "op8_temperature_mix": op8_temperature_mix,
     "op5_feistel_pii": op5_feistel_pii,
     "op2_chat_parts": op2_chat_parts,
     "op7_bloom_cascade": op7_bloom_cascade,
 }
 
 ORACLE = {
+    "op8_temperature_mix": mix_sql("documents", "doc_id, source"),
     "op2_chat_parts": OP2_SQL,
     "op7_bloom_cascade": OP7_SQL,
 }
