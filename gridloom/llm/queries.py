@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import chat, mixing, pseudonyms, url_filter
+from gridloom.llm import chat, decontam, mixing, pseudonyms, url_filter
 from gridloom.llm.common import literal_table, table
 
 #: A key for tests; a real one comes from a vault.
@@ -133,7 +133,16 @@ SELECT {columns}, epoch, {place("epoch")} AS place, tokens FROM used
 """
 
 
+def op9_edit_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontam.find_matches(docs, table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", (F.size("matches") > 0).alias("contaminated"), F.col("matches.item_id").alias("item_ids"), F.array_min("matches.distance").alias("edits")
+    )
+
+
 QUERIES = {
+    "op9_edit_decontam": op9_edit_decontam,
     "op8_temperature_mix": op8_temperature_mix,
     "op5_feistel_pii": op5_feistel_pii,
     "op2_chat_parts": op2_chat_parts,
