@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import chat, decontam, mixing, pseudonyms, url_filter
+from gridloom.llm import chat, decontam, mixing, pseudonyms, token_counts, url_filter
 from gridloom.llm.common import literal_table, table
 
 #: A key for tests; a real one comes from a vault.
@@ -141,7 +142,13 @@ def op9_edit_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_pretoken_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+
+
 QUERIES = {
+    "op6_pretoken_counts": op6_pretoken_counts,
     "op9_edit_decontam": op9_edit_decontam,
     "op8_temperature_mix": op8_temperature_mix,
     "op5_feistel_pii": op5_feistel_pii,
