@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import chat, decontam, mixing, pseudonyms, token_counts, url_filter
+from gridloom.llm import chat, decontam, mixing, near_dups, pseudonyms, token_counts, url_filter
 from gridloom.llm.common import literal_table, table
 
 #: A key for tests; a real one comes from a vault.
@@ -147,7 +147,12 @@ def op6_pretoken_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
 
 
+def op10_hamming_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dups.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), near_dups.Rule(percent=85))
+
+
 QUERIES = {
+    "op10_hamming_dedup": op10_hamming_dedup,
     "op6_pretoken_counts": op6_pretoken_counts,
     "op9_edit_decontam": op9_edit_decontam,
     "op8_temperature_mix": op8_temperature_mix,
