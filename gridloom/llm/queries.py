@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import chat, decontam, mixing, near_dups, pseudonyms, token_counts, url_filter
+from gridloom.llm import chat, decontam, language_crf, mixing, near_dups, pseudonyms, token_counts, url_filter
 from gridloom.llm.common import literal_table, table
 
 #: A key for tests; a real one comes from a vault.
@@ -151,7 +151,15 @@ def op10_hamming_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), near_dups.Rule(percent=85))
 
 
+def op1_crf_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_crf.train(docs)
+    found = language_crf.predict(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", language_crf.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 QUERIES = {
+    "op1_crf_language_id": op1_crf_language_id,
     "op10_hamming_dedup": op10_hamming_dedup,
     "op6_pretoken_counts": op6_pretoken_counts,
     "op9_edit_decontam": op9_edit_decontam,
