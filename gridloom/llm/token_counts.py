@@ -14,6 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,7 +27,9 @@ BLOCK_BYTES = 8 << 20
 SUM_PAIRS = 4_000_000
 #: Low bits of a document id that stand in a posting; the others are a column.
 LOW_BITS = 16
-PAIR = np.dtype([("low", "<u2"), ("n", "<u4")])
+#: Low bits of a document id that stand in a row of sums.
+SLICE_BITS = 12
+LOW, SUM = np.dtype("<u2"), np.dtype("<i8")
 
 
 def load(path: str):
@@ -68,7 +71,7 @@ def single_pieces(tokenizer) -> frozenset[str]:
 
 def frequencies(docs: DataFrame, pattern: str, specials: list[str], singles: frozenset[str], text: str, doc_id: str) -> DataFrame:
     """Rows ``(pretoken, high, postings)``: for a block of texts and a pre-token, the documents it is in, whose ids share
-    their high bits, and how often. What needs no encoding, special strings and pre-tokens that are one piece, is
+    their high bits, as low bits, once for each time it occurs there. What needs no encoding, special strings and pre-tokens that are one piece, is
     added up under a null pre-token."""
     splitter = regex.compile("|".join(map(regex.escape, specials))) if specials else None
     cut = regex.compile(pattern).findall
@@ -107,9 +110,8 @@ def frequencies(docs: DataFrame, pattern: str, specials: list[str], singles: fro
             high = np.where(sorted_known, sorted_ids >> LOW_BITS, 0)[at]
             valid = sorted_known[at]
             starts = np.flatnonzero(np.r_[True, (np.diff(code) != 0) | (np.diff(high) != 0) | (np.diff(valid) != 0)])
-            data = np.empty(len(code), PAIR)
-            data["low"], data["n"] = np.where(valid, sorted_ids[at] & ((1 << LOW_BITS) - 1), 0), n
-            offsets = (np.r_[starts, len(code)] * PAIR.itemsize).astype(np.int32)
+            data = np.repeat(np.where(valid, sorted_ids[at] & ((1 << LOW_BITS) - 1), 0).astype(LOW), n)
+            offsets = (np.r_[0, np.cumsum(n)][np.r_[starts, len(code)]] * LOW.itemsize).astype(np.int32)
             postings = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data.tobytes())])
             first = code[starts]
             names = pa.array(distinct, pa.string()) if len(distinct) else pa.array([""], pa.string())
@@ -135,35 +137,69 @@ def pieces(pretokens: DataFrame, path: str) -> DataFrame:
 
 
 def add_up(joined: DataFrame) -> DataFrame:
-    """``(doc_id, n_tokens)``, several rows per document, from ``(high, postings, pieces)``."""
+    """``(slice, lows, sums)`` from ``(high, postings, pieces)``: tokens that a task has found in each document, packed by
+    slices of ids. A slice is null for documents without id."""
 
     def flush(ids: list[np.ndarray], valid: list[np.ndarray], counts: list[np.ndarray]) -> pa.RecordBatch:
         ids, valid, counts = np.concatenate(ids), np.concatenate(valid), np.concatenate(counts)
         keys, inverse = np.unique(ids[valid], return_inverse=True)
-        sums = np.bincount(inverse, counts[valid], len(keys)).astype(np.int64)
-        lost = counts[~valid].sum()
-        keys, sums, mask = np.r_[keys, 0], np.r_[sums, lost], np.r_[np.zeros(len(keys), bool), True]
-        keep = slice(None) if (~valid).any() else slice(0, -1)
-        return pa.RecordBatch.from_arrays([pa.array(keys[keep], pa.int64(), mask=mask[keep]), pa.array(sums[keep].astype(np.int64))], ["doc_id", "n_tokens"])
+        sums = np.zeros(len(keys), SUM)
+        np.add.at(sums, inverse, counts[valid])
+        slices = keys >> SLICE_BITS
+        cuts = np.flatnonzero(np.r_[True, slices[1:] != slices[:-1]]) if len(keys) else np.zeros(0, np.int64)
+        ends = np.r_[cuts[1:], len(keys)]
+        lows = (keys & ((1 << SLICE_BITS) - 1)).astype(LOW)
+        rows = [(int(slices[a]), lows[a:b].tobytes(), sums[a:b].tobytes()) for a, b in zip(cuts, ends, strict=False)]
+        if not valid.all():
+            rows.append((None, np.zeros(1, LOW).tobytes(), np.array([counts[~valid].sum()], SUM).tobytes()))
+        return pa.RecordBatch.from_arrays(
+            [pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.binary(), pa.binary()))], ["slice", "lows", "sums"]
+        )
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, valid, counts, held = [], [], [], 0
         for batch in batches:
             high, postings = batch.column("high"), batch.column("postings")
-            sizes = pa.compute.binary_length(postings).to_numpy() // PAIR.itemsize
-            data = np.frombuffer(b"".join(postings.to_pylist()), PAIR)
-            known = np.repeat(high.is_valid().to_numpy(zero_copy_only=False), sizes)
-            ids.append((np.repeat(high.fill_null(0).to_numpy(), sizes) << LOW_BITS) | data["low"])
-            valid.append(known)
-            counts.append(data["n"] * np.repeat(batch.column("pieces").to_numpy(), sizes))
-            held += len(data)
+            sizes = pc.binary_length(postings).to_numpy() // LOW.itemsize
+            lows = np.frombuffer(b"".join(postings.to_pylist()), LOW)
+            ids.append((np.repeat(high.fill_null(0).to_numpy(), sizes) << LOW_BITS) | lows)
+            valid.append(np.repeat(high.is_valid().to_numpy(zero_copy_only=False), sizes))
+            counts.append(np.repeat(batch.column("pieces").to_numpy(), sizes))
+            held += len(lows)
             if held >= SUM_PAIRS:
                 yield flush(ids, valid, counts)
                 ids, valid, counts, held = [], [], [], 0
         if held:
             yield flush(ids, valid, counts)
 
-    return joined.mapInArrow(work, "doc_id bigint, n_tokens bigint")
+    return joined.mapInArrow(work, "slice bigint, lows binary, sums binary")
+
+
+def unpack(sums: DataFrame) -> DataFrame:
+    """``(doc_id, n_tokens)``, one row per document, from ``(slice, lows, sums)`` sorted by slice."""
+
+    def rows(number: int | None, tokens: np.ndarray, seen: np.ndarray) -> pa.RecordBatch:
+        lows = np.flatnonzero(seen)
+        ids = pa.array((np.int64(number or 0) << SLICE_BITS) | lows, pa.int64(), mask=np.full(len(lows), number is None))
+        return pa.RecordBatch.from_arrays([ids, pa.array(tokens[lows])], ["doc_id", "n_tokens"])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begun, number = False, None
+        for batch in batches:
+            for found, lows, values in zip(*(batch.column(c).to_pylist() for c in ("slice", "lows", "sums")), strict=True):
+                if not begun or found != number:
+                    if begun:
+                        yield rows(number, tokens, seen)
+                    begun, number = True, found
+                    tokens, seen = np.zeros(1 << SLICE_BITS, np.int64), np.zeros(1 << SLICE_BITS, bool)
+                at = np.frombuffer(lows, LOW)
+                tokens[at] += np.frombuffer(values, SUM)
+                seen[at] = True
+        if begun:
+            yield rows(number, tokens, seen)
+
+    n = int(sums.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return sums.repartition(n, "slice").sortWithinPartitions("slice").mapInArrow(work, "doc_id bigint, n_tokens bigint")
 
 
 def count_tokens(docs: DataFrame, path: str, pattern: str, limit: int = 512, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -175,15 +211,15 @@ def count_tokens(docs: DataFrame, path: str, pattern: str, limit: int = 512, tex
     one by one and added up; rows with a null id are the document null. Other columns are ignored.
 
     Frequencies are shuffled once, by pre-token, in blocks: a pre-token that is in every document is one row per
-    block, not per document. Both sides of the join read that shuffle. The last shuffle holds one number per
-    document and task of the join at most.
+    block, not per document. Both sides of the join read that shuffle. What a task of the join has
+    found is added up by document and packed by slices of ids before it is shuffled.
     """
     tokenizer = load(path)
     rows = frequencies(docs, pattern, special_strings(tokenizer), single_pieces(tokenizer), text, doc_id).repartition("pretoken")
     # Sums over the other columns keep this side's columns those of the other, so that both read one shuffle.
     distinct = rows.groupBy("pretoken").agg(F.count("high").alias("blocks"), F.sum(F.octet_length("postings")).alias("size"))
     joined = rows.join(pieces(distinct, path), "pretoken", "left").select("high", "postings", F.coalesce("pieces", F.lit(1)).alias("pieces"))
-    counted = add_up(joined).select("doc_id", F.lit(0).cast("bigint").alias("n_bytes"), "n_tokens")
+    counted = unpack(add_up(joined)).select("doc_id", F.lit(0).cast("bigint").alias("n_bytes"), "n_tokens")
     sizes = docs.select(
         F.col(doc_id).cast("bigint").alias("doc_id"), F.coalesce(F.octet_length(text), F.lit(0)).cast("bigint").alias("n_bytes"), F.lit(0).cast("bigint").alias("n_tokens")
     )
