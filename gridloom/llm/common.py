@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,7 +41,7 @@ def by_size(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Iterat
     follow the length of texts times Arrow's rows per batch. A slice holds one row at least; none is left out."""
     for batch in batches:
         texts = batch.column(column)
-        sizes = pa.compute.fill_null(pa.compute.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+        sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
         start, held = 0, 0
         for i, size in enumerate(sizes):
             if i > start and held + size > most:

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import chat, decontam, language_crf, mixing, near_dups, pseudonyms, token_counts, url_filter
+from gridloom.llm import chat, decontam, language_crf, mixing, near_dups, page_template, pseudonyms, token_counts, url_filter
 from gridloom.llm.common import literal_table, table
 
 #: A key for tests; a real one comes from a vault.
@@ -158,7 +158,13 @@ def op1_crf_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language_crf.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op4_template_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = page_template.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
 QUERIES = {
+    "op4_template_extract": op4_template_extract,
     "op1_crf_language_id": op1_crf_language_id,
     "op10_hamming_dedup": op10_hamming_dedup,
     "op6_pretoken_counts": op6_pretoken_counts,
