@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -52,6 +53,22 @@ def by_size(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Iterat
             yield batch.slice(start)
 
 
+def groups_of(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
+    """Runs of equal ``key`` of sorted batches, each as a table."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        keys = batch.column(key).to_numpy(zero_copy_only=False)
+        cuts = np.r_[0, np.flatnonzero(keys[1:] != keys[:-1]) + 1, len(keys)]
+        for start, stop in zip(cuts[:-1], cuts[1:], strict=True):
+            piece = batch.slice(start, stop - start)
+            if held and held[0].column(key)[0].as_py() != keys[start]:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(piece)
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """Connected components of undirected ``edges``: one row ``(node, component)`` per node, ``component`` the smallest
     node it can reach. Nodes and edges stay distributed.
@@ -87,4 +104,4 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     return links.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)
 
 
-__all__ = ["by_size", "components", "ensure_checkpoint_dir", "let", "literal_table", "materialise", "table", "total"]
+__all__ = ["by_size", "components", "ensure_checkpoint_dir", "groups_of", "let", "literal_table", "materialise", "table", "total"]

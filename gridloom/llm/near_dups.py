@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridloom.llm import shingles
-from gridloom.llm.common import by_size, components, materialise
+from gridloom.llm.common import by_size, components, groups_of, materialise
 
 #: Bytes of text shingled at once.
 BLOCK_BYTES = 4 << 20
@@ -120,22 +120,6 @@ def close_enough(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").where(fits).mapInArrow(work, "a bigint, b bigint")
 
 
-def groups_of(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
-    """Runs of equal ``key`` of sorted batches, each as a table."""
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        keys = batch.column(key).to_numpy(zero_copy_only=False)
-        cuts = np.r_[0, np.flatnonzero(keys[1:] != keys[:-1]) + 1, len(keys)]
-        for start, stop in zip(cuts[:-1], cuts[1:], strict=True):
-            piece = batch.slice(start, stop - start)
-            if held and held[0].column(key)[0].as_py() != keys[start]:
-                yield pa.Table.from_batches(held)
-                held = []
-            held.append(piece)
-    if held:
-        yield pa.Table.from_batches(held)
-
-
 def confirm(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, rule: Rule, text: str, doc_id: str) -> DataFrame:
     """Links ``(a, b)`` among ``pairs(piece, a, b)``, decided on full sets. ``piece`` names groups of pairs that have few
     sets among them: each set is sent to a group once, and a task holds the sets of one group at a time."""

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import chat, decontam, language_crf, mixing, near_dups, page_template, pseudonyms, token_counts, url_filter
+from gridloom.llm import chat, decontam, language_crf, maxscore, mixing, near_dups, page_template, pseudonyms, token_counts, url_filter
 from gridloom.llm.common import literal_table, table
 
 #: A key for tests; a real one comes from a vault.
@@ -163,7 +163,26 @@ def op4_template_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
 
 
+def op3_maxscore_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").where(maxscore.usable(F.col("embedding")))
+    vectors = rows.select(F.col("vec_id").alias("id"), maxscore.quantised(F.col("embedding")).alias("vector"))
+    return maxscore.top_k(vectors.where("id % 20 = 0"), vectors, 20)
+
+
+OP3_SQL = """
+WITH vectors AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+  FROM vectors q JOIN vectors c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id)
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scored)
+WHERE place <= 20
+"""
+
 QUERIES = {
+    "op3_maxscore_topk": op3_maxscore_topk,
     "op4_template_extract": op4_template_extract,
     "op1_crf_language_id": op1_crf_language_id,
     "op10_hamming_dedup": op10_hamming_dedup,
@@ -176,6 +195,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op3_maxscore_topk": OP3_SQL,
     "op8_temperature_mix": mix_sql("documents", "doc_id, source"),
     "op2_chat_parts": OP2_SQL,
     "op7_bloom_cascade": OP7_SQL,
