@@ -69,11 +69,14 @@ class Settings:
 
 @dataclass(frozen=True)
 class Place:
-    """Where a token stands: hash of its path of elements, whether within the article, whether within what is none."""
+    """Where a token stands: hash of its path of elements, whether within the article, whether within what is none; and the
+    hashes of the tags that begin and end it."""
 
-    path: int
+    path: str
     main: bool
     aside: bool
+    opened: int
+    closed: int
 
 
 def digest(*parts: str) -> int:
@@ -84,10 +87,13 @@ def digest(*parts: str) -> int:
 def place_below(above: Place, name: str, marks: str) -> Place:
     main = above.main or name in MAIN
     aside = above.aside or name in ASIDE or name == "header" and not main or bool(BOILERPLATE.search(marks))
-    return Place(digest(str(above.path), name, marks), main, aside)
+    path = f"{digest(above.path, name, marks):x}"
+    return Place(path, main, aside, digest("open", path), digest("close", path))
 
 
-ROOT = Place(0, False, False)
+ROOT = Place("", False, False, 0, 0)
+#: End of the elements whose content is no markup.
+RAW_ENDS = {name: re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.IGNORECASE) for name in RAW}
 
 
 def tokens(html: str) -> Iterator[tuple[str, int, Place, str]]:
@@ -128,7 +134,7 @@ def tokens(html: str) -> Iterator[tuple[str, int, Place, str]]:
             if i >= 0:
                 place = stack[i][1]
                 del stack[i:]
-                yield "close" if name not in INLINE else "inline", digest("close", str(place.path)), place, name
+                yield "close" if name not in INLINE else "inline", place.closed, place, name
             continue
         if name == "br":
             yield "text", 0, top(), " "
@@ -144,11 +150,11 @@ def tokens(html: str) -> Iterator[tuple[str, int, Place, str]]:
         marks = " ".join(m[2].strip("\"'") for m in ATTRIBUTE.finditer(rest)) if "=" in rest else ""
         place = place_below(top(), name, marks)
         if name in RAW:
-            over = re.compile(rf"</{re.escape(name)}\b[^>]*(?:>|\Z)", re.IGNORECASE).search(html, at)
+            over = RAW_ENDS[name].search(html, at)
             at = over.end() if over else len(html)
-            yield "open", digest("raw", str(place.path)), place, name
+            yield "open", place.opened, place, name
             continue
-        yield "open" if name not in INLINE else "inline", digest("open", str(place.path)), place, name
+        yield "open" if name not in INLINE else "inline", place.opened, place, name
         if not rest.endswith("/") or name not in ("svg", "path"):
             stack.append((name, place))
 
@@ -159,7 +165,7 @@ def keyed(html: str) -> list[tuple[str, int, Place, str]]:
     for kind, key, place, text in tokens(html):
         if kind == "text":
             words = " ".join(text.split())
-            key = digest("text", str(place.path), words) if words else 0
+            key = digest("text", place.path, words) if words else 0
         out.append((kind, key, place, text))
     return out
 
