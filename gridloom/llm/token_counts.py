@@ -12,7 +12,6 @@ import os
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
@@ -92,7 +91,8 @@ def frequencies(docs: DataFrame, pattern: str, specials: list[str], singles: fro
                 found = [w for s in segments for w in cut(s)]
                 lengths[i] = len(found)
                 words += found
-            codes, distinct = pd.factorize(np.array(words, dtype=object))
+            coded = pa.array(words, pa.string()).dictionary_encode()
+            codes, distinct = coded.indices.to_numpy(), coded.dictionary.to_pylist()
             del words
             place = np.repeat(np.arange(len(ids)), lengths)
             single = np.fromiter((w in singles for w in distinct), bool, len(distinct))
