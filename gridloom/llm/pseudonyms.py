@@ -25,7 +25,7 @@ PATTERNS = {
     "ipv4": rf"(?<![\w.]){OCTET}\.{OCTET}\.{OCTET}\.{OCTET}(?!\.?\w)",
     "date": r"(?<![\w./-])(?:(?:19|20)\d\d-\d\d-\d\d|\d\d/\d\d/(?:19|20)\d\d|\d\d\.\d\d\.(?:19|20)\d\d)(?![./-]?\w)",
     "phone": r"(?<![\w+(])(?:\+1[ .-]?)?(?:\(\d{3}\)[ .-]?|\d{3}[.-])\d{3}[ .-]\d{4}(?!\w)",
-    "card": r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w])",
+    "card": r"(?<!\w)(?<!\d[.-])(?:\d{13,19}|\d{4}(?: \d{4}){3}|\d{4}(?:-\d{4}){3}|\d{4} \d{6} \d{5})(?!\w)",
 }
 ANY = "|".join(PATTERNS.values())
 #: Spellings of dates: pattern of the match, and the format that reads and writes it.
