@@ -182,6 +182,8 @@ def fit(texts: list[str], langs: list[str], settings: Settings) -> Model:
     rng = np.random.default_rng(settings.seed)
     labels = sorted(set(langs))
     k = len(labels)
+    if not k:
+        return Model([], np.zeros((1, 0)), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros((0, 0)), np.zeros((0, 0)))
     number, distinct, counts = words_of(pa.array(texts, pa.string()))
     own = np.array([labels.index(x) for x in langs], np.int64)
     affixes, grams, gram_counts, hashes = features(distinct, settings.buckets)
