@@ -6,6 +6,9 @@ comparison by correlated NOT EXISTS, containment by a self join, conversions by
 
 from __future__ import annotations
 
+from gridloom.catalog.inputs import TEXT_OF_KIND
+from gridloom.plans.profiles import APPREHENSIONS
+
 SERIAL_EPOCH = "date '1899-12-30'"
 
 
@@ -17,7 +20,7 @@ def clean(c: str) -> str:
 
 
 def squish(c: str) -> str:
-    return rf"trim(regexp_replace({c}, '\s+', ' ', 'g'))"
+    return rf"trim(regexp_replace({c}, '[\s\x0B\x{{85}}\x{{A0}}\p{{Z}}]+', ' ', 'g'))"
 
 
 def name(c: str) -> str:
@@ -31,7 +34,7 @@ def name(c: str) -> str:
 
 
 def has_data(c: str) -> str:
-    return f"coalesce(regexp_matches(cast({c} as varchar), '\\S'), false)"
+    return rf"coalesce(regexp_matches(cast({c} as varchar), '[^\s\x0B\x{{85}}\x{{A0}}\p{{Z}}]'), false)"
 
 
 # ---- conversions of cleaned text
@@ -197,8 +200,8 @@ wide as (select source_file, source_sheet, row_number,
   from cell_match semi join kept_rows using (source_file, source_sheet, row_number) group by all)"""
 
 EVENTS = """
-ev as (select *, cast(ts as date) event_date, lpad(cast(ascii(event_type) * 2 as varchar), 4, '0') n0,
-    lpad(cast(ascii(event_type) * 2 + 1 as varchar), 4, '0') n1 from events),
+ev as (select *, cast(ts as date) event_date, cast(ascii(event_type) * 100 as varchar) n0,
+    cast(ascii(event_type) * 100 + 1 as varchar) n1 from events),
 parts as (select n0 || '_' || event_type || '_all' part_file, event_type || '.xlsx' source_file, 'all' source_sheet, event_date, event_id from ev
   union all select n1 || '_' || event_type || '_w2', event_type || '.xlsx', 'w2', event_date, event_id from ev
   where ts >= timestamp '2024-01-08' and ts < timestamp '2024-01-15' and value >= 1),
@@ -220,10 +223,10 @@ compared as (select spine.*, coalesce(s.daily_count, 0) smaller_daily_count, coa
 
 WEEKLY = EVENTS + """,
 weekly as (select source_file, source_sheet, cast(date_trunc('week', event_date) as date) week_start, count(*) event_count from parts group by all),
-numbered as (select w.*, substr(m.part_file, 1, 4) part_number from weekly w left join meta m using (source_file, source_sheet))"""
+numbered as (select w.*, split_part(m.part_file, '_', 1) part_number from weekly w left join meta m using (source_file, source_sheet))"""
 
 YEARLY = """
-dates as (select lpad(cast(year(o_orderdate) - 1991 as varchar), 4, '0') || '_year.parquet' part_file, cast(o_orderdate as date) d from orders
+dates as (select cast((year(o_orderdate) - 1990) * 2500 as varchar) || '_year.parquet' part_file, cast(o_orderdate as date) d from orders
   union all select '0100_customer_' || cast(o_custkey as varchar), cast(o_orderdate as date) from orders),
 meta as (select part_file, min(d) min_date, max(d) max_date, count(*) n_rows from dates group by all),
 ranges as (select min_date, max_date, count(*) same from meta group by all),
@@ -231,25 +234,39 @@ flagged as (select m.*, r.same > 1 or exists (select 1 from ranges o where o.min
     and (o.min_date < m.min_date or o.max_date > m.max_date)) contained
   from meta m join ranges r using (min_date, max_date))"""
 
+CONVERT = {"datetime": as_datetime, "date": as_date, "time": as_time, "logical": as_logical, "integer": as_integer, "double": as_double, "text": str}
+
+
+def wide_typed(spec) -> str:
+    """Every column of a wide table; the six dirty texts are converted once and stand under many names."""
+    kinds = ", ".join(f"{convert('c_' + kind)} v_{kind}" for kind, convert in CONVERT.items())
+    cleaned = ", ".join(f"{clean(TEXT_OF_KIND[kind])} c_{kind}, {redacted(TEXT_OF_KIND[kind])} r_{kind}" for kind in CONVERT)
+    columns = [f"v_{spec.kind(c)} {c}" for c in spec.order] + [f"r_{spec.kind(c)} {c}_redacted" for c in spec.order if c in spec.redaction_flags]
+    return f"""with {RAW}, cleaned as (select record_id, {cleaned} from raw), converted as (select *, {kinds} from cleaned)
+select record_id, {', '.join(columns)} from converted"""
+
+
 BENCHMARK = """
 bm_counts as (select year(o_orderdate) + case when month(o_orderdate) >= 10 then 1 else 0 end fy, month(o_orderdate) m,
     case when o_orderpriority = '5-LOW' then 'OTHER' else 'MAIN' end component, count(*) n from orders group by all),
-bm_named as (select *, ['Jan','Feb','Mar','Apr','May','Jun','Jul','Aug','Sep','Oct','Nov','Dec'][m] month_abbreviation from bm_counts),
+bm_large as (select * from bm_counts qualify n >= 0.9::double * avg(n) over (partition by component)),
+bm_named as (select *, ['Jan','Feb','Mar','Apr','May','Jun','Jul','Aug','Sep','Oct','Nov','Dec'][m] month_abbreviation from bm_large),
 releases as (
   select 'r1' benchmark_id, date '2000-01-01' release_date, 'FY' || cast(fy as varchar) fiscal_year_text, month_abbreviation, component,
-    cast(n as bigint) encounter_count from bm_named where fy <= 1998
+    cast(case when m <> 5 then n end as bigint) encounter_count from bm_named where fy % 3 <> 0
   union all select 'r2', date '2001-01-01', 'FY' || cast(fy as varchar), month_abbreviation, component,
-    cast(case when m % 4 = 0 then n + 1 else n end as bigint) from bm_named where fy >= 1998 and fy < 2001),
+    cast(case when m % 4 = 0 then n + 1 else n end as bigint) from bm_named where fy % 3 <> 1
+  union all select 'r2', date '2001-01-01', 'FY' || cast(max(year(o_orderdate)) + 2 as varchar), 'Jan', 'MAIN', 5 from orders),
 bm as (select benchmark_id, release_date, cast(regexp_extract(fiscal_year_text, '[0-9]+') as integer) fiscal_year,
     cast(list_position(['Jan','Feb','Mar','Apr','May','Jun','Jul','Aug','Sep','Oct','Nov','Dec'], month_abbreviation) as integer) fiscal_month,
     month_abbreviation, encounter_count from releases where component = 'MAIN'),
 bm_dated as (select *, fiscal_year - case when fiscal_month >= 10 then 1 else 0 end calendar_year,
     make_date(fiscal_year - case when fiscal_month >= 10 then 1 else 0 end, fiscal_month, 1) month_start from bm),
-latest as (select benchmark_id, release_date, fiscal_year, fiscal_month, month_start, cast(sum(encounter_count) as bigint) benchmark_count
+latest as (select benchmark_id, release_date, fiscal_year, fiscal_month, month_start, cast(coalesce(sum(encounter_count), 0) as bigint) benchmark_count
   from bm_dated group by benchmark_id, release_date, fiscal_year, fiscal_month, month_start
   qualify row_number() over (partition by month_start order by release_date desc, benchmark_id desc) = 1),
 monthly as (select cast(date_trunc('month', o_orderdate) as date) month_start, count(*) final_count from orders
-  where o_orderpriority <> '5-LOW' and o_orderdate >= timestamp '1995-03-01'
+  where o_orderpriority <> '5-LOW'
     and cast(o_orderdate as date) between (select min(month_start) from latest) and (select last_day(max(month_start)) from latest)
   group by all),
 xref as (select cast(coalesce(fiscal_year, year(month_start) + case when month(month_start) >= 10 then 1 else 0 end) as integer) fiscal_year,
@@ -259,7 +276,7 @@ xref as (select cast(coalesce(fiscal_year, year(month_start) + case when month(m
     final_count = benchmark_count exact_match,
     case when final_count is null then 'missing from final' when benchmark_count is null then 'missing from benchmark'
       when final_count = benchmark_count then 'exact match' else 'difference' end status
-  from (select * from latest where fiscal_year <> 1999) l full join monthly using (month_start))"""
+  from latest l full join monthly using (month_start))"""
 
 ANCHOR = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|''[^'']*''|[^\s"''>]+)[^>]*>(.*?)</a\s*>"""
 
@@ -397,7 +414,7 @@ ORACLE: dict[str, str] = {
     "parts_incremental": q(SHEETS, f"select source_file, source_sheet, ordinal, lpad(cast(ordinal as varchar), 4, '0') || '_' || {name("replace(source_file, '.xlsx', '')")} || '_' || {name('source_sheet')} part_file from (select *, row_number() over (order by source_file >= 'file_3', source_file, source_sheet) ordinal from sheets) s"),
     "parts_check": q(HEADERS, "select (select count(*) from sheets) expected_parts, (select count(*) from headers) written_parts, (select count(*) from sheets) = (select count(*) from headers) complete"),
     # part metadata
-    "parse_date_ladder": q(RAW, f"select record_id, {ladder('date_text')} event_date, {ladder('stamp_text')} stamp_date from raw"),
+    "parse_date_ladder": q(RAW, f"select record_id, {ladder('date_text')} event_date, {ladder('stamp_text')} stamp_date, {ladder("(chr(160) || date_text || chr(8195) || '(see 3/4)')")} noted_date, {ladder("(chr(160) || date_text || chr(8195))")} spaced_date from raw"),
     "non_empty_columns": q(PARTS, f"select part_file, cast(len(l) as integer) n_non_empty_cols, array_to_string(l, ' | ') non_empty_cols from ({non_empty(PART_COLUMNS, 'parts')}) x"),
     "preferred_date_column": q(DATED_PARTS, PREFERRED),
     "part_summary": q(DATED_PARTS, f"""select p.part_file, p.source_file, p.source_sheet, p.n_rows, d.date_column,
@@ -448,6 +465,8 @@ ORACLE: dict[str, str] = {
     "to_double": conversion(["ratio_text", "int_text"], as_double),
     "redaction_flag": q(RAW, f"select record_id, {', '.join(f'{redacted(c)} {c}_redacted' for c in ('date_text', 'stamp_text', 'flag_text', 'time_text'))} from raw"),
     "typed_table": q(TYPED, "select * from typed"),
+    "typed_table_wide": wide_typed(APPREHENSIONS.table),
+    "drop_empty_columns_table": q(PAIR, "select * exclude (note_b) from rel_a"),
     "audit_datetime": audit({"stamp_text": BAD["datetime"]}),
     "audit_date": audit({"date_text": BAD["date"]}),
     "audit_time": audit({"time_text": BAD["time"]}),
@@ -471,6 +490,7 @@ ORACLE: dict[str, str] = {
     # benchmark cross reference
     "benchmark_union": q(BENCHMARK, "select * from bm"),
     "fiscal_to_calendar": q(BENCHMARK, "select * from bm_dated"),
+    "benchmark_invalid_months": q(BENCHMARK, "select benchmark_id, release_date, fiscal_year, cast(null as integer) fiscal_month, month_abbreviation || 'x' month_abbreviation, encounter_count from bm where month_abbreviation in ('Jan', 'Feb', 'Mar')"),
     "benchmark_latest": q(BENCHMARK, "select * from latest"),
     "monthly_in_range": q(BENCHMARK, "select * from monthly"),
     "cross_reference": q(BENCHMARK, "select * replace (round(percent_difference, 6) as percent_difference) from xref"),
@@ -479,10 +499,10 @@ ORACLE: dict[str, str] = {
     "monthly_counts_by_source": "select o_orderpriority source_file, cast(date_trunc('month', o_orderdate) as date) month_start, count(*) order_count from orders where cast(o_orderdate as date) >= date '1997-01-01' group by all",
     "weekly_counts_by_source": q(WEEKLY, "select * from weekly"),
     "weekly_with_part": q(WEEKLY, "select * from numbered"),
-    "weekly_with_part_by_file": q(WEEKLY, "select w.*, p.part_number from weekly w left join (select distinct source_file, substr(part_file, 1, 4) part_number from meta) p using (source_file)"),
+    "weekly_with_part_by_file": q(WEEKLY, "select w.*, p.part_number from weekly w left join (select distinct source_file, split_part(part_file, '_', 1) part_number from meta) p using (source_file)"),
     "latest_week_per_part": q(WEEKLY, "select * from numbered where week_start >= date '2024-01-01' qualify row_number() over (partition by part_number order by week_start desc, source_file, source_sheet) = 1"),
     "coverage_contained_flag": q(YEARLY, "select part_file, min_date, max_date, contained from flagged"),
-    "coverage_timeline": q(YEARLY, "select regexp_replace(regexp_replace(part_file, '\\.parquet$', ''), '^[0-9]{4}_', '') part_label, min_date, max_date, n_rows, contained from flagged"),
+    "coverage_timeline": q(YEARLY, "select regexp_replace(regexp_replace(part_file, '\\.parquet$', ''), '^[0-9]+_', '') part_label, min_date, max_date, n_rows, contained from flagged"),
     # older operators
     "collapse_multivalue": q(CHARGES, "select row_number() over (order by order_key, o_orderpriority) identifier, order_key, o_orderpriority, cast(count(*) as integer) n_charges, string_agg(coalesce(charge, '-'), ',' order by line, charge nulls first) charge_list from items group by order_key, o_orderpriority"),
     "list_to_text": q(CHARGES, "select order_key, string_agg(coalesce(charge, 'NA'), ', ' order by line, charge nulls first) charge from items group by order_key, o_orderpriority"),

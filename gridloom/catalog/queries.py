@@ -50,7 +50,7 @@ def register(function: Query) -> Query:
 
 
 def _links(spark, sf):
-    return lk.link_extract(inputs.spread_table(spark, sf, "pages"))
+    return lk.link_extract(table(spark, sf, "pages"))
 
 
 def _classified(links):
@@ -59,7 +59,7 @@ def _classified(links):
 
 def _link_generations(spark, sf):
     """Links of the pages under ``/en/`` as already known, links of all pages as current."""
-    pages = inputs.spread_table(spark, sf, "pages")
+    pages = table(spark, sf, "pages")
     known = lk.link_extract(pages.where(F.col("url").contains("/en/")))
     return _classified(known), _classified(lk.link_extract(pages))
 
@@ -166,12 +166,12 @@ def table_profile(spark, sf):
 
 @register
 def clean_names(spark, sf):
-    return inputs.spread_table(spark, sf, "documents").select("doc_id", fn.clean_names(F.col("text")).alias("clean_name"))
+    return table(spark, sf, "documents").select("doc_id", fn.clean_names(F.col("text")).alias("clean_name"))
 
 
 @register
 def header_detect(spark, sf):
-    return g.header_detect(inputs.stored_grid(spark, sf), APPREHENSIONS.header_terms)
+    return g.header_detect(inputs.grid(spark, sf), APPREHENSIONS.header_terms)
 
 
 @register
@@ -185,12 +185,12 @@ def _inventory(grid):
 
 @register
 def column_inventory(spark, sf):
-    return _inventory(inputs.stored_grid(spark, sf))
+    return _inventory(inputs.grid(spark, sf))
 
 
 @register
 def failed_sheets(spark, sf):
-    grid = inputs.stored_grid(spark, sf)
+    grid = inputs.grid(spark, sf)
     return g.failed_sheets(g.grid_sheet_inventory(grid), g.header_rows(grid, APPREHENSIONS.header_terms))
 
 
@@ -205,7 +205,7 @@ def _known_files(df):
 @register
 def profile_incremental(spark, sf):
     """An inventory of the first files, brought up to date by profiling the unseen files alone."""
-    grid = inputs.stored_grid(spark, sf)
+    grid = inputs.grid(spark, sf)
     old = materialise(_inventory(_known_files(grid)).withColumn("generation", F.lit("old")), "inventory")
     new = _inventory(g.unseen_files(grid, old)).withColumn("generation", F.lit("new"))
     return g.merge_inventory(old, new, INVENTORY_KEYS)
@@ -213,7 +213,7 @@ def profile_incremental(spark, sf):
 
 @register
 def distinct_columns(spark, sf):
-    return cw.distinct_columns(materialise(_inventory(inputs.stored_grid(spark, sf)), "inventory"))
+    return cw.distinct_columns(materialise(_inventory(inputs.grid(spark, sf)), "inventory"))
 
 
 # ---- crosswalk and standardisation
@@ -229,13 +229,13 @@ def _distinct_columns(grid):
 
 @register
 def crosswalk_apply(spark, sf):
-    return cw.crosswalk_apply(_distinct_columns(inputs.stored_grid(spark, sf)), _rules(spark))
+    return cw.crosswalk_apply(_distinct_columns(inputs.grid(spark, sf)), _rules(spark))
 
 
 @register
 def crosswalk_lost(spark, sf):
     """Columns that a crosswalk made from the first two columns of each sheet does not list."""
-    grid = inputs.stored_grid(spark, sf)
+    grid = inputs.grid(spark, sf)
     earlier = _inventory(grid).where(F.col("column_position") <= 2)
     crosswalk = cw.crosswalk_apply(earlier.select("clean_column", "raw_column").distinct(), _rules(spark))
     return cw.crosswalk_lost(_distinct_columns(grid), crosswalk)
@@ -243,12 +243,12 @@ def crosswalk_lost(spark, sf):
 
 @register
 def crosswalk_collapsed(spark, sf):
-    return cw.crosswalk_collapsed(cw.crosswalk_apply(_distinct_columns(inputs.stored_grid(spark, sf)), _rules(spark)))
+    return cw.crosswalk_collapsed(cw.crosswalk_apply(_distinct_columns(inputs.grid(spark, sf)), _rules(spark)))
 
 
 @register
 def crosswalk_conflicts(spark, sf):
-    return cw.crosswalk_conflicts(_inventory(inputs.stored_grid(spark, sf)), cw.rules_frame(spark, CONFLICTING_RULES))
+    return cw.crosswalk_conflicts(_inventory(inputs.grid(spark, sf)), cw.rules_frame(spark, CONFLICTING_RULES))
 
 
 def _layouts(spark, grid):
@@ -257,26 +257,26 @@ def _layouts(spark, grid):
 
 @register
 def repeat_header_drop(spark, sf):
-    grid = inputs.stored_grid(spark, sf)
+    grid = inputs.grid(spark, sf)
     kept = g.repeat_header_drop(grid, _layouts(spark, grid))
     return kept.select("source_file", "source_sheet", "row_number", F.array_join("cells", "|", "").alias("cells_text"))
 
 
 @register
 def standardize_part(spark, sf):
-    grid = inputs.stored_grid(spark, sf)
+    grid = inputs.grid(spark, sf)
     return g.standardize_part(grid, _layouts(spark, grid), WIDE_COLUMNS)
 
 
 @register
 def part_naming(spark, sf):
-    return pt.part_naming(g.grid_sheet_inventory(inputs.stored_grid(spark, sf)))
+    return pt.part_naming(g.grid_sheet_inventory(inputs.grid(spark, sf)))
 
 
 @register
 def parts_incremental(spark, sf):
     """First files as already built parts; the rest named after them."""
-    sheets = g.grid_sheet_inventory(inputs.stored_grid(spark, sf))
+    sheets = g.grid_sheet_inventory(inputs.grid(spark, sf))
     ledger = pt.part_naming(_known_files(sheets))
     return ledger.unionByName(pt.part_naming(sheets, ledger)).select("source_file", "source_sheet", "ordinal", "part_file")
 
@@ -284,7 +284,7 @@ def parts_incremental(spark, sf):
 @register
 def parts_check(spark, sf):
     """Parts built for the sheets that have a header, against all sheets."""
-    grid = inputs.stored_grid(spark, sf)
+    grid = inputs.grid(spark, sf)
     written = pt.part_naming(_inventory(grid).select("source_file", "source_sheet").distinct())
     return pt.parts_check(g.grid_sheet_inventory(grid), written)
 
@@ -299,6 +299,8 @@ def parse_date_ladder(spark, sf):
         "record_id",
         fn.parse_date_ladder(F.col("date_text")).alias("event_date"),
         fn.parse_date_ladder(F.col("stamp_text")).alias("stamp_date"),
+        fn.parse_date_ladder(F.concat(F.lit("\u00a0"), "date_text", F.lit("\u2003(see 3/4)"))).alias("noted_date"),
+        fn.parse_date_ladder(F.concat(F.lit("\u00a0"), "date_text", F.lit("\u2003"))).alias("spaced_date"),
     )
 
 
@@ -454,6 +456,19 @@ def typed_table(spark, sf):
     return ty.typed_table(inputs.raw(spark, sf), RAW_SPEC)
 
 
+@register
+def typed_table_wide(spark, sf):
+    """The full column list of a release, every column of a kind filled with the dirty text of that kind."""
+    raw, spec = inputs.raw(spark, sf), APPREHENSIONS.table
+    return ty.typed_table(raw.select("record_id", *[F.col(inputs.TEXT_OF_KIND[spec.kind(c)]).alias(c) for c in spec.order]), spec)
+
+
+@register
+def drop_empty_columns_table(spark, sf):
+    """A release whose second note is empty throughout."""
+    return g.drop_empty_columns(inputs.pair(spark, sf)[0])
+
+
 def _register_audit(name, audit):
     REGISTERED[name] = lambda spark, sf: audit(inputs.raw(spark, sf), RAW_SPEC)
 
@@ -507,7 +522,7 @@ def pair_summary(spark, sf):
 
 
 def _benchmark(spark, sf):
-    return bm.fiscal_to_calendar(bm.benchmark_union(inputs.benchmark_releases(spark, sf), "MAIN"))
+    return bm.fiscal_to_calendar(bm.benchmark_checked(inputs.benchmark_releases(spark, sf), "MAIN"))
 
 
 @register
@@ -520,6 +535,15 @@ def fiscal_to_calendar(spark, sf):
     return _benchmark(spark, sf)
 
 
+@register
+def benchmark_invalid_months(spark, sf):
+    """The months of one quarter, misspelt."""
+    releases = inputs.benchmark_releases(spark, sf)
+    month = F.col("month_abbreviation")
+    misspelt = F.when(month.isin("Jan", "Feb", "Mar"), F.concat(month, F.lit("x"))).otherwise(month)
+    return bm.benchmark_invalid_months(bm.benchmark_union(releases.withColumn("month_abbreviation", misspelt), "MAIN"))
+
+
 @register
 def benchmark_latest(spark, sf):
     return bm.benchmark_latest(_benchmark(spark, sf))
@@ -531,7 +555,7 @@ def _latest(spark, sf):
 
 
 def _monthly_in_range(spark, sf, benchmark):
-    orders = table(spark, sf, "orders").where("o_orderpriority <> '5-LOW' and o_orderdate >= timestamp_ntz'1995-03-01 00:00:00'")
+    orders = table(spark, sf, "orders").where("o_orderpriority <> '5-LOW'")
     return bm.monthly_in_range(orders, F.col("o_orderdate").cast("date"), benchmark)
 
 
@@ -541,10 +565,8 @@ def monthly_in_range(spark, sf):
 
 
 def _cross_reference(spark, sf):
-    """The table holds no month before March 1995; the benchmark is compared without its year 1999."""
     latest = _latest(spark, sf)
-    monthly = _monthly_in_range(spark, sf, latest)
-    return bm.cross_reference(latest.where("fiscal_year <> 1999"), monthly)
+    return bm.cross_reference(latest, _monthly_in_range(spark, sf, latest))
 
 
 @register
@@ -601,7 +623,7 @@ def _yearly_metadata(spark, sf):
     """Date ranges of order parts by year, and by customer segment within the years."""
     orders = table(spark, sf, "orders").withColumn("event_date", F.col("o_orderdate").cast("date"))
     yearly = orders.select(
-        F.concat(F.lpad((F.year("event_date") - 1991).cast("string"), 4, "0"), F.lit("_year.parquet")).alias("part_file"),
+        F.concat(((F.year("event_date") - 1990) * 2500).cast("string"), F.lit("_year.parquet")).alias("part_file"),
         "event_date",
     )
     customers = orders.select(F.concat(F.lit("0100_customer_"), F.col("o_custkey").cast("string")).alias("part_file"), "event_date")
@@ -662,8 +684,8 @@ def tagged_union_cutoff(spark, sf):
 
 @register
 def release_monthly_counts(spark, sf):
-    """Dirty text to typed table, published once, and monthly counts by source read from it."""
-    typed = materialise(ty.typed_table(inputs.raw(spark, sf), RAW_SPEC), "final")
+    """Dirty text to typed table, and monthly counts by source; only the columns of the date are read and typed."""
+    typed = ty.typed_table(inputs.raw(spark, sf), RAW_SPEC)
     date = rp.event_date_of(["stamp_text", "date_text"])
     return rp.monthly_counts_by_source(typed, date, SINCE, "record_count")
 
@@ -671,7 +693,7 @@ def release_monthly_counts(spark, sf):
 @register
 def release_grid_to_typed(spark, sf):
     """Sheets to typed table: header search, crosswalk, standardisation and typing in one plan."""
-    grid = inputs.stored_grid(spark, sf)
+    grid = inputs.grid(spark, sf)
     profiled = release.profile_grid(grid, APPREHENSIONS)
     typed = ty.typed_table(release.standardized(grid, profiled, WIDE_COLUMNS), APPREHENSIONS.table)
     return typed.groupBy("source_file", "gender", "citizenship").agg(

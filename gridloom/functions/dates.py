@@ -21,10 +21,10 @@ def parse_date_ladder(c: Column, literal_short_years: bool = False) -> Column:
     years, pad = ("{1,4}", "000$1") if literal_short_years else ("{4}", "$1")
     day = F.regexp_extract(s, f"^([0-9]{years}-[0-9]{{1,2}}-[0-9]{{1,2}})", 1)
     year_first = F.regexp_replace(day, "^([0-9]+)", pad).try_cast("date")
-    # the three shapes exclude each other, so one cheap look at the text picks the parser
+    # The beginning of the text picks the parser, whatever follows it.
     return (
-        F.when(s.contains("/"), month_first_date(s, literal_short_years))
-        .when(s.rlike("^[0-9]+-"), year_first)
+        F.when(s.rlike("^[0-9]{1,4}-"), year_first)
+        .when(s.rlike("^[0-9]{1,2}/"), month_first_date(s, literal_short_years))
         .otherwise(serial_to_date(F.floor(serial(s))))
     )
 

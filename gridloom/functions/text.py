@@ -27,16 +27,22 @@ def _accent_table() -> tuple[str, str]:
 
 ACCENTED, UNACCENTED = _accent_table()
 
+# White space beyond ASCII, such as the no-break space, which spreadsheets are full of.
+SPACE = r"[\s\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+
 
 def squish(c: Column) -> Column:
-    """Collapse runs of whitespace to one space and trim. Text without such runs is only trimmed."""
-    uneven = c.rlike(r"[\t-\r]|  ")
-    return F.trim(F.when(uneven, F.regexp_replace(c, r"\s+", " ")).otherwise(c))
+    """Collapse runs of whitespace, Unicode's too, to one space and trim. Text without such runs is only trimmed.
+
+    For headers, metadata and lenient dates; :func:`tidy`, for typed values, knows ASCII whitespace only.
+    """
+    uneven = c.rlike("[\t-\r\u0085\u00a0\u1680\u2000-\u3000]|  ")
+    return F.trim(F.when(uneven, F.regexp_replace(c, SPACE + "+", " ")).otherwise(c))
 
 
 def has_data(c: Column) -> Column:
-    """True when the value is present and not blank; never NULL."""
-    return F.coalesce(c.rlike(r"\S"), F.lit(False))
+    """True when the value is present and not blank, Unicode's white space counted as blank; never NULL."""
+    return F.coalesce(c.rlike("[^" + SPACE[1:]), F.lit(False))
 
 
 def tidy(c: Column) -> Column:

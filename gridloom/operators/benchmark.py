@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from gridloom.functions.convert import to_integer
 from gridloom.functions.dates import calendar_year, fiscal_year, month_start
 from gridloom.functions.text import parse_number
-from gridloom.operators.common import keep_first
+from gridloom.operators.common import CheckFailed, keep_first, require_empty
 
 # Month abbreviations in calendar order, and the outcomes of a monthly comparison.
 MONTHS = ("JAN", "FEB", "MAR", "APR", "MAY", "JUN", "JUL", "AUG", "SEP", "OCT", "NOV", "DEC")
@@ -40,6 +40,15 @@ def benchmark_union(releases: DataFrame, component: str) -> DataFrame:
     )
 
 
+def benchmark_checked(releases: DataFrame, component: str) -> DataFrame:
+    """:func:`benchmark_union`; raises on a month that is not known, and if no release has the component."""
+    rows = benchmark_union(releases, component)
+    require_empty(benchmark_invalid_months(rows), "Benchmark months are not recognised.")
+    if rows.isEmpty():
+        raise CheckFailed(f"No benchmark release has the component {component}.")
+    return rows
+
+
 def benchmark_invalid_months(rows: DataFrame) -> DataFrame:
     """Rows whose month abbreviation is unknown; must be empty."""
     return rows.where(F.col("fiscal_month").isNull())
@@ -54,12 +63,12 @@ def fiscal_to_calendar(rows: DataFrame) -> DataFrame:
 
 
 def benchmark_latest(rows: DataFrame) -> DataFrame:
-    """Monthly totals per release, then per month the total of the newest release.
+    """Monthly totals per release, 0 where all counts are missing, then per month the total of the newest release.
 
     Only release-by-month totals meet the window, so its groups are as small as the number of releases.
     """
     totals = rows.groupBy("benchmark_id", "release_date", "fiscal_year", "fiscal_month", "month_start").agg(
-        F.sum("encounter_count").alias("benchmark_count")
+        F.coalesce(F.sum("encounter_count"), F.lit(0)).alias("benchmark_count")
     )
     return keep_first(totals, ["month_start"], [F.desc("release_date"), F.desc("benchmark_id")])
 

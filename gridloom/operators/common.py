@@ -42,16 +42,6 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
 
 
-def use_all_cores(df: DataFrame) -> DataFrame:
-    """``df`` dealt out over the cluster when its source offers fewer splits than there are cores.
-
-    For sources that cannot be split, such as one row group or one compressed text file, ahead of costly
-    projections. A table of many splits, as any large one, is returned as it is, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared folder and read back. Runs a job.
 

@@ -69,16 +69,18 @@ def populated_positions(grid: DataFrame) -> DataFrame:
     return cells.where(has_data(F.col("cell"))).select(*SHEET, (F.col("pos") + 1).alias("position")).distinct()
 
 
-def column_inventory(grid: DataFrame, headers: DataFrame) -> DataFrame:
+def column_inventory(grid: DataFrame, headers: DataFrame, with_base_name: bool = False) -> DataFrame:
     """One row per named column of each sheet.
 
     A named header cell is itself a value, so dropping blank headers also drops every empty column.
     Repeated names get a numeric suffix. ``cell_position`` counts all cells from 1, ``column_position``
-    only the kept ones. Windows here span one header row, whose width a spreadsheet bounds.
+    only the kept ones. ``with_base_name`` adds the name without suffix. Windows here span one header row, whose
+    width a spreadsheet bounds. Header rows may be anywhere; the last of them bounds the rows that are read.
     """
-    top = grid.where(F.col("row_number") <= HEADER_SEARCH_ROWS)
+    last = headers.agg(F.max("header_row").alias("d")).scalar()
     header_cells = (
-        top.join(headers.where(F.col("header_row").isNotNull()), SHEET)
+        grid.where(F.col("row_number") <= last)
+        .join(headers.where(F.col("header_row").isNotNull()), SHEET)
         .where(F.col("row_number") == F.col("header_row"))
         .select(*SHEET, "header_row", F.posexplode("cells").alias("pos", "cell"))
         .select(*SHEET, "header_row", "pos", squish(F.col("cell")).alias("raw_column"))
@@ -98,6 +100,7 @@ def column_inventory(grid: DataFrame, headers: DataFrame) -> DataFrame:
             F.count("*").over(sheet).alias("ncol"),
             "raw_column",
             F.when(F.col("repeat") > 1, F.concat_ws("_", "base_name", "repeat")).otherwise(F.col("base_name")).alias("clean_column"),
+            *(["base_name"] if with_base_name else []),
             "column_position",
             (F.col("pos") + 1).alias("cell_position"),
         )
@@ -122,9 +125,11 @@ def merge_inventory(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> Data
 def sheet_layouts(inventory: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Per sheet: header row, its named columns, and for each of ``columns`` the cell index (from 0).
 
-    ``inventory`` carries ``canonical_name``. A layout is bounded by the width of a sheet.
+    ``inventory`` carries ``canonical_name``. A layout is bounded by the width of a sheet. Rows that repeat the header
+    repeat it as it stands there, so cells are compared with names without suffix.
     """
-    named = F.collect_list(F.struct((F.col("cell_position") - 1).alias("index"), F.col("clean_column").alias("name")))
+    base = F.col("base_name") if "base_name" in inventory.columns else F.col("clean_column")
+    named = F.collect_list(F.struct((F.col("cell_position") - 1).alias("index"), base.alias("name")))
     places = F.map_from_entries(F.collect_list(F.struct("canonical_name", F.col("cell_position") - 1)))
     wanted = F.array(*[F.lit(c) for c in columns])
     return (

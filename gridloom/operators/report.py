@@ -36,9 +36,9 @@ def weekly_counts_by_source(events: DataFrame, event_date: Column, count: str =
 
 
 def part_lookup(metadata: DataFrame, by_file: bool = False) -> DataFrame:
-    """Part number, the first four characters of the part file, by file and sheet (or by file alone)."""
+    """Part number, the digits before the first underscore of the part file, by file and sheet (or by file alone)."""
     keys = ["source_file"] if by_file else ["source_file", "source_sheet"]
-    return metadata.select(*keys, F.substring("part_file", 1, 4).alias("part_number")).distinct()
+    return metadata.select(*keys, F.regexp_extract("part_file", "^([0-9]+)_", 1).alias("part_number")).distinct()
 
 
 def weekly_with_part(weekly: DataFrame, metadata: DataFrame, by_file: bool = False) -> DataFrame:
@@ -58,7 +58,7 @@ def latest_week_per_part(weekly: DataFrame, since: str) -> DataFrame:
 
 def coverage_timeline(metadata: DataFrame) -> DataFrame:
     """Part label, range, rows and containment, latest start first."""
-    label = F.regexp_replace(F.regexp_replace("part_file", r"\.parquet$", ""), r"^[0-9]{4}_", "")
+    label = F.regexp_replace(F.regexp_replace("part_file", r"\.parquet$", ""), r"^[0-9]+_", "")
     return (
         coverage_contained_flag(metadata)
         .select(label.alias("part_label"), "min_date", "max_date", "n_rows", "contained")

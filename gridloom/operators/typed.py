@@ -28,41 +28,10 @@ def column_order_report(df: DataFrame, order: Sequence[str]) -> DataFrame:
     return df.sparkSession.range(1).select(F.inline(F.array(*structs)))
 
 
-WIDE = 40
-
-
 def _texts(columns: Sequence[str]) -> Column:
     return F.array(*[F.col(c).cast("string") for c in columns])
 
 
-def _typed_wide(df: DataFrame, spec: TableSpec, flagged: Sequence[str]) -> DataFrame:
-    """Typing by array: one expression per kind of column instead of one per column.
-
-    The code of a projection over very many columns outgrows what the JVM takes in one method. Here all
-    columns are cleaned as one array and each kind is converted as one; both keep their column's index.
-    """
-    columns = df.columns
-    by_kind = {k: [c for c in columns if spec.kind(c) == k] for k in CONVERTERS}
-    tidied = df.select(
-        F.transform(_texts(columns), tidy).alias("_text"),
-        *[redaction_flag(F.col(c)).alias(f"{c}_redacted") for c in flagged],
-    )
-    cleaned = tidied.withColumn("_text", F.transform("_text", lambda text: F.when(text != "", text)))
-    place = {c: F.get("_text", F.lit(i)) for i, c in enumerate(columns)}
-    kinds = [k for k, names in by_kind.items() if names and k != "text"]
-    converted = cleaned.select(
-        "*",
-        *[F.transform(F.array(*[place[c] for c in by_kind[k]]), _of(CONVERTERS[k])).alias(f"_{k}") for k in kinds],
-    )
-    place.update({c: F.get(f"_{k}", F.lit(i)) for k in kinds for i, c in enumerate(by_kind[k])})
-    return converted.select(*_with_flags({c: place[c] for c in columns}, flagged))
-
-
-def _of(convert: Callable[[Column], Column]) -> Callable[[Column], Column]:
-    """``convert`` with its value as the only argument, as array functions want it."""
-    return lambda value: convert(value)
-
-
 def _with_flags(values: dict[str, Column], flagged: Sequence[str]) -> list[Column]:
     output = []
     for c, value in values.items():
@@ -75,14 +44,12 @@ def _with_flags(values: dict[str, Column], flagged: Sequence[str]) -> list[Colum
 def typed_table(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Text table to typed table, flags next to their column.
 
-    The cleaned text is a projection of its own, so each conversion refers to it without recomputing it.
-    Tables of more than ``WIDE`` columns go by :func:`_typed_wide`; what reads them should take the
-    published table, since there no single column can be left out of the work.
+    The cleaned text is a projection of its own, so each conversion refers to it without recomputing it. Columns are
+    typed one by one at any width: who reads one column scans and converts that column alone. Very wide
+    tables want ``RECOMMENDED_CONF``, which keeps generated methods small enough for the JVM to compile.
     """
     ordered = column_order(df, spec.order)
     flagged = [c for c in ordered.columns if c in spec.redaction_flags]
-    if len(ordered.columns) > WIDE:
-        return _typed_wide(ordered, spec, flagged)
     cleaned = ordered.select(
         *[clean_text(F.col(c)).alias(c) for c in ordered.columns],
         *[redaction_flag(F.col(c)).alias(f"{c}_redacted") for c in flagged],

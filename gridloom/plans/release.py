@@ -32,7 +32,7 @@ def profile_grid(grid: DataFrame, profile: DatasetProfile, **header_options) ->
     sheets = g.grid_sheet_inventory(grid)
     headers = g.header_rows(grid, profile.header_terms, **header_options)
     rules = cw.rules_frame(grid.sparkSession, profile.crosswalk)
-    inventory = cw.crosswalk_apply(g.column_inventory(grid, headers), rules)
+    inventory = cw.crosswalk_apply(g.column_inventory(grid, headers, with_base_name=True), rules)
     return GridProfile(sheets, headers, inventory, g.failed_sheets(sheets, headers))
 
 
@@ -53,17 +53,19 @@ def build_parts(
     path: str,
     ledger: DataFrame | None = None,
     failed_path: str | None = None,
+    **header_options,
 ) -> DataFrame:
     """Write the sheets not in ``ledger`` as parts under ``path``; returns the names given to them.
 
-    ``ledger`` is the stored result of earlier runs; its sheets are left out before anything else is read.
+    ``ledger`` is the stored result of earlier runs; its sheets are left out before anything else is read. Without one
+    all parts are built anew and others under ``path`` are removed. ``header_options`` go to the header search.
     Sheets without a header are written to ``failed_path`` for review. Raises when no new sheet has a
     header, or two columns of a sheet would take one canonical name.
     """
     if ledger is not None:
         grid = grid.join(ledger.select(*g.SHEET), g.SHEET, "left_anti")
     rules = cw.rules_frame(grid.sparkSession, profile.crosswalk)
-    profiled = profile_grid(grid, profile)
+    profiled = profile_grid(grid, profile, **header_options)
     inventory = materialise(profiled.inventory, "column_inventory")
     if failed_path is not None:
         sink_parquet(profiled.failed, failed_path, mode="append")
@@ -77,7 +79,7 @@ def build_parts(
     columns = canonical_columns(inventory)
     named = p.part_naming(inventory.select(*g.SHEET).distinct(), ledger)
     layouts = g.sheet_layouts(inventory, columns).join(named.select(*g.SHEET, "part_file"), g.SHEET)
-    sink_parts(g.standardize_part(grid, materialise(layouts, "layouts"), columns, keep=["part_file"]), path)
+    sink_parts(g.standardize_part(grid, materialise(layouts, "layouts"), columns, keep=["part_file"]), path, replace_all=ledger is None)
     return named
 
 

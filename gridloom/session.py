@@ -32,15 +32,16 @@ def local_session(app: str = "gridloom", cores: int | str = "*", **conf: str) ->
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Folder all executors can reach for checkpoints and written tables.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when that is unset, as in local tests,
-    is a temporary folder chosen.
+    The cluster names it in ``spark.checkpoint.dir``. Only in a local session, where driver and executors are
+    one, is a temporary folder chosen when that is unset; elsewhere executors would each write to their own.
     """
     context = spark.sparkContext
     current = context.getCheckpointDir()
     if current is None:
-        context.setCheckpointDir(
-            context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="gridloom-ckpt-")
-        )
+        named = context.getConf().get("spark.checkpoint.dir")
+        if not named and not context.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="gridloom-ckpt-"))
         current = context.getCheckpointDir()
     return current
 

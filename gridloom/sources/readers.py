@@ -30,13 +30,16 @@ def scan_projected(spark: SparkSession, path: str, columns: Sequence[str]) -> Da
 # Stands for "nothing at all" while reading, so that it differs from quoted empty text.
 NOTHING = "\u0001"
 
+# A quoted value may hold line breaks, and spaces belong to it. Files are then read whole, so work splits by file.
+FAITHFUL = {"header": "true", "escape": '"', "multiLine": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
 
 def read_csv(spark: SparkSession, path: str, schema, missing: str = "") -> DataFrame:
     """Delimited text with a header and a known schema, as written by ``sink_csv`` with the same ``missing``.
 
     With the default, ``""`` is empty text and nothing between two commas is a missing value.
     """
-    reader = spark.read.schema(schema).option("header", "true").option("escape", '"')
+    reader = spark.read.schema(schema).options(**FAITHFUL)
     return reader.option("nullValue", missing or NOTHING).csv(path)
 
 
@@ -53,7 +56,7 @@ def csv_scan_typed(
     """
     frames = []
     for release, day, path in releases:
-        frame = spark.read.option("header", "true").option("escape", '"').csv(path)
+        frame = spark.read.options(**FAITHFUL).csv(path)
         missing = [name for name in required if name not in frame.columns]
         if missing:
             raise CheckFailed(f"Release {release} lacks required columns: {', '.join(missing)}")

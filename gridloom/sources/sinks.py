@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def sink_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite") -> None:
@@ -13,11 +14,14 @@ def sink_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (), mod
     df.write.option("compression", "snappy").mode(mode).partitionBy(*partition_by).parquet(path)
 
 
-def sink_parts(df: DataFrame, path: str) -> None:
-    """Parts under ``part_file=...`` folders; building a part again replaces that part alone."""
+def sink_parts(df: DataFrame, path: str, replace_all: bool = False) -> None:
+    """Parts under ``part_file=...`` folders; building a part again replaces that part alone, ``replace_all`` removes all
+    others. Rows are brought together by part first, so a part is a few files however many tasks held it, and one
+    with much of the data is still written by several."""
     (
-        df.write.option("compression", "snappy")
-        .option("partitionOverwriteMode", "dynamic")
+        df.hint("rebalance", F.col("part_file"))
+        .write.option("compression", "snappy")
+        .option("partitionOverwriteMode", "static" if replace_all else "dynamic")
         .mode("overwrite")
         .partitionBy("part_file")
         .parquet(path)
@@ -27,4 +31,5 @@ def sink_parts(df: DataFrame, path: str) -> None:
 def sink_csv(df: DataFrame, path: str, missing: str = "", mode: str = "overwrite") -> None:
     """Delimited text with a header, quotes doubled; missing values as ``missing``, empty text quoted."""
     writer = df.write.option("header", "true").option("escape", '"').option("emptyValue", '""')
+    writer = writer.option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
     writer.option("nullValue", missing).mode(mode).csv(path)
