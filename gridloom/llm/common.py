@@ -83,25 +83,31 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     links = links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct().checkpoint()
     sums = None
     while True:
+        row = tuple(links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+        if row == sums or not row[0]:
+            break
+        sums = row
         # Large star: every larger neighbour of u is linked to the smallest of u and its neighbours.
-        both = links.union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        both = links.select(F.inline(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         # Small star: u and its smaller neighbours are linked to the smallest of them.
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (
-            large.join(least, "u")
-            .select(F.inline(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))))
-            .where("u <> v")
-            .distinct()
-        )
-        links = small.checkpoint()
-        row = links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if tuple(row) == sums:
-            break
-        sums = tuple(row)
+        ends = F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))
+        links = large.join(least, "u").select(F.inline(ends)).where("u <> v").distinct().checkpoint()
     roots = links.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return links.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)
 
 
-__all__ = ["by_size", "components", "ensure_checkpoint_dir", "groups_of", "let", "literal_table", "materialise", "table", "total"]
+def merged(rooted: DataFrame, links: DataFrame) -> DataFrame:
+    """Components ``rooted(node, component)`` after more ``links(a, b)``: only the components that these join are worked on."""
+    links = links.distinct().checkpoint()
+    own = lambda name: rooted.select(F.col("node").alias(name), F.col("component").alias(f"root_{name}"))
+    joined = links.join(own("a"), "a", "left").join(own("b"), "b", "left").select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b"))
+    moved = components(joined, "a", "b").select(F.col("node").alias("component"), F.col("component").alias("to"))
+    new = links.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(rooted, "node", "left_anti")
+    every = rooted.union(new.select("node", F.col("node").alias("component")))
+    return every.join(moved, "component", "left").select("node", F.coalesce("to", "component").alias("component"))
+
+
+__all__ = ["by_size", "components", "ensure_checkpoint_dir", "groups_of", "let", "literal_table", "materialise", "merged", "table", "total"]

@@ -6,9 +6,9 @@ is cut into more chunks than half that number, so that by the pigeonhole princip
 symbol at most; every chunk is looked up once for each symbol left out. All pairs within the threshold meet in a
 bucket; whether they are similar is then decided on their full sets.
 
-A bucket's members are not paired with each other straight away. Each is first checked against the bucket's smallest
-member; only where members of a bucket are not yet connected, through whatever links were confirmed, are the pairs
-between different components looked at, in blocks.
+A bucket's members are not paired with each other straight away. Each is first checked against one of them, the bucket's
+pivot; only where members of a bucket are not yet connected, through whatever links were confirmed, are the pairs
+between different components gone through, in blocks of bounded size and inside a task: pairs are never rows.
 """
 
 from __future__ import annotations
@@ -24,13 +24,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridloom.llm import shingles
-from gridloom.llm.common import by_size, components, groups_of, materialise
+from gridloom.llm.common import by_size, components, groups_of, materialise, merged
 
 #: Bytes of text shingled at once.
 BLOCK_BYTES = 4 << 20
 #: Members of a bucket, or sets, that are compared with as many others in one piece of work.
 BLOCK = 1024
 SETS = 256
+#: Shingles of all sets that a piece of a bucket holds.
+SHINGLES = 2_000_000
 
 
 @dataclass(frozen=True)
@@ -120,22 +122,32 @@ def close_enough(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").where(fits).mapInArrow(work, "a bigint, b bigint")
 
 
-def confirm(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, rule: Rule, text: str, doc_id: str) -> DataFrame:
-    """Links ``(a, b)`` among ``pairs(piece, a, b)``, decided on full sets. ``piece`` names groups of pairs that have few
-    sets among them: each set is sent to a group once, and a task holds the sets of one group at a time."""
-    needs = pairs.select("piece", F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = materialise(needs.select("node").distinct().join(nodes.select("node", F.col("min_id").alias("_id")), "node").select("_id", F.col("node").alias("_node")), "near-nodes")
+def full_sets(wanted: DataFrame, docs: DataFrame, nodes: DataFrame, rule: Rule, text: str, doc_id: str) -> DataFrame:
+    """``(node, members)``: the full sets of ``wanted(node)``, cut anew from the text of one document each."""
+    wanted = wanted.join(nodes.select("node", F.col("min_id").alias("_id")), "node").select("_id", F.col("node").alias("_node"))
 
     def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done: set[int] = set()
         for part in by_size(batches, text, BLOCK_BYTES):
             values, counts = shingles.shingle_sets(part.column(text), rule.width)
+            # Rows that repeat an id meet in one task, sorted; of equal ones the first is taken.
             same = shingles.set_nodes(values, counts).view(np.int64) == part.column("_node").to_numpy()
+            for i in np.flatnonzero(same):
+                same[i] = (name := part.column("_node")[int(i)].as_py()) not in done
+                done.add(name)
             ends = np.cumsum(counts)
             sets = [values[e - c : e].tobytes() for e, c, s in zip(ends, counts, same, strict=True) if s]
             yield pa.RecordBatch.from_arrays([part.column("_node").filter(pa.array(same)), pa.array(sets, pa.binary())], ["node", "members"])
 
-    texts = docs.select(F.col(doc_id).cast("bigint").alias("_id"), text).join(wanted, "_id").select("_node", text)
-    members = materialise(texts.mapInArrow(shingle, "node bigint, members binary"), "near-sets")
+    # At any size that matters there are too many to broadcast; joined by merging, small inputs cost what large ones do.
+    texts = docs.select(F.col(doc_id).cast("bigint").alias("_id"), text).join(wanted.hint("merge"), "_id").select("_node", text)
+    return materialise(texts.mapInArrow(shingle, "node bigint, members binary"), "near-sets")
+
+
+def confirm(pairs: DataFrame, members: DataFrame, rule: Rule) -> DataFrame:
+    """Links ``(a, b)`` among ``pairs(piece, a, b)``, decided on full sets. ``piece`` names groups of pairs that have few
+    sets among them: each set is sent to a group once, and a task holds the sets of one group at a time."""
+    needs = pairs.select("piece", F.explode(F.array("a", "b")).alias("node")).distinct()
     nothing = F.lit(None).cast("bigint")
     rows = needs.join(members, "node").select("piece", F.lit(0).alias("kind"), F.col("node").alias("a"), nothing.alias("b"), "members")
     rows = rows.union(pairs.select("piece", F.lit(1).alias("kind"), "a", "b", F.lit(None).cast("binary").alias("members")))
@@ -155,40 +167,69 @@ def confirm(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, rule: Rule, tex
                     found.append((a, b))
             yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], ["a", "b"])
 
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return rows.repartition(n, "piece").sortWithinPartitions("piece", "kind").mapInArrow(check, "a bigint, b bigint")
 
 
-def across(rows: DataFrame, rule: Rule) -> DataFrame:
-    """Pairs ``(piece, a, b)`` of one piece of a bucket that belong to different components and are within the threshold,
-    each in the first of the buckets in which it meets. ``rows(piece, lookup, left, right, node, root, n_shingles,
-    signature)``: ``left`` and ``right`` say which sides of the piece a member is on."""
+def near_pairs(group: pa.Table, rule: Rule, differ) -> Iterator[tuple[int, np.ndarray]]:
+    """Of a piece of a bucket, each member on the left with those on the right that ``differ`` tells from it, whose size
+    and signature allow the similarity, and for whom this is the first of the buckets in which both meet."""
+    node, n, lookup = group.column("node").to_numpy(), group.column("n_shingles").to_numpy(), group.column("lookup")[0].as_py()
+    sig = matrix(group.column("signature").combine_chunks(), rule.symbols)
+    left, right = (np.flatnonzero(group.column(c).to_numpy()) for c in ("left", "right"))
+    same = group.column("same")[0].as_py()
+    for i in left:
+        j = right[differ(i, right) & ((node[right] > node[i]) if same else True)]
+        j = j[100 * np.minimum(n[j], n[i]) >= rule.percent * np.maximum(n[j], n[i])]
+        differs = sig[j] != sig[i]
+        near = differs.sum(1) <= rule.threshold
+        j, differs = j[near], differs[near]
+        if not len(j):
+            continue
+        errors = np.add.reduceat(differs, rule.first_mask, axis=1, dtype=np.int64)
+        chunk = np.argmax(errors <= 1, axis=1)
+        # The lookup that leaves out the one differing symbol of the first such chunk, or its first symbol.
+        inside = np.where(np.arange(rule.symbols) >= rule.first_mask[chunk][:, None], differs, False)
+        place = np.where(errors[np.arange(len(j)), chunk] == 1, np.argmax(inside, axis=1), rule.first_mask[chunk])
+        yield i, j[place == lookup]
+
+
+PIECE = "piece bigint, lookup smallint, node bigint, root bigint, left boolean, right boolean, same boolean, n_shingles bigint, signature binary"
+
+
+def undecided(rows: DataFrame, rule: Rule) -> DataFrame:
+    """Of ``rows(PIECE)``, the members of pieces of buckets that have a pair to be checked there: two of different components
+    within the threshold. Members, not pairs."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in groups_of(batches, "piece"):
-            node, root, n = (group.column(c).to_numpy() for c in ("node", "root", "n_shingles"))
-            sig, lookup = matrix(group.column("signature").combine_chunks(), rule.symbols), group.column("lookup")[0].as_py()
-            left, right = (np.flatnonzero(group.column(c).to_numpy(zero_copy_only=False)) for c in ("left", "right"))
-            out = []
-            for i in left:
-                j = right[(root[right] != root[i]) & (node[right] > node[i] if group.column("same")[0].as_py() else True)]
-                j = j[100 * np.minimum(n[j], n[i]) >= rule.percent * np.maximum(n[j], n[i])]
-                differs = sig[j] != sig[i]
-                near = differs.sum(1) <= rule.threshold
-                j, differs = j[near], differs[near]
-                if not len(j):
-                    continue
-                errors = np.add.reduceat(differs, rule.first_mask, axis=1, dtype=np.int64)
-                chunk = np.argmax(errors <= 1, axis=1)
-                # The lookup that leaves out the one differing symbol of the first such chunk, or its first symbol.
-                inside = np.where(np.arange(rule.symbols) >= rule.first_mask[chunk][:, None], differs, False)
-                place = np.where(errors[np.arange(len(j)), chunk] == 1, np.argmax(inside, axis=1), rule.first_mask[chunk])
-                out += [(min(node[i], x), max(node[i], x)) for x in node[j[place == lookup]]]
-            if out:
-                piece = pa.array(np.full(len(out), group.column("piece")[0].as_py(), np.int64))
-                yield pa.RecordBatch.from_arrays([piece, *(pa.array([x[k] for x in out], pa.int64()) for k in (0, 1))], ["piece", "a", "b"])
+            root, wanted = group.column("root").to_numpy(), np.zeros(len(group), bool)
+            for i, j in near_pairs(group, rule, lambda i, right: root[right] != root[i]):  # noqa: B023
+                wanted[j] = True
+                wanted[i] |= len(j) > 0
+            yield from group.filter(pa.array(wanted)).to_batches()
 
-    return rows.mapInArrow(work, "piece bigint, a bigint, b bigint")
+    return rows.mapInArrow(work, PIECE)
+
+
+def settle(rows: DataFrame, rule: Rule) -> DataFrame:
+    """Links ``(a, b)`` between components, from ``rows(PIECE)`` and ``members``, decided on full sets. A piece's pairs are
+    gone through one by one; those that links found before have connected are passed over."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in groups_of(batches, "piece"):
+            node, root = group.column("node").to_numpy(), group.column("root").to_numpy().copy()
+            sets = [np.frombuffer(x, np.uint64) for x in group.column("members").to_pylist()]
+            found = []
+            for i, near in near_pairs(group, rule, lambda i, right: root[right] != root[i]):  # noqa: B023
+                for j in near:
+                    if root[i] != root[j] and rule.links(len(np.intersect1d(sets[i], sets[j], assume_unique=True)), len(sets[i]), len(sets[j])):
+                        found.append((node[i], node[j]))
+                        root[root == root[j]] = root[i]
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+    return rows.mapInArrow(work, "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, rule: Rule | None = None, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -210,30 +251,35 @@ def near_duplicates(docs: DataFrame, rule: Rule | None = None, text: str = "text
     own = signed.where("node IS NOT NULL AND doc_id IS NOT NULL")
     sets = materialise(own.groupBy("node").agg(F.min("doc_id").alias("min_id"), F.min("n_shingles").alias("n_shingles"), F.min("signature").alias("signature")), "near-sets")
 
-    bucket = Window.partitionBy("bucket", "lookup").orderBy("node")
-    met = lookups(sets, rule).select("bucket", "lookup", "node", F.min("node").over(bucket).alias("first"), F.lead("node").over(bucket).alias("next"))
-    met = materialise(met.where("first < node OR next IS NOT NULL").drop("next"), "near-met")
+    # A bucket's pivot is the first member in an order of its own, so that a member meets many pivots in its buckets.
+    bucket = Window.partitionBy("bucket", "lookup").orderBy(F.xxhash64("bucket", "node"), "node")
+    met = lookups(sets, rule).select("bucket", "lookup", "node", F.first("node").over(bucket).alias("pivot"), F.lead("node").over(bucket).alias("next"))
+    met = materialise(met.where("pivot <> node"), "near-met")
 
-    # Every member of a bucket against its smallest.
-    stars = materialise(close_enough(met.where("first < node").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct(), sets, rule), "near-stars")
+    # Every member of a bucket against its pivot.
+    stars = met.select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
+    stars = materialise(close_enough(stars, sets, rule), "near-stars")
     many = stars.groupBy("a").agg(F.ceil(F.count("*") / SETS).alias("parts"))
     stars = stars.join(many, "a").select(F.xxhash64("a", F.pmod(F.xxhash64("b"), F.col("parts"))).alias("piece"), "a", "b")
-    links = materialise(confirm(stars, docs, sets, rule, text, doc_id), "near-links")
-    rooted = components(links, "a", "b")
-
-    # Buckets that still hold several components, other than through the member that all were checked against.
-    others = met.where("first < node").join(rooted, "node", "left").select("bucket", "lookup", "node", F.coalesce("component", "node").alias("root"))
-    mixed = others.groupBy("bucket", "lookup").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
+    starred = stars.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    rooted = components(confirm(stars, full_sets(starred, docs, sets, rule, text, doc_id), rule), "a", "b")
+
+    # Buckets that still hold several components, other than through the pivot that all were checked against.
+    others = met.join(rooted, "node", "left").select("bucket", "lookup", "node", F.coalesce("component", "node").alias("root"))
+    others = others.join(sets.select("node", "n_shingles"), "node")
+    parts = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n_shingles") / SHINGLES)).cast("int")
+    mixed = others.groupBy("bucket", "lookup").agg(F.min("root").alias("least"), F.max("root").alias("most"), parts.alias("parts"))
     placed = others.join(mixed.where("least < most").drop("least", "most"), ["bucket", "lookup"]).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
     placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     low, high = F.least("part", "other"), F.greatest("part", "other")
     pieces = placed.select(
         F.xxhash64("bucket", "lookup", low, high).alias("piece"), "lookup", "node", "root",
-        (F.col("part") == low).alias("left"), (F.col("part") == high).alias("right"), (low == high).alias("same"),
-    ).join(sets.select("node", "n_shingles", "signature"), "node")
-    pairs = materialise(across(pieces.repartition(n, "piece").sortWithinPartitions("piece"), rule), "near-pairs")
-    more = confirm(pairs, docs, sets, rule, text, doc_id)
-    rooted = components(links.union(more), "a", "b")
+        (F.col("part") == low).alias("left"), (F.col("part") == high).alias("right"), (low == high).alias("same"), "n_shingles",
+    ).join(sets.select("node", "signature"), "node").select("piece", "lookup", "node", "root", "left", "right", "same", "n_shingles", "signature")
+    rows = materialise(undecided(pieces.repartition(n, "piece").sortWithinPartitions("piece"), rule), "near-rows")
+    members = full_sets(rows.select("node").distinct(), docs, sets, rule, text, doc_id)
+    links = settle(rows.join(members, "node").repartition(n, "piece").sortWithinPartitions("piece"), rule)
+    rooted = merged(rooted, links)
 
     least = rooted.join(sets.select("node", "min_id"), "node").groupBy("component").agg(F.min("min_id").alias("root_id"))
     moved = rooted.join(least, "component").select("node", "root_id")
