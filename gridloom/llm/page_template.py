@@ -50,8 +50,11 @@ BOILERPLATE = re.compile(
     r"comment|comments|respond|reply|replies|disqus|share|sharing|social|related|recommended|newsletter|subscribe|signup|widget|search)(?:$|[\s_-])",
     re.IGNORECASE,
 )
+#: Comments, declarations and tags; a tag that is not closed ends where the next begins.
 MARKUP = re.compile(
-    r"<!--(?:.*?-->|.*\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)", re.DOTALL
+    r"<!--(?:.*?-->|.*\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/<>]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z|(?=<))"
+    r"|<(/?)([a-zA-Z][^\s/<>]*)([^<>]*)(?:>|\Z|(?=<))",
+    re.DOTALL,
 )
 ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.IGNORECASE)
 
