@@ -514,7 +514,7 @@ def daily_comparison(spark, sf):
 
 @register
 def pair_summary(spark, sf):
-    summary = ov.pair_summary(ov.daily_comparison(*_pairs_and_counts(spark, sf)))
+    summary = ov.pair_summary(*_pairs_and_counts(spark, sf))
     return summary.withColumn("percent_days_matching", F.round("percent_days_matching", 6))
 
 

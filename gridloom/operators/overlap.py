@@ -5,38 +5,52 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridloom.functions.dates import month_start
 from gridloom.operators.common import spread, with_ordinal
 from gridloom.operators.parts import with_date_range
 
-SALTS = 8
+# Blocks of days have lengths of powers of two; the longest holds every day of the calendar, years 1 to 9999.
+LEVELS = 23
 PAIR_COLUMNS = [
     "smaller_file", "smaller_min_date", "smaller_max_date", "larger_file", "larger_min_date", "larger_max_date",
 ]
 
 
+def day_number(c: Column) -> Column:
+    return F.date_diff(c, F.lit("0001-01-01").cast("date")).cast("bigint") + 1
+
+
+def blocks_of_range(first: Column, last: Column) -> Column:
+    """The fewest aligned blocks of days that make up a range: two per level at most, however long it is."""
+    begin, end = day_number(first), day_number(last) + 1
+    places = []
+    for level in range(LEVELS):
+        low, high = F.shiftright(begin + ((1 << level) - 1), level), F.shiftright(end, level)
+        block = lambda at: F.struct(F.lit(level).alias("level"), at.alias("at"))  # noqa: E731, B023
+        places.append(F.when((low < high) & (low % 2 == 1), block(low)))
+        places.append(F.when((low < high) & (high % 2 == 1), block(high - 1)))
+    return F.filter(F.array(*places), lambda p: p.isNotNull())
+
+
+def blocks_of_day(day: Column) -> Column:
+    """The block of each level that holds a day."""
+    return F.array(*[F.struct(F.lit(k).alias("level"), F.shiftright(day_number(day), k).alias("at")) for k in range(LEVELS)])
+
+
 def containing_pairs(metadata: DataFrame) -> DataFrame:
     """Ordered pairs in which the larger part's range covers the smaller's; equal ranges once, by name.
 
-    A covering part is in progress during the month in which the covered one begins, so the parts meet
-    in an equi-join on that month, each pair exactly once. Months in which very many parts begin are
-    spread over salts.
+    A covering part holds the day on which the covered one begins, so exactly one of its blocks of days does: the
+    parts meet in an equi-join on blocks, each pair once. A range of any length is a few dozen blocks at most. A
+    block with very many parts is split by adaptive skew handling.
     """
     ranges = with_date_range(metadata).select("part_file", "min_date", "max_date")
     named = lambda prefix: [F.col(c).alias(f"{prefix}_{c.replace('part_', '')}") for c in ranges.columns]
-    smaller = ranges.select(
-        *named("smaller"),
-        month_start(F.col("min_date")).alias("month"),
-        F.pmod(F.hash("part_file"), F.lit(SALTS)).alias("salt"),
-    )
-    months = F.sequence(month_start(F.col("min_date")), month_start(F.col("max_date")), F.expr("interval 1 month"))
-    larger = ranges.select(*named("larger"), F.explode(months).alias("month")).withColumn(
-        "salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    )
-    covers = (F.col("larger_min_date") <= F.col("smaller_min_date")) & (F.col("larger_max_date") >= F.col("smaller_max_date"))
+    smaller = ranges.select(*named("smaller"), F.inline(blocks_of_day(F.col("min_date"))))
+    larger = ranges.select(*named("larger"), F.inline(blocks_of_range(F.col("min_date"), F.col("max_date"))))
+    covers = F.col("larger_max_date") >= F.col("smaller_max_date")
     wider = (F.col("larger_min_date") < F.col("smaller_min_date")) | (F.col("larger_max_date") > F.col("smaller_max_date"))
     return (
-        spread(smaller, "month", "salt").join(larger, ["month", "salt"])
+        smaller.join(larger, ["level", "at"])
         .where((F.col("smaller_file") != F.col("larger_file")) & covers)
         .where(wider | (F.col("smaller_file") < F.col("larger_file")))
         .select(*PAIR_COLUMNS)
@@ -90,24 +104,45 @@ def daily_comparison(pairs: DataFrame, counts: DataFrame) -> DataFrame:
     )
 
 
-def pair_summary(comparison: DataFrame) -> DataFrame:
-    """Per pair: days compared, matching and differing, records on each side, largest daily difference."""
-    matches = F.col("daily_counts_match")
+def pair_summary(pairs: DataFrame, counts: DataFrame) -> DataFrame:
+    """Per pair: days compared, matching and differing, records on each side, largest daily difference.
+
+    Made from the days that have rows; all other days of the smaller range match, with none on either side, and are
+    only counted. A range of thousands of years costs no more than its rows.
+    """
+    days, none = counts.select("part_file", "event_date", "daily_count"), F.lit(0).cast("bigint")
+    seen = []
+    for side in ("smaller", "larger"):
+        one = pairs.join(days.withColumnRenamed("part_file", f"{side}_file"), f"{side}_file")
+        one = one.where(F.col("event_date").between(F.col("smaller_min_date"), F.col("smaller_max_date")))
+        here, there = (F.col("daily_count"), none) if side == "smaller" else (none, F.col("daily_count"))
+        seen.append(one.select("pair_id", "event_date", here.alias("s"), there.alias("l")))
+    daily = seen[0].unionAll(seen[1]).groupBy("pair_id", "event_date").agg(F.sum("s").alias("s"), F.sum("l").alias("l"))
+    found = daily.groupBy("pair_id").agg(
+        F.count_if(F.col("s") != F.col("l")).alias("differing"),
+        F.sum("s").alias("s"),
+        F.sum("l").alias("l"),
+        F.max(F.abs(F.col("s") - F.col("l"))).alias("most"),
+    )
+    compared = (F.date_diff("smaller_max_date", "smaller_min_date") + 1).cast("bigint")
+    zero = lambda c: F.coalesce(F.col(c), none)
+    matching = F.col("days_compared") - zero("differing")
     return (
-        comparison.groupBy("pair_id", *PAIR_COLUMNS)
-        .agg(
-            F.count("*").alias("days_compared"),
-            F.count_if(matches).alias("matching_days"),
-            F.count_if(~matches).alias("differing_days"),
-            (F.avg(matches.cast("int")) * 100).alias("percent_days_matching"),
-            F.sum("smaller_daily_count").alias("smaller_records_in_range"),
-            F.sum("larger_daily_count").alias("larger_records_in_range"),
-            F.sum("count_difference").alias("total_count_difference"),
-            F.max(F.abs("count_difference")).alias("maximum_absolute_daily_difference"),
-            F.bool_and(matches).alias("all_daily_counts_match"),
+        pairs.join(found, "pair_id", "left")
+        .withColumn("days_compared", compared)
+        .select(
+            "pair_id", *PAIR_COLUMNS, "days_compared",
+            matching.alias("matching_days"),
+            zero("differing").alias("differing_days"),
+            (F.lit(100.0) * matching / F.col("days_compared")).alias("percent_days_matching"),
+            zero("s").alias("smaller_records_in_range"),
+            zero("l").alias("larger_records_in_range"),
+            (zero("s") - zero("l")).alias("total_count_difference"),
+            zero("most").alias("maximum_absolute_daily_difference"),
+            (zero("differing") == 0).alias("all_daily_counts_match"),
         )
         .orderBy(F.desc("all_daily_counts_match"), F.desc("percent_days_matching"), "smaller_file", "pair_id")
-    )
+    )
 
 
 def coverage_contained_flag(metadata: DataFrame) -> DataFrame:

@@ -321,7 +321,7 @@ def test_daily_comparison_fills_absent_days(spark):
     comparison = ov.daily_comparison(pairs, ov.daily_counts(events, F.col("d"), pairs))
     rows = comparison.orderBy("event_date").select("smaller_daily_count", "larger_daily_count", "daily_counts_match")
     assert tuples(rows) == [(2, 1, False), (0, 0, True), (1, 0, False)]
-    summary = ov.pair_summary(comparison).first()
+    summary = ov.pair_summary(pairs, ov.daily_counts(events, F.col("d"), pairs)).first()
     assert (summary.days_compared, summary.differing_days, summary.total_count_difference) == (3, 2, 2)
     assert (summary.maximum_absolute_daily_difference, summary.all_daily_counts_match) == (1, False)
 
