@@ -23,7 +23,7 @@ def test_stages_in_order():
 
 def test_each_stage_takes_effect_and_keeps_clean_documents(spark, sf_dir, documents):
     item = spark.read.parquet(f"{sf_dir}/benchmark.parquet").first().text
-    clean = documents.where("n_chars BETWEEN 600 AND 3000").orderBy("doc_id").first().text
+    clean = documents.where("lang = 'en' AND n_chars BETWEEN 600 AND 3000").orderBy("doc_id").first().text
     rows = [
         (9001, None, "en", "s", None), (9002, "12 34 !!", "en", "s", 8), (9003, clean, None, None, len(clean)),
         (9004, clean.upper(), "en", "s", len(clean)), (9005, clean[:200] + " " + item + " " + clean[200:400], "en", "s", 0),
