@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator, Sequence
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +16,20 @@ from gridloom.operators.common import materialise
 from gridloom.session import ensure_checkpoint_dir
 
 
+ROOT = str(Path(__file__).resolve().parents[2])
+
+
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package when it is run from its source folder, wherever the driver was started.
+    On a cluster without that folder the package comes with the job, as by ``--py-files``."""
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if ROOT not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([ROOT, *paths])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -110,4 +125,4 @@ def merged(rooted: DataFrame, links: DataFrame) -> DataFrame:
     return every.join(moved, "component", "left").select("node", F.coalesce("to", "component").alias("component"))
 
 
-__all__ = ["by_size", "components", "ensure_checkpoint_dir", "groups_of", "let", "literal_table", "materialise", "merged", "table", "total"]
+__all__ = ["by_size", "components", "ensure_checkpoint_dir", "groups_of", "importable", "let", "literal_table", "materialise", "merged", "table", "total"]
