@@ -9,6 +9,8 @@ Token ids are never kept.
 from __future__ import annotations
 
 import os
+from array import array
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,7 +25,7 @@ from gridloom.llm.common import by_size
 #: Bytes of text whose pre-tokens are counted together; bounds the memory of a task.
 BLOCK_BYTES = 8 << 20
 #: Pairs of document and count that are added up together.
-SUM_PAIRS = 4_000_000
+SUM_PAIRS = 1_000_000
 #: Low bits of a document id that stand in a posting; the others are a column.
 LOW_BITS = 16
 #: Low bits of a document id that stand in a row of sums.
@@ -81,19 +83,22 @@ def frequencies(docs: DataFrame, pattern: str, specials: list[str], singles: fro
             known = ids.is_valid().to_numpy(zero_copy_only=False)
             ids = ids.fill_null(0).to_numpy().astype(np.int64)
             order = np.lexsort((ids, known))
-            words, lengths, ones = [], np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64)
+            lengths, ones = np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64)
+            # Pre-tokens are numbered as they come; a text's own strings are not kept.
+            index: defaultdict[str, int] = defaultdict()
+            index.default_factory = index.__len__
+            numbers = array("i")
             for i, row in enumerate(order):
                 value = part.column(text)[int(row)].as_py()
                 if not value:
                     continue
                 segments = splitter.split(value) if splitter else [value]
                 ones[i] = len(segments) - 1
-                found = [w for s in segments for w in cut(s)]
-                lengths[i] = len(found)
-                words += found
-            coded = pa.array(words, pa.string()).dictionary_encode()
-            codes, distinct = coded.indices.to_numpy(), coded.dictionary.to_pylist()
-            del words
+                before = len(numbers)
+                for segment in segments:
+                    numbers.extend(map(index.__getitem__, cut(segment)))
+                lengths[i] = len(numbers) - before
+            codes, distinct = np.array(numbers, np.int32), list(index)
             place = np.repeat(np.arange(len(ids)), lengths)
             single = np.fromiter((w in singles for w in distinct), bool, len(distinct))
             is_one = single[codes] if len(codes) else np.zeros(0, bool)
