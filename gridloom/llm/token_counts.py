@@ -70,10 +70,16 @@ def single_pieces(tokenizer) -> frozenset[str]:
     return frozenset(e for e, c in zip(entries, counts, strict=True) if len(c.ids) == 1)
 
 
+def packed(values: np.ndarray, places: np.ndarray) -> pa.Array:
+    """Binaries of the ``values`` between one place and the next."""
+    offsets = (places * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(places) - 1, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(values.tobytes())])
+
+
 def frequencies(docs: DataFrame, pattern: str, specials: list[str], singles: frozenset[str], text: str, doc_id: str) -> DataFrame:
-    """Rows ``(pretoken, high, postings)``: for a block of texts and a pre-token, the documents it is in, whose ids share
+    """Rows ``(pretoken, high, postings, counts)``: for a block of texts and a pre-token, the documents it is in, whose ids share
     their high bits, as low bits, once for each time it occurs there. What needs no encoding, special strings and pre-tokens that are one piece, is
-    added up under a null pre-token."""
+    added up under a null pre-token, with ``counts``."""
     splitter = regex.compile("|".join(map(regex.escape, specials))) if specials else None
     cut = regex.compile(pattern).findall
 
@@ -105,26 +111,28 @@ def frequencies(docs: DataFrame, pattern: str, specials: list[str], singles: fro
             ones += np.bincount(place[is_one], minlength=len(ids))
             pairs, n = np.unique(codes[~is_one].astype(np.int64) * len(ids) + place[~is_one], return_counts=True)
             code, at = pairs // max(len(ids), 1), pairs % max(len(ids), 1)
-            with_ones = np.flatnonzero(ones)
-            # The null pre-token comes first, as code -1.
-            code, at = np.concatenate([np.full(len(with_ones), -1), code]), np.concatenate([with_ones, at])
-            n = np.concatenate([ones[with_ones], n])
-            if not len(code):
-                continue
             sorted_ids, sorted_known = ids[order], known[order]
-            high = np.where(sorted_known, sorted_ids >> LOW_BITS, 0)[at]
-            valid = sorted_known[at]
-            starts = np.flatnonzero(np.r_[True, (np.diff(code) != 0) | (np.diff(high) != 0) | (np.diff(valid) != 0)])
-            data = np.repeat(np.where(valid, sorted_ids[at] & ((1 << LOW_BITS) - 1), 0).astype(LOW), n)
-            offsets = (np.r_[0, np.cumsum(n)][np.r_[starts, len(code)]] * LOW.itemsize).astype(np.int32)
-            postings = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data.tobytes())])
-            first = code[starts]
-            names = pa.array(distinct, pa.string()) if len(distinct) else pa.array([""], pa.string())
-            tokens = names.take(pa.array(np.maximum(first, 0), mask=first < 0))
-            yield pa.RecordBatch.from_arrays([tokens, pa.array(high[starts], mask=~valid[starts]), postings], ["pretoken", "high", "postings"])
+            with_ones = np.flatnonzero(ones)
+            nothing = pa.nulls(1, pa.string())
+            for tokens, code, at, n, counted in (
+                (nothing, np.zeros(len(with_ones), np.int64), with_ones, ones[with_ones], True),
+                (pa.array(distinct, pa.string()), code, at, n, False),
+            ):
+                if not len(code):
+                    continue
+                valid = sorted_known[at]
+                high = np.where(valid, sorted_ids[at] >> LOW_BITS, 0)
+                low = np.where(valid, sorted_ids[at] & ((1 << LOW_BITS) - 1), 0).astype(LOW)
+                starts = np.flatnonzero(np.r_[True, (np.diff(code) != 0) | (np.diff(high) != 0) | (np.diff(valid) != 0)])
+                places = np.r_[starts, len(code)]
+                # Counts stand beside what needs no encoding; of the rest a document is written once per occurrence.
+                postings = packed(low, places) if counted else packed(np.repeat(low, n), np.r_[0, np.cumsum(n)][places])
+                counts = packed(n.astype(SUM), places) if counted else pa.nulls(len(starts), pa.binary())
+                columns = [tokens.take(pa.array(code[starts])), pa.array(high[starts], mask=~valid[starts]), postings, counts]
+                yield pa.RecordBatch.from_arrays(columns, ["pretoken", "high", "postings", "counts"])
 
     columns = docs.select(F.col(doc_id).cast("bigint").alias(doc_id), text)
-    return columns.mapInArrow(count, "pretoken string, high bigint, postings binary")
+    return columns.mapInArrow(count, "pretoken string, high bigint, postings binary, counts binary")
 
 
 def pieces(pretokens: DataFrame, path: str) -> DataFrame:
@@ -142,7 +150,7 @@ def pieces(pretokens: DataFrame, path: str) -> DataFrame:
 
 
 def add_up(joined: DataFrame) -> DataFrame:
-    """``(slice, lows, sums)`` from ``(high, postings, pieces)``: tokens that a task has found in each document, packed by
+    """``(slice, lows, sums)`` from ``(high, postings, counts, pieces)``: tokens that a task has found in each document, packed by
     slices of ids. A slice is null for documents without id."""
 
     def flush(ids: list[np.ndarray], valid: list[np.ndarray], counts: list[np.ndarray]) -> pa.RecordBatch:
@@ -163,13 +171,17 @@ def add_up(joined: DataFrame) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, valid, counts, held = [], [], [], 0
-        for batch in batches:
+        for batch in by_size(batches, "postings", SUM_PAIRS):
             high, postings = batch.column("high"), batch.column("postings")
             sizes = pc.binary_length(postings).to_numpy() // LOW.itemsize
             lows = np.frombuffer(b"".join(postings.to_pylist()), LOW)
             ids.append((np.repeat(high.fill_null(0).to_numpy(), sizes) << LOW_BITS) | lows)
             valid.append(np.repeat(high.is_valid().to_numpy(zero_copy_only=False), sizes))
-            counts.append(np.repeat(batch.column("pieces").to_numpy(), sizes))
+            weights = np.repeat(batch.column("pieces").to_numpy(), sizes)
+            weights[np.repeat(batch.column("counts").is_valid().to_numpy(zero_copy_only=False), sizes)] = np.frombuffer(
+                b"".join(batch.column("counts").drop_null().to_pylist()), SUM
+            )
+            counts.append(weights)
             held += len(lows)
             if held >= SUM_PAIRS:
                 yield flush(ids, valid, counts)
@@ -222,8 +234,8 @@ def count_tokens(docs: DataFrame, path: str, pattern: str, limit: int = 512, tex
     tokenizer = load(path)
     rows = frequencies(docs, pattern, special_strings(tokenizer), single_pieces(tokenizer), text, doc_id).repartition("pretoken")
     # Sums over the other columns keep this side's columns those of the other, so that both read one shuffle.
-    distinct = rows.groupBy("pretoken").agg(F.count("high").alias("blocks"), F.sum(F.octet_length("postings")).alias("size"))
-    joined = rows.join(pieces(distinct, path), "pretoken", "left").select("high", "postings", F.coalesce("pieces", F.lit(1)).alias("pieces"))
+    distinct = rows.groupBy("pretoken").agg(F.count("high").alias("blocks"), F.sum(F.octet_length("postings")).alias("size"), F.count("counts").alias("counted"))
+    joined = rows.join(pieces(distinct, path), "pretoken", "left").select("high", "postings", "counts", F.coalesce("pieces", F.lit(1)).alias("pieces"))
     counted = unpack(add_up(joined)).select("doc_id", F.lit(0).cast("bigint").alias("n_bytes"), "n_tokens")
     sizes = docs.select(
         F.col(doc_id).cast("bigint").alias("doc_id"), F.coalesce(F.octet_length(text), F.lit(0)).cast("bigint").alias("n_bytes"), F.lit(0).cast("bigint").alias("n_tokens")
