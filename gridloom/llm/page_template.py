@@ -3,7 +3,8 @@
 A page is read as tokens: tags with the path of elements they stand in, and pieces of text with theirs. Tokens that occur
 equally often on every page of a host, whose occurrence vectors agree, form an equivalence class. Classes that are
 frequent, large and in one order on all pages are valid; nested into each other they are the host's template. What lies
-between template tokens are slots. A slot's text is data; text that belongs to a valid class is the template's own.
+between template tokens are slots. A slot's text is data; text that belongs to a valid class is the template's own,
+unless it stands in the article. Pages of a host that are copies of each other count once.
 Of the slots, those in the article are kept, those in menus, headers, footers, sidebars, notices, adverts, forms and
 reader comments, as the template's elements around them tell, are not.
 """
@@ -61,7 +62,7 @@ ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)",
 
 @dataclass(frozen=True)
 class Settings:
-    """A class is frequent if it is on ``tag_share`` of a host's pages, or ``text_share`` of them for its text to be the
+    """A class is frequent if it is on ``tag_share`` of a host's different pages, or ``text_share`` of them for its text to be the
     template's, and large if it has ``size`` tokens. Text is only deduced from ``pages`` different pages on."""
 
     tag_share: float = 0.5
@@ -179,38 +180,43 @@ def signed(x: int) -> int:
 
 
 def occurrence_vectors(pages: DataFrame) -> DataFrame:
-    """``(host, token, is_text, support, one, two)``: on how many pages of a host a token is, and two sums over its pages of
-    hashes of page and count, which agree for tokens whose occurrence vectors do."""
+    """``(host, token, is_text, support, one, two)``: on how many different pages of a host a token is, and two sums over
+    all its pages of hashes of page and count, which agree for tokens whose occurrence vectors do. Each of ``_copies`` equal
+    pages adds its fraction to the support, which is whole again when all are summed and rounded."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in by_size(batches, "_html", BLOCK_BYTES):
-            sums: dict[tuple[str, int, bool], list[int]] = {}
-            for host, page, html in zip(*(part.column(c).to_pylist() for c in ("_host", "_page", "_html")), strict=True):
+            sums: dict[tuple[str, int, bool], list] = {}
+            for host, page, html, copies in zip(*(part.column(c).to_pylist() for c in ("_host", "_page", "_html", "_copies")), strict=True):
                 seen: dict[tuple[int, bool], int] = defaultdict(int)
                 for kind, key, _, _ in keyed(html or ""):
                     if key:
                         seen[key, kind == "text"] += 1
                 for (key, is_text), n in seen.items():
-                    held = sums.setdefault((host, key, is_text), [0, 0, 0])
-                    held[0] += 1
+                    held = sums.setdefault((host, key, is_text), [0.0, 0, 0])
+                    held[0] += 1 / copies
                     held[1] += hash((page, n, 1))
                     held[2] += hash((page, n, 2))
-            columns = [[k[0] for k in sums], [signed(k[1]) for k in sums], [k[2] for k in sums], *([signed(v[i]) for v in sums.values()] for i in range(3))]
-            kinds = [pa.string(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64()]
+            columns = [[k[0] for k in sums], [signed(k[1]) for k in sums], [k[2] for k in sums], [v[0] for v in sums.values()], *([signed(v[i]) for v in sums.values()] for i in (1, 2))]
+            kinds = [pa.string(), pa.int64(), pa.bool_(), pa.float64(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["host", "token", "is_text", "support", "one", "two"])
 
-    return pages.mapInArrow(work, "host string, token bigint, is_text boolean, support bigint, one bigint, two bigint")
+    return pages.mapInArrow(work, "host string, token bigint, is_text boolean, support double, one bigint, two bigint")
 
 
 def candidate_classes(pages: DataFrame, settings: Settings) -> DataFrame:
     """One row ``(host, tokens, classes)`` per host with frequent, large classes: their tokens and, for each, its class. As
     many as a page has tokens, not as there are pages."""
     wrap = lambda c: F.sum(F.col(c).cast("decimal(38,0)"))  # noqa: E731  sums of hashes, which do not fit 64 bits
-    counted = occurrence_vectors(pages).groupBy("host", "token", "is_text").agg(F.sum("support").alias("support"), wrap("one").alias("one"), wrap("two").alias("two"))
-    sizes = pages.groupBy(F.col("_host").alias("host")).agg(F.count("*").alias("n"), F.approx_count_distinct(F.xxhash64("_html")).alias("different"))
+    contents = materialise(pages.groupBy("_host", "_page").agg(F.count("*").alias("_copies")), "template-contents")
+    copied = materialise(contents.where("_copies > 1"), "template-copied")
+    pages = pages.join(copied, ["_host", "_page"], "left").withColumn("_copies", F.coalesce("_copies", F.lit(1)))
+    support = F.round(F.sum("support")).cast("bigint").alias("support")
+    counted = occurrence_vectors(pages).groupBy("host", "token", "is_text").agg(support, wrap("one").alias("one"), wrap("two").alias("two"))
+    sizes = contents.groupBy(F.col("_host").alias("host")).agg(F.count("*").alias("n"))
     named = counted.join(materialise(sizes, "template-hosts"), "host").where(
         (F.col("support") >= settings.tag_share * F.col("n"))
-        & (~F.col("is_text") | ((F.col("support") >= settings.text_share * F.col("n")) & (F.col("different") >= settings.pages)))
+        & (~F.col("is_text") | ((F.col("support") >= settings.text_share * F.col("n")) & (F.col("n") >= settings.pages)))
     )
     classes = named.select("host", "token", F.xxhash64("one", "two", "support").alias("class"))
     large = classes.groupBy("host", "class").agg(F.collect_list("token").alias("own")).where(F.size("own") >= settings.size)
@@ -266,7 +272,7 @@ def main_text(html: str, template: dict[int, int]) -> tuple[str, int]:
     inside = any(kind == "open" and place.main and not place.aside for kind, _, place, _ in page)
     for kind, key, place, text in page:
         if kind == "text":
-            if key and key not in template:
+            if key and (place.main or key not in template):
                 slots += not open_slot
                 open_slot = True
                 if not place.aside and (place.main or not inside):
@@ -281,14 +287,14 @@ def main_text(html: str, template: dict[int, int]) -> tuple[str, int]:
     return "\n".join(line for line in lines if line), slots
 
 
-def extract(pages: DataFrame, settings: Settings | None = None, html: str = "html", url: str = "url", page_id: str = "page_id") -> DataFrame:
+def extract(pages: DataFrame, settings: Settings | None = None, html: str = "html", url: str = "url") -> DataFrame:
     """Adds ``text`` and ``n_slots`` to ``pages``: the main text of each page, blocks in order of page, one per line, and
     how many slots it has beside its host's template. Nothing of a kept slot is cut.
 
     A null or empty page has an empty text. A page whose url has no host, or is null, is read without a template, as is
     one of a host whose pages have nothing in common; elements alone then tell the article from the rest. Without an
-    ``article`` or ``main`` element all that is not marked as something else is kept. Repeated rows are pages of their own;
-    null ids do no harm. Rows and other columns are kept; columns with the added names are replaced.
+    ``article`` or ``main`` element all that is not marked as something else is kept. Repeated rows are read each, but count
+    once for the template; ids are not looked at. Rows and other columns are kept; columns with the added names are replaced.
 
     Tokens are summed per host before they are shuffled, so a host of any size costs a task no more than another. Templates
     are as large as a page; pages are joined with them by host, and are shuffled for it only if all templates together
@@ -296,7 +302,7 @@ def extract(pages: DataFrame, settings: Settings | None = None, html: str = "htm
     """
     settings = settings or Settings()
     host = F.when(url_host(F.col(url)) != "", url_host(F.col(url)))
-    page = F.xxhash64(F.col(page_id), F.col(url))
+    page = F.xxhash64(F.coalesce(F.col(html), F.lit("")))
     pages = pages.drop("text", "n_slots")
     marked = pages.select("*", host.alias("_host"), F.col(html).alias("_html"))
     hosted = marked.where("_host IS NOT NULL").select("_host", page.alias("_page"), "_html")

@@ -134,6 +134,21 @@ def test_template_text_goes_where_elements_do_not_tell(spark):
     assert out[101] == "Welcome to the site\ntitle 1\nstory 1 of many\nAll rights reserved"
 
 
+@pytest.mark.parametrize("name", ["article", "div"])
+def test_copies_do_not_make_their_text_the_template(spark, name):
+    body = lambda i: f"<{name}><h1>title {i}</h1>" + "".join(f"<p>part {k} of story {i}</p>" for k in range(60)) + f"</{name}>"
+    story = lambda i: "\n".join([f"title {i}", *(f"part {k} of story {i}" for k in range(60))])
+    rows = [(i, f"s://copies.example/{i}", page(body(max(i - 89, 0)))) for i in range(100)]
+    out = {r.page_id: r.text for r in page_template.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert [out[i] for i in range(100)] == [story(max(i - 89, 0)) for i in range(100)]
+
+
+def test_text_in_the_article_stays_though_all_pages_have_it(spark):
+    rows = [(i, f"s://same.example/{i}", page(f"<article><p>Dear readers</p><p>story {i}</p><p>Yours</p></article><p>All rights reserved</p>")) for i in range(20)]
+    out = {r.page_id: r.text for r in page_template.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(out[i] == f"Dear readers\nstory {i}\nYours" for i in range(20))
+
+
 def test_classes_out_of_order_are_not_valid():
     assert page_template.order_of([1, 2, 3, 1, 2, 3]) == page_template.order_of([1, 2, 3]) != 0
     assert page_template.order_of([1, 2, 3, 2, 1, 3]) == 0 == page_template.order_of([1, 2, 1])
