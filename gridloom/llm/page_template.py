@@ -32,9 +32,10 @@ MASK = (1 << 64) - 1
 
 #: Kinds of HTML elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style title textarea template noscript iframe svg math xmp noembed noframes".split())
+RAW = frozenset("script style title textarea template noscript iframe svg annotation annotation-xml xmp noembed noframes".split())
 INLINE = frozenset(
-    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img input ins kbd label mark q ruby rb rt rp s samp small span strike strong sub sup time tt u var wbr".split()
+    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img input ins kbd label mark q ruby rb rt rp s samp small span strike strong sub sup time tt u var wbr "
+    "math maction menclose merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics annotation annotation-xml".split()
 )
 CLOSES_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split()
@@ -45,19 +46,27 @@ LIMITS = frozenset("ul ol dl table select menu article body".split())
 #: Elements that are no article, whatever is in them, and words in class, id or role that say so.
 ASIDE = frozenset("nav footer aside form script style button select dialog menu object head".split())
 MAIN = frozenset("article main".split())
-BOILERPLATE = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|advert|adverts|advertisement|sponsor|sponsored|promo|banner|cookie|cookies|consent|notice|notices|alert|popup|modal|"
-    r"sidebar|menu|nav|navigation|navbar|breadcrumb|breadcrumbs|pagination|pager|footer|masthead|topbar|toolbar|"
-    r"comment|comments|respond|reply|replies|disqus|share|sharing|social|related|recommended|newsletter|subscribe|signup|widget|search)(?:$|[\s_-])",
-    re.IGNORECASE,
+BOILERPLATE = frozenset(
+    "ad ads advert adverts advertisement sponsor sponsored promo banner cookie cookies consent notice notices alert popup modal "
+    "sidebar menu nav navigation navbar breadcrumb breadcrumbs pagination pager footer masthead topbar toolbar "
+    "comment comments respond reply replies disqus share sharing social related recommended newsletter subscribe signup widget search".split()
 )
+#: Of these words, those whose elements hold articles that are not the page's own, and those that mark an author's own remarks within an article.
+OTHERS = frozenset("ad ads advert adverts advertisement sponsor sponsored promo comment comments respond reply replies disqus related recommended".split())
+REMARKS = frozenset("notice notices alert".split())
+#: Elements whose class, id and role speak of the page or of its own text.
+UNMARKED = frozenset("html body article main h1 h2 h3 h4 h5 h6".split())
+#: Parts of a name that say how a page is laid out (``has-sidebar``, ``comment-open``), and those an id may have beside the words; other ids are of headings and sections.
+STATES = frozenset("has with without no not open opened closed enabled disabled".split())
+FURNITURE = frozenset("site main page top bottom left right primary secondary global mobile list container wrapper wrap inner outer content box bar area panel block buttons links posts form".split())
 #: Comments, declarations and tags; a tag that is not closed ends where the next begins.
 MARKUP = re.compile(
     r"<!--(?:.*?-->|.*\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/<>]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z|(?=<))"
     r"|<(/?)([a-zA-Z][^\s/<>]*)([^<>]*)(?:>|\Z|(?=<))",
     re.DOTALL,
 )
-ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.IGNORECASE)
+QUOTES = "\"'"
+ATTRIBUTE = re.compile(r"(?<![\w-])(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.IGNORECASE)
 
 
 @dataclass(frozen=True)
@@ -73,12 +82,13 @@ class Settings:
 
 @dataclass(frozen=True)
 class Place:
-    """Where a token stands: hash of its path of elements, whether within the article, whether within what is none; and the
-    hashes of the tags that begin and end it."""
+    """Where a token stands: hash of its path of elements, whether within the article, whether within what is none, whether
+    also an article there is none of the page's own; and the hashes of the tags that begin and end it."""
 
     path: str
     main: bool
     aside: bool
+    others: bool
     opened: int
     closed: int
 
@@ -87,15 +97,35 @@ def digest(*parts: str) -> int:
     return int.from_bytes(hashlib.blake2b("\0".join(parts).encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
 
 
+def boilerplate(marks: str, main: bool) -> set[str]:
+    """The words of ``BOILERPLATE`` that an element's attributes, one per line, name it by. A name of several parts counts by
+    its first and its last part; an id only outside the article, and if all its parts are such words or ``FURNITURE``."""
+    found = set()
+    for attribute in marks.lower().split("\n"):
+        kind, _, names = attribute.partition("=")
+        for name in names.split():
+            parts = [x for x in re.split("[-_]+", name) if x]
+            if kind == "id":
+                if not main and all(x in BOILERPLATE or x in FURNITURE or x.isdigit() for x in parts):
+                    found.update(BOILERPLATE.intersection(parts))
+            elif parts and STATES.isdisjoint(parts):
+                found.update(BOILERPLATE.intersection((parts[0], parts[-1])))
+    return found - REMARKS if main else found
+
+
 @lru_cache(maxsize=100_000)
 def place_below(above: Place, name: str, marks: str) -> Place:
     main = above.main or name in MAIN
-    aside = above.aside or name in ASIDE or name == "header" and not main or bool(BOILERPLATE.search(marks))
+    words = set() if name in UNMARKED else boilerplate(marks, above.main)
+    never = name in ASIDE or name == "header" and not main
+    others = above.others or never or not OTHERS.isdisjoint(words)
+    # The page's own article starts afresh below a wrapper that is only marked.
+    aside = (above.aside and (name not in MAIN or above.main or above.others)) or never or bool(words)
     path = f"{digest(above.path, name, marks):x}"
-    return Place(path, main, aside, digest("open", path), digest("close", path))
+    return Place(path, main, aside, others, digest("open", path), digest("close", path))
 
 
-ROOT = Place("", False, False, 0, 0)
+ROOT = Place("", False, False, False, 0, 0)
 #: End of the elements whose content is no markup.
 RAW_ENDS = {name: re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.IGNORECASE) for name in RAW}
 
@@ -151,12 +181,12 @@ def tokens(html: str) -> Iterator[tuple[str, int, Place, str]]:
             del stack[i:]
         elif name in SIBLINGS and (i := end(SIBLINGS[name], LIMITS)) >= 0:
             del stack[i:]
-        marks = " ".join(m[2].strip("\"'") for m in ATTRIBUTE.finditer(rest)) if "=" in rest else ""
+        marks = "\n".join(f"{m[1]}={' '.join(m[2].strip(QUOTES).split())}" for m in ATTRIBUTE.finditer(rest)) if "=" in rest else ""
         place = place_below(top(), name, marks)
         if name in RAW:
             over = RAW_ENDS[name].search(html, at)
             at = over.end() if over else len(html)
-            yield "open", place.opened, place, name
+            yield "open" if name not in INLINE else "inline", place.opened, place, name
             continue
         yield "open" if name not in INLINE else "inline", place.opened, place, name
         if not rest.endswith("/") or name not in ("svg", "path"):

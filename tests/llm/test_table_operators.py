@@ -134,6 +134,23 @@ def test_template_text_goes_where_elements_do_not_tell(spark):
     assert out[101] == "Welcome to the site\ntitle 1\nstory 1 of many\nAll rights reserved"
 
 
+MARKED = {
+    '<body class="single has-sidebar comment-open"><article><p>a</article>': "a",
+    '<body id="search"><div class="content-with-sidebar"><p>a</div><div class="sidebar"><p>b</div>': "a",
+    '<article class="post comment-open related"><h2 id="related-work">h</h2><section id="share-price"><p id="search-methods">s</p></section><p class="notice">n</article>': "h\ns\nn",
+    '<h2 class="notice">h</h2><section id="related-work"><p>a</section><div id="site-footer">b</div><div id="comments">c</div>': "h\na",
+    '<div class="menu"><p>m<main><p>a<div class="left-sidebar">b</div><div role="search">c</div></main></div>': "a",
+    '<article><p>a</article><div class="comments"><article><p>reader</article></div><aside><article>b</article></aside>': "a",
+    '<div id="comments"><article>reader</article></div><p>a': "a",
+    "<main><p>if <math><semantics><mrow><mi>x</mi><mo>=</mo><mn>1</mn></mrow><annotation>x=1</annotation></semantics></math> then</main>": "if x=1 then",
+    '<div data-id="ads">a<div class=\'ad\'>b</div></div><div class="cookie-banner">c</div><div class="post_comments">d</div>': "a",
+}
+
+
+def test_words_in_names_mark_only_what_they_name():
+    assert {html: page_template.main_text(html, {})[0] for html in MARKED} == MARKED
+
+
 @pytest.mark.parametrize("name", ["article", "div"])
 def test_copies_do_not_make_their_text_the_template(spark, name):
     body = lambda i: f"<{name}><h1>title {i}</h1>" + "".join(f"<p>part {k} of story {i}</p>" for k in range(60)) + f"</{name}>"
