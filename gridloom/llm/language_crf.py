@@ -8,6 +8,10 @@ The model is fitted on a bounded sample of labelled texts (``Settings``), on seq
 languages, as text that switches is rarely labelled as such. Prediction reads whole texts: a long chain is cut into
 segments whose transfer matrices are multiplied first, which gives the exact messages at every cut, and all segments are
 then worked on side by side.
+
+The field spreads every word over the languages it has learned. Whether a text is in any of them is asked of its letters
+instead: the share of each word's runs of three letters that the sample has, in whatever language, against what texts
+of the sample reach that are held against the other half of it.
 """
 
 from __future__ import annotations
@@ -28,6 +32,10 @@ from gridloom.llm.shingles import mix
 BLOCK_BYTES = 4 << 20
 SEGMENT = 32
 UNKNOWN = "und"
+#: How far below the mean of the sample's texts one may be, in standard deviations, and still count as known.
+DEVIATIONS = 6
+#: Words of a text that may be of no language besides, up to this share of its distinct words.
+ODD_WORDS, ODD_SHARE = 2, 0.5
 
 
 @dataclass(frozen=True)
@@ -59,6 +67,10 @@ class Model:
     lexicon_weights: np.ndarray
     transitions: np.ndarray
     """From row to column."""
+    grams: np.ndarray
+    """Hashes of all runs of three letters in the sample, sorted."""
+    reach: tuple[float, float, float]
+    """Share of known runs in a text not learned from: mean of texts, their deviation, and that of words within a text."""
 
 
 def words_of(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
@@ -107,6 +119,52 @@ def features(words: pa.Array, buckets: int) -> tuple[np.ndarray, np.ndarray, np.
     return affixes, np.concatenate(grams)[order], counts, hashes
 
 
+def trigrams(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all runs of three letters of ``words``, marks for begin and end included, and the word each is of."""
+    texts = words.to_pylist()
+    flat = np.frombuffer("".join(f"\x02{w}\x03" for w in texts).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    owner = np.repeat(np.arange(len(texts)), np.fromiter(map(len, texts), np.int64, len(texts)) + 2)
+    at = np.arange(max(len(flat) - 2, 0))
+    at = at[owner[at] == owner[at + 2]] if len(at) else at
+    # A code point has 21 bits, so three of them fit into one number.
+    return (flat[at] << np.uint64(42)) | (flat[at + 1] << np.uint64(21)) | flat[at + 2], owner[at]
+
+
+def known_share(words: pa.Array, grams: np.ndarray) -> np.ndarray:
+    """Of each word, the share of its runs of three letters that are among ``grams``, sorted."""
+    found, owner = trigrams(words)
+    if not len(grams):
+        return np.zeros(len(words))
+    hit = grams[np.minimum(np.searchsorted(grams, found), len(grams) - 1)] == found
+    return np.bincount(owner, hit, len(words)) / np.maximum(np.bincount(owner, minlength=len(words)), 1)
+
+
+def own_words(number: np.ndarray, distinct: int, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Like the result of ``words_of``, each text's words once; and the text of each."""
+    text, own = np.divmod(np.unique(np.repeat(np.arange(len(counts)), counts) * distinct + number), max(distinct, 1))
+    return own, text, np.bincount(text, minlength=len(counts))
+
+
+def letters_of(number: np.ndarray, distinct: pa.Array, counts: np.ndarray) -> tuple[np.ndarray, tuple[float, float, float]]:
+    """``grams`` and ``reach`` of a model whose sample has these words. Each half of the texts, every other one, is held against
+    the runs of the other. From fewer than two texts of eight words on each side nothing can be said: ``reach`` is nan."""
+    found, owner = trigrams(distinct)
+    number, text, counts = own_words(number, len(distinct), counts)
+    side = np.arange(len(counts)) % 2
+    sides = side[text]
+    shares = np.zeros(len(number))
+    for half in (0, 1):
+        other = np.zeros(len(distinct), bool)
+        other[number[sides != half]] = True
+        shares[sides == half] = known_share(distinct, np.unique(found[other[owner]]))[number[sides == half]]
+    full = counts >= 8
+    if min(np.count_nonzero(full & (side == 0)), np.count_nonzero(full & (side == 1))) < 2:
+        return np.unique(found), (np.nan, np.nan, np.nan)
+    means = np.bincount(text, shares, len(counts)) / np.maximum(counts, 1)
+    own = full[text]
+    return np.unique(found), (float(means[full].mean()), float(means[full].std()), float((shares - means[text])[own].std()))
+
+
 def lexicon_place(model: Model, hashes: np.ndarray) -> np.ndarray:
     """Language of each word by the lexicon; -1 if it has none."""
     if not len(model.lexicon):
@@ -183,7 +241,7 @@ def fit(texts: list[str], langs: list[str], settings: Settings) -> Model:
     labels = sorted(set(langs))
     k = len(labels)
     if not k:
-        return Model([], np.zeros((1, 0)), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros((0, 0)), np.zeros((0, 0)))
+        return Model([], np.zeros((1, 0)), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros((0, 0)), np.zeros((0, 0)), np.zeros(0, np.uint64), (np.nan,) * 3)
     number, distinct, counts = words_of(pa.array(texts, pa.string()))
     own = np.array([labels.index(x) for x in langs], np.int64)
     affixes, grams, gram_counts, hashes = features(distinct, settings.buckets)
@@ -193,7 +251,7 @@ def fit(texts: list[str], langs: list[str], settings: Settings) -> Model:
     total, top = seen.sum(1), seen.argmax(1)
     listed = np.flatnonzero((total >= settings.lexicon_count) & (seen.max(1) >= settings.lexicon_share * np.maximum(total, 1)))
     order = listed[np.argsort(hashes[listed])]
-    model = Model(labels, np.zeros((settings.buckets, k)), hashes[order], top[order], np.zeros((k, k)), np.zeros((k, k)))
+    model = Model(labels, np.zeros((settings.buckets, k)), hashes[order], top[order], np.zeros((k, k)), np.zeros((k, k)), *letters_of(number, distinct, counts))
     if k < 2:
         return model
     # Runs of words, cut from each text at random, and sequences of one to four of them.
@@ -293,16 +351,19 @@ def train(docs: DataFrame, settings: Settings | None = None, text: str = "text",
     return fit([row["text"] for row in sample], [row["lang"] for row in sample], settings)
 
 
-def predict(docs: DataFrame, model: Model, text: str = "text", runs: bool = False) -> DataFrame:
+def predict(docs: DataFrame, model: Model, text: str = "text", runs: bool = False, known: bool = False) -> DataFrame:
     """Adds ``lang_pred`` and ``score`` to ``docs``: the language with most expected words, and its share of them. With
-    ``runs`` also ``lang_runs``, the text's words in order as runs of one language, ``(lang, words)``.
+    ``runs`` also ``lang_runs``, the text's words in order as runs of one language, ``(lang, words)``. With ``known`` also
+    ``known``, whether its letters are those of the learned languages: the mean of its distinct words' shares of known
+    runs is no more than ``DEVIATIONS`` below what such texts reach, besides ``ODD_WORDS`` (names, keys). It does not depend on how many
+    languages there are, nor on which of them a word is of.
 
     A null text, or one without a letter, is ``und`` with score 0; so is every text if the model knows no language. Of
     equal languages the first by name counts. Texts are read whole; nothing but the text is looked at. Rows and
     other columns are kept; columns with the added names are replaced. No shuffle.
     """
-    docs = docs.drop("lang_pred", "score", "lang_runs")
-    added = "lang_pred string, score double" + (", lang_runs array<struct<lang:string,words:int>>" if runs else "")
+    docs = docs.drop("lang_pred", "score", "lang_runs", *(["known"] if known else []))
+    added = "lang_pred string, score double" + (", lang_runs array<struct<lang:string,words:int>>" if runs else "") + (", known boolean" if known else "")
     schema = docs.select("*", *(F.lit(None).cast(t).alias(n) for n, t in (x.split(" ", 1) for x in added.split(", ")))).schema
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -323,8 +384,18 @@ def predict(docs: DataFrame, model: Model, text: str = "text", runs: bool = Fals
                     for start, n in zip(cuts, np.diff(np.r_[cuts, len(tags)]), strict=True):
                         found[owner[start]].append({"lang": model.labels[tags[start]], "words": int(n)})
             columns = [*part.columns, pa.array(langs), pa.array(scores)]
+            inside = np.zeros(part.num_rows, bool)
+            if known and len(number) and model.labels:
+                own, owner, n = own_words(number, len(distinct), counts)
+                full = np.flatnonzero(n)
+                share = np.bincount(owner, known_share(distinct, model.grams)[own], len(n))[full] / n[full]
+                mean, texts, words = model.reach
+                odd = np.minimum(ODD_WORDS / n[full], ODD_SHARE)
+                inside[full] = ~(share < mean - DEVIATIONS * np.hypot(texts, words / np.sqrt(n[full])) - odd)
             if runs:
                 columns.append(pa.array(found, pa.list_(pa.struct([("lang", pa.string()), ("words", pa.int32())]))))
+            if known:
+                columns.append(pa.array(inside))
             yield pa.RecordBatch.from_arrays(columns, schema.fieldNames())
 
     return docs.mapInArrow(work, schema)

@@ -1,5 +1,7 @@
 """The corpus pipeline: what each stage does to planted cases, and hard rows through all of them."""
 
+import random
+
 import corpus_pipeline
 import pytest
 
@@ -54,6 +56,21 @@ def test_each_stage_takes_effect_and_keeps_clean_documents(spark, sf_dir, docume
     assert set(ids(mixed)) <= start - {9001}
 
 
+def test_languages_that_were_not_learned_go(spark, sf_dir, documents):
+    r = random.Random(8)
+    finnish = "kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan heille on annettu järki ja omatunto ja heidän on toimittava toisiaan kohtaan veljeyden hengessä"
+    noise = " ".join("".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randint(2, 9))) for _ in range(60))
+    parts = [documents.where(f"lang = '{x}' AND n_chars > 500").orderBy("doc_id").first().text[:200] for x in ("en", "de", "fr", "es")]
+    texts = [finnish, noise, "всички хора се раждат свободни и равни по достойнство и права", " ".join(parts), parts[1]]
+    docs = added(documents, [(9001 + i, t, None, "s", len(t)) for i, t in enumerate(texts)])
+    stage = dict(corpus_pipeline.STAGES)["language_id"]
+    for known in (docs, docs.where("lang IS NULL OR lang IN ('en', 'de')")):  # the fewer languages, the higher each one's share
+        kept = {r.doc_id for r in stage(spark, known, sf_dir).select("doc_id").collect()}
+        assert not {9001, 9002, 9003} & kept and 9005 in kept
+        assert {r.doc_id for r in known.where("doc_id < 9001").collect()} <= kept
+    assert {9004, 9005} <= {r.doc_id for r in stage(spark, docs, sf_dir).select("doc_id").collect()}
+
+
 def test_no_documents(spark, sf_dir, documents):
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, documents.limit(0), sf_dir).count() == 0
