@@ -18,14 +18,36 @@ ROUNDS = 8
 FIRST_DAY, SIDE = "1900-01-01", 270
 
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
+HEX4 = "[0-9A-Fa-f]{1,4}"
+#: Calling codes as E.164 deals them out.
+COUNTRY = r"\+(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[2-9]\d\d)"
+#: Countries by the length of their IBANs.
+IBANS = {
+    15: "NO", 16: "BE", 18: "DK|FO|FI|GL|NL", 19: "MK|SI", 20: "AT|BA|EE|KZ|LT|LU|XK", 21: "CH|HR|LI|LV", 22: "BG|BH|CR|DE|GB|GE|IE|ME|RS|VA",
+    23: "AE|GI|IL|IQ|TL", 24: "AD|CZ|ES|MD|PK|RO|SA|SE|SK|TN|VG", 25: "LY|PT", 26: "IS|TR", 27: "FR|GR|IT|MC|MR|SM",
+    28: "AL|AZ|BY|CY|DO|GT|HU|LB|PL|SV", 29: "BR|EG|PS|QA|UA", 30: "JO|KW|MU", 31: "MT|SC",
+}
+
+
+def _account(n: int) -> str:
+    """Pattern of an IBAN after its country: check digits and ``n`` signs, in groups of four or in none."""
+    rest = f" [A-Z0-9]{{{n % 4}}}" if n % 4 else ""
+    return rf"\d\d(?:[A-Z0-9]{{{n}}}|(?: [A-Z0-9]{{4}}){{{n // 4}}}{rest})"
+
+
 #: Patterns by kind, in the order in which they are tried at a place.
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "secret": r"(?<![A-Za-z0-9])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![A-Za-z0-9])",
+    "iban": rf"(?<![A-Za-z0-9])(?:{'|'.join(f'(?:{c}){_account(n - 4)}' for n, c in IBANS.items())})(?![A-Za-z0-9])",
+    "ipv6": rf"(?<![\w:.])(?:(?:{HEX4}:){{7}}{HEX4}|{HEX4}(?::{HEX4}){{0,5}}::(?:{HEX4}(?::{HEX4}){{0,5}})?|::{HEX4}(?::{HEX4}){{0,6}})(?![\w:]|\.\d)",
     "ipv4": rf"(?<![\w.]){OCTET}\.{OCTET}\.{OCTET}\.{OCTET}(?!\.?\w)",
-    "date": r"(?<![\w./-])(?:(?:19|20)\d\d-\d\d-\d\d|\d\d/\d\d/(?:19|20)\d\d|\d\d\.\d\d\.(?:19|20)\d\d)(?![./-]?\w)",
-    "phone": r"(?<![\w+(])(?:\+1[ .-]?)?(?:\(\d{3}\)[ .-]?|\d{3}[.-])\d{3}[ .-]\d{4}(?!\w)",
-    "card": r"(?<!\w)(?<!\d[.-])(?:\d{13,19}|\d{4}(?: \d{4}){3}|\d{4}(?:-\d{4}){3}|\d{4} \d{6} \d{5})(?!\w)",
+    "date": r"(?<![\w./-])(?:(?:19|20)\d\d-\d\d-\d\d|\d\d/\d\d/(?:19|20)\d\d|\d\d\.\d\d\.(?:19|20)\d\d)(?:(?=T\d\d)|(?![./-]?\w))",
+    "ssn": r"(?<![\w.-])\d{3}-\d\d-\d{4}(?![.-]?\w)",
+    "phone": r"(?:(?<![\w+(])(?:\+1[ .-]?)?(?:\(\d{3}\)[ .-]?|\d{3}[.-])\d{3}[ .-]\d{4}(?!\w)"
+    rf"|(?<![\w+])(?=\+(?:[ .()-]{{0,3}}\d){{8}}){COUNTRY}(?:\d{{4,14}}|[ .-]?(?:\(\d{{1,5}}\)|\d{{1,8}})(?:[ .-]{{1,2}}\d{{1,8}}){{1,5}})(?!\w)"
+    r"|(?<![\w+])(?<!\d )\d{3} \d{3} \d{4}(?! ?\w?\d))",
+    "card": r"(?<!\w)(?<!\d[.-])(?:\d{13,19}|\d{4}(?: \d{4}){3}|\d{4}(?:-\d{4}){3}|\d{4}(?:\.\d{4}){3}|\d{4} \d{6} \d{5}|\d{4}-\d{6}-\d{5}|\d{4}\.\d{6}\.\d{5})(?!\w)",
 }
 ANY = "|".join(PATTERNS.values())
 #: Spellings of dates: pattern of the match, and the format that reads and writes it.
@@ -108,7 +130,7 @@ def _card(value: Column, secret: str, inverse: bool) -> Column:
 
 def _phone(value: Column, secret: str, inverse: bool) -> Column:
     """All digits but the country's."""
-    own = F.when(F.startswith(value, F.lit("+1")), 2).otherwise(0)
+    own = F.length(F.regexp_extract(value, "^" + COUNTRY, 0))
     return permute_text(value, places(value, lambda i: i > own), secret, "phone", inverse)
 
 
@@ -127,6 +149,30 @@ def _ipv4(value: Column, secret: str, inverse: bool) -> Column:
     return F.array_join(permute(octets, F.array_repeat(F.lit(256), 4), secret, F.lit("ipv4"), inverse).cast("array<string>"), ".")
 
 
+def _ipv6(value: Column, secret: str, inverse: bool) -> Column:
+    """Digits among digits and letters among letters, so that groups keep their lengths."""
+    return permute_text(value, places(value, lambda i: F.lit(True)), secret, "ipv6", inverse, letters=6)
+
+
+def _ssn(value: Column, secret: str, inverse: bool) -> Column:
+    return permute_text(value, places(value, lambda i: F.lit(True)), secret, "ssn", inverse)
+
+
+def iban_check(value: Column) -> Column:
+    """The two check digits that an IBAN with these country and account has."""
+    plain = F.regexp_replace(value, " ", "")
+    chars = F.filter(F.split(F.concat(F.substring(plain, F.lit(5), F.length(plain)), F.substring(plain, 1, 2), F.lit("00")), ""), lambda c: c != "")
+    step = lambda a, c: F.when(c.between("0", "9"), (a * 10 + F.ascii(c) - ord("0")) % 97).otherwise((a * 100 + F.ascii(c) - ord("A") + 10) % 97)
+    return F.lpad((98 - F.aggregate(chars, F.lit(0), step)).cast("string"), 2, "0")
+
+
+def _iban(value: Column, secret: str, inverse: bool) -> Column:
+    """The account; the country stays and the check digits follow."""
+    country = F.substring(value, 1, 2)
+    moved = permute_text(value, places(value, lambda i: i > 4), secret, "iban", inverse)
+    return let(moved, lambda m: F.concat(country, iban_check(m), F.substring(m, F.lit(5), F.length(m))))
+
+
 def _day(value: Column) -> Column:
     """Days from the first one; null for what the calendar does not know."""
     dates = [F.when(value.rlike(shape), F.try_to_timestamp(value, F.lit(form))) for shape, form in DATE_FORMATS]
@@ -146,11 +192,13 @@ def _date(value: Column, secret: str, inverse: bool) -> Column:
 
 
 def kind_of(value: Column) -> Column:
-    """Kind of a match, null if it is not valid: a card number needs its check digit, a date its day in the calendar and
+    """Kind of a match, null if it is not valid: a card number and an IBAN need their check digits, an IPv6 address a digit, a date its day in the calendar and
     within the permuted days, a secret both letters and digits."""
     whole = lambda kind: value.rlike("^(?:" + PATTERNS[kind] + ")$")
     valid = {
         "secret": value.rlike("[0-9]") & value.rlike("[A-Fa-f]"),
+        "iban": F.substring(value, 3, 2) == iban_check(value),
+        "ipv6": value.rlike("[0-9]"),
         "card": luhn(digits_of(value)) % 10 == 0,
         "date": _day(value).between(0, SIDE * SIDE - 1),
     }
@@ -160,7 +208,7 @@ def kind_of(value: Column) -> Column:
     return out
 
 
-CHANGES = {"email": _email, "secret": _secret, "ipv4": _ipv4, "date": _date, "phone": _phone, "card": _card}
+CHANGES = {"email": _email, "secret": _secret, "iban": _iban, "ipv6": _ipv6, "ipv4": _ipv4, "date": _date, "ssn": _ssn, "phone": _phone, "card": _card}
 
 
 def pseudonym(value: Column, kind: Column, secret: str, inverse: bool = False) -> Column:

@@ -84,6 +84,30 @@ def test_pseudonyms_keep_format_and_can_be_restored(spark):
     assert pseudonyms.pseudonymise(docs, "other").first().text != rows[0].text
 
 
+SHAPES = {
+    "date": ["2024-01-05T10:00:00Z"],
+    "phone": ["+44 20 7946 0958", "+49 30 123456", "+1 555 123 4567", "555 123 4567", "+442079460958", "+44 (20) 7946-0958"],
+    "card": ["3782-822463-10005", "3782.822463.10005", "4111.1111.1111.1111", "NO12 4111 1111 1111 1111"],
+    "iban": ["DE89370400440532013000", "DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32"],
+    "ssn": ["123-45-6789"],
+    "ipv6": ["2001:db8:85a3:0:0:8a2e:370:7334", "2001:db8::1", "FE80::12:34"],
+}
+
+
+def test_pseudonyms_of_other_shapes_of_values(spark):
+    values = [(kind, v) for kind, of in SHAPES.items() for v in of]
+    odd = ["DE88370400440532013000", "std::vector 12:30:45 ad::be", "1 555 123 4567 8", "DE89 3704 0044 0532 0130 01"]
+    texts = [f"on {v}, and ({v})" for _, v in values] + odd
+    done = pseudonyms.pseudonymise(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").coalesce(1), "k")
+    rows = sorted(done.collect())
+    for (kind, value), row in zip(values, rows, strict=False):
+        assert [p.kind for p in row.pii] == [kind] * 2 and value not in row.text, row
+        p = row.pii[0]
+        assert p.value in value and len(p.value) == len(p.pseudonym) and p.value[:2] == p.pseudonym[:2] or kind not in ("iban",)
+    assert [r.text for r in rows[len(values) :]] == odd
+    assert [r.text for r in sorted(pseudonyms.pseudonymise(done, "k", inverse=True).collect())] == texts
+
+
 def test_dates_are_permuted_without_collision(spark):
     days = spark.range(0, 72_900, 37).select(F.date_format(F.date_add(F.lit("1900-01-01").cast("date"), F.col("id").cast("int")), "yyyy-MM-dd").alias("text"))
     out = pseudonyms.pseudonymise(days, "k").select(F.col("pii")[0]["pseudonym"].alias("p"), "text")
