@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import chat, decontam, language_crf, maxscore, mixing, near_dups, page_template, pseudonyms, token_counts, url_filter
+from gridloom.llm import chat, decontam, divergence, language_crf, maxscore, merkle, mixing, near_dups, page_template, pseudonyms, repeats, token_counts, url_filter
 from gridloom.llm.common import literal_table, table
 
 #: A key for tests; a real one comes from a vault.
@@ -181,6 +181,107 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 WHERE place <= 20
 """
 
+TAMPERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def op11_bitmap_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(*merkle.FIELDS)
+    changed = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    other = [*(F.col(c) for c in merkle.FIELDS[:-1]), F.when(changed, F.expr(TAMPERED)).otherwise(F.col("text"))]
+    made = merkle.manifest(docs, other=other).withColumn("folded_root", merkle.fold(F.col("other"), F.col("path")))
+    return made.select(
+        "doc_id", "leaf", "subroot", "root", merkle.proof(F.col("path")).alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified")
+    )
+
+
+def merkle_sql(levels: int) -> str:
+    """The tree as SQL, for sources, and numbers of sources, of at most ``16 ** levels``."""
+    field = lambda c: f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen(CAST({c} AS VARCHAR)) || ':' || {c} END"
+    hashed = lambda text: "sha256(" + " || ".join(field(c) for c in (*merkle.FIELDS[:-1], text)) + ")"
+    crc = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: ascii(c)::BIGINT)),
+             lambda crc, b: list_reduce(list_prepend(xor(crc, b), range(8)), lambda x, i: xor(x >> 1, (x & 1) * 3988292384))), 4294967295)"""
+
+    def tree(name: str, start: str) -> str:
+        parts = [f"{name}0 AS ({start})"]
+        for i in range(levels):
+            parts.append(f"""{name}{i + 1} AS (
+  SELECT tree, CAST((size + 15) // 16 AS BIGINT) AS size, rank // 16 AS rank,
+         CASE WHEN any_value(size) = 1 THEN any_value(h) ELSE sha256(string_agg(h, '' ORDER BY rank)) END AS h
+  FROM {name}{i} GROUP BY tree, size, rank // 16)""")
+        return ",\n".join(parts)
+
+    def climb(name: str, start: str) -> str:
+        parts = [f"{name}_up0 AS ({start})"]
+        for i in range(levels):
+            parts.append(f"""{name}_up{i + 1} AS (
+  SELECT u.id, u.tree, u.rank // 16 AS rank,
+         any_value(u.proof) || coalesce(string_agg(n.h, '' ORDER BY n.rank) FILTER (n.rank <> u.rank), '') AS proof,
+         CASE WHEN any_value(n.size) = 1 THEN any_value(u.folded)
+              ELSE sha256(string_agg(CASE WHEN n.rank = u.rank THEN u.folded ELSE n.h END, '' ORDER BY n.rank)) END AS folded
+  FROM {name}_up{i} u JOIN {name}{i} n ON n.tree = u.tree AND n.rank // 16 = u.rank // 16
+  GROUP BY u.id, u.tree, u.rank)""")
+        return ",\n".join(parts)
+
+    leaves = f"""SELECT row_number() OVER () AS id, doc_id, dense_rank() OVER (ORDER BY source NULLS FIRST) AS tree,
+         row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, {hashed("text")}) - 1 AS rank,
+         count(*) OVER (PARTITION BY source) AS size, {hashed("text")} AS h,
+         CASE WHEN {crc} % 5 = 0 THEN {hashed(TAMPERED)} ELSE {hashed("text")} END AS other
+  FROM documents"""
+    return f"""
+WITH leaves AS MATERIALIZED ({leaves}),
+{tree("t", "SELECT tree, size, rank, h FROM leaves")},
+{climb("t", "SELECT id, tree, rank, '' AS proof, other AS folded FROM leaves")},
+{tree("s", f"SELECT 0 AS tree, count(*) OVER () AS size, tree - 1 AS rank, h FROM t{levels}")},
+{climb("s", f"SELECT id, 0 AS tree, tree - 1 AS rank, proof, folded FROM t_up{levels}")}
+SELECT l.doc_id, l.h AS leaf, t.h AS subroot, s.h AS root, sha256(u.proof) AS proof_sha256, u.folded AS folded_root, u.folded = s.h AS verified
+FROM leaves l JOIN t{levels} t ON t.tree = l.tree JOIN s_up{levels} u ON u.id = l.id, s{levels} s
+"""
+
+
+def op12_run_length_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents").select("text", "lang", "source"))
+
+
+OP12_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+words AS (
+  SELECT id, lang, source, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs),
+kept AS (SELECT lang, term, count(*) AS lang_n FROM words GROUP BY ALL HAVING count(DISTINCT id) >= 30),
+counts AS (SELECT lang, source, term, count(*) AS n FROM words JOIN kept USING (lang, term) GROUP BY ALL),
+langs AS (SELECT lang, count(*) AS v, sum(lang_n)::HUGEINT AS lang_total FROM kept GROUP BY lang),
+totals AS (SELECT lang, source, sum(n)::HUGEINT AS total FROM counts GROUP BY ALL),
+groups AS (
+  SELECT lang, source, coalesce(total, 0) AS total, coalesce(v, 0) AS v, lang_total
+  FROM (SELECT DISTINCT lang, source FROM docs) LEFT JOIN totals USING (lang, source) LEFT JOIN langs USING (lang)),
+cells AS (
+  SELECT g.lang, g.source, k.term, lang_n, coalesce(n, 0) AS n,
+         1 + 1000000000::HUGEINT * (coalesce(n, 0) + 5) // (total + 5 * v) AS p, 1 + 1000000000::HUGEINT * (lang_n + 5) // (lang_total + 5 * v) AS q
+  FROM groups g JOIN kept k USING (lang) LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM cells a JOIN cells b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+found AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, CAST(p - q AS BIGINT) FROM cells WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value, CAST(place AS INTEGER) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS place FROM found)
+WHERE part = 'pair' OR place <= 50
+"""
+
+
+def op13_deep_shallow_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 QUERIES = {
     "op3_maxscore_topk": op3_maxscore_topk,
     "op4_template_extract": op4_template_extract,
@@ -192,6 +293,9 @@ QUERIES = {
     "op5_feistel_pii": op5_feistel_pii,
     "op2_chat_parts": op2_chat_parts,
     "op7_bloom_cascade": op7_bloom_cascade,
+    "op11_bitmap_merkle": op11_bitmap_merkle,
+    "op12_run_length_divergence": op12_run_length_divergence,
+    "op13_deep_shallow_dedup": op13_deep_shallow_dedup,
 }
 
 ORACLE = {
@@ -199,4 +303,6 @@ ORACLE = {
     "op8_temperature_mix": mix_sql("documents", "doc_id, source"),
     "op2_chat_parts": OP2_SQL,
     "op7_bloom_cascade": OP7_SQL,
+    "op11_bitmap_merkle": merkle_sql(6),
+    "op12_run_length_divergence": OP12_SQL,
 }

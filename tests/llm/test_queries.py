@@ -1,5 +1,6 @@
 """Registered queries against their SQL twins or plain versions, over whole small tables."""
 
+import hashlib
 import html
 import re
 from collections import defaultdict
@@ -25,7 +26,7 @@ def rows_of(sf_dir, name, columns):
 
 def test_all_are_registered():
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
-    assert sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
@@ -103,3 +104,19 @@ def test_near_duplicates_equal_all_pairs(spark, sf_dir):
     rows = QUERIES["op10_hamming_dedup"](spark, sf_dir).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == expected
     assert all(r.kept == (r.doc_id == r.component_id) for r in rows)
+
+
+def test_repeated_bytes_are_those_of_all_windows(spark, sf_dir):
+    seen, expected = set(), {}
+    for doc_id, text in sorted(rows_of(sf_dir, "documents", "doc_id, text")):
+        data = text.encode()
+        covered = bytearray(len(data))
+        for i in range(len(data) - 99):
+            if (window := data[i : i + 100]) in seen:
+                covered[i : i + 100] = b"\1" * 100
+            seen.add(window)
+        kept = bytes(b for b, c in zip(data, covered, strict=True) if not c)
+        expected[doc_id] = (len(data), sum(covered), len(re.findall(b"\1+", bytes(covered))), hashlib.sha256(kept).hexdigest())
+    rows = QUERIES["op13_deep_shallow_dedup"](spark, sf_dir).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in rows} == expected and len(rows) == len(expected)
+    assert sum(r.n_removed for r in rows) > 0
