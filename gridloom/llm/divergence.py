@@ -10,7 +10,6 @@ All arithmetic is on whole numbers: probabilities are ``1 + floor(10^9 * (count
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,9 +25,8 @@ SCALE = 1_000_000_000
 PRIOR = 5
 #: Terms of a block.
 BLOCK = 4096
-#: Bytes of text counted at once, and entries that a task gathers before it hands them on.
-BLOCK_BYTES = 4 << 20
-ENTRIES = 500_000
+#: Bytes of text counted at once.
+BLOCK_BYTES = 8 << 20
 #: Bytes as terms see them: A-Z lower-cased, other ASCII but a-z a space, bytes of other characters as they are.
 FOLD = np.full(256, 32, np.uint8)
 FOLD[128:] = np.arange(128, 256)
@@ -52,41 +50,33 @@ def terms(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
 
 
 def term_counts(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
-    """``(lang, source, term, n, docs)``: how often a term occurs in a group, and in how many of its documents. Nulls are
-    empty. Tasks hand on sums, not occurrences."""
+    """``(lang, term, docs, sources, ns)``: of a block of documents, in how many a language's term occurs, and how often in those
+    of each source. Nulls are empty. Tasks hand on sums by block, not occurrences."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, held = Counter(), Counter()
-
-        def out() -> pa.RecordBatch:
-            keys = list(n)
-            columns = [pa.array([k[i] for k in keys], pa.string()) for i in range(3)]
-            return pa.RecordBatch.from_arrays([*columns, pa.array([n[k] for k in keys], pa.int64()), pa.array([held[k] for k in keys], pa.int64())], ["lang", "source", "term", "n", "docs"])
-
-        for batch in batches:
-            for part in by_size(iter([batch]), text, BLOCK_BYTES):
-                owner, code, words = terms(part.column(text))
-                group = pa.StructArray.from_arrays([part.column(lang), part.column(source)], ["lang", "source"]).to_pylist()
-                names = list({(g["lang"], g["source"]): None for g in group})
-                place = {g: i for i, g in enumerate(names)}
-                of_doc = np.array([place[g["lang"], g["source"]] for g in group], np.int64)
-                size = max(1, len(words))
-                of_term, words = of_doc[owner] * size + code, words.to_pylist()
-                once = np.unique(owner * size + code)
-                for counter, keys in ((n, of_term), (held, of_doc[once // size] * size + once % size)):
-                    keys, sums = np.unique(keys, return_counts=True)
-                    for k, s in zip(keys.tolist(), sums.tolist(), strict=True):
-                        counter[(*names[k // size], words[k % size])] += s
-                if len(n) >= ENTRIES:
-                    yield out()
-                    n.clear()
-                    held.clear()
-        if n:
-            yield out()
+        for part in by_size(batches, text, BLOCK_BYTES):
+            owner, code, words = terms(part.column(text))
+            size = max(1, len(words))
+            langs, sources = part.column(lang).dictionary_encode(), part.column(source).dictionary_encode()
+            lang_of, source_of = (c.indices.to_numpy().astype(np.int64) for c in (langs, sources))
+            # In order of language, term and source; each term of a language is a run.
+            cells, n = np.unique((lang_of[owner] * size + code) * len(sources.dictionary) + source_of[owner], return_counts=True)
+            term, place = np.divmod(cells, max(1, len(sources.dictionary)))
+            starts = np.flatnonzero(np.r_[True, term[1:] != term[:-1]]) if len(term) else np.zeros(0, np.int64)
+            once = np.unique(owner * size + code)
+            _, held = np.unique(lang_of[once // size] * size + once % size, return_counts=True)
+            of_lang, of_word = np.divmod(term[starts], size)
+            offsets = pa.array(np.r_[starts, len(term)].astype(np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    langs.dictionary.take(pa.array(of_lang)), words.cast(pa.string()).take(pa.array(of_word)), pa.array(held, pa.int64()),
+                    pa.ListArray.from_arrays(offsets, sources.dictionary.take(pa.array(place))), pa.ListArray.from_arrays(offsets, pa.array(n, pa.int64())),
+                ],
+                ["lang", "term", "docs", "sources", "ns"],
+            )
 
     columns = docs.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in (lang, source)), text)
-    found = columns.mapInArrow(work, "lang string, source string, term string, n bigint, docs bigint")
-    return found.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    return columns.mapInArrow(work, "lang string, term string, docs bigint, sources array<string>, ns array<bigint>")
 
 
 def probability(count: Column, total: Column, size: Column) -> Column:
@@ -156,9 +146,14 @@ def audit(docs: DataFrame, least_docs: int = 30, top: int = 50, text: str = "tex
     them; the result has a row for each pair of sources anyway.
     """
     groups = docs.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(n) for c, n in ((lang, "lang"), (source, "source")))).distinct()
-    counts = term_counts(docs, text, lang, source)
+    counts = materialise(term_counts(docs, text, lang, source), "divergence-counts")
+    # Most terms are rare: those to be kept are known before anything is added up by source.
+    kept = counts.groupBy("lang", "term").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= least_docs)
+    cells = counts.drop("docs").join(materialise(kept.select("lang", "term"), "divergence-kept"), ["lang", "term"])
+    cells = cells.select("lang", "term", F.inline(F.arrays_zip(F.col("sources").alias("source"), F.col("ns").alias("n"))))
+    cells = cells.groupBy("lang", "term", "source").agg(F.sum("n").alias("n"))
     vector = F.array_sort(F.collect_list(F.struct("source", "n"))).alias("vector")
-    vocabulary = counts.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"), vector).where(F.col("docs") >= least_docs)
+    vocabulary = cells.groupBy("lang", "term").agg(F.sum("n").alias("n"), vector)
     # Terms found in the same sources with the same counts stand together.
     vocabulary = with_ordinal(vocabulary, ["lang", "vector.source", "vector.n", "term"], "place")
     vocabulary = materialise(vocabulary.select("lang", "term", "n", "vector", "place", F.floor(F.col("place") / BLOCK).alias("block")), "divergence-terms")
