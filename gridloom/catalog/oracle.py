@@ -395,6 +395,9 @@ ORACLE: dict[str, str] = {
     "sink_csv": q(EVENTS, "select source_file, source_sheet, cast(date_trunc('week', event_date) as date) week_start, count(*) n from parts group by all"),
     "table_profile": q(TYPED, " union all ".join(
         f"select {i} \"position\", '{c}' \"column\", '{t}' \"type\", count(*) n_rows, count({c}) n_values from typed" for i, (c, t) in enumerate(PROFILE, 1))),
+    "published_profile": q(TYPED, " union all ".join(
+        f"select cast({i} as integer) \"position\", '{c}' \"column\", '{t}' \"type\", count(*) n_rows, count({c}) n_values from typed" for i, (c, t) in enumerate(PROFILE, 1))),
+    "table_preview": q(TYPED, f"select * from typed order by {', '.join(f'{c} nulls first' for c, _ in PROFILE)} limit 50"),
     # profiling grids
     "clean_names": f"select doc_id, {name('text')} clean_name from documents",
     "header_detect": q(HEADERS, "select source_file, source_sheet, header_row from sheets left join headers using (source_file, source_sheet)"),
@@ -412,6 +415,10 @@ ORACLE: dict[str, str] = {
     "standardize_part": q(WIDE, "select source_file, source_sheet, age, citizenship, entry_status, gender, nationality from wide"),
     "part_naming": q(SHEETS, f"select *, row_number() over (order by source_file, source_sheet) ordinal, lpad(cast(row_number() over (order by source_file, source_sheet) as varchar), 4, '0') || '_' || {name("replace(source_file, '.xlsx', '')")} || '_' || {name('source_sheet')} part_file from sheets"),
     "parts_incremental": q(SHEETS, f"select source_file, source_sheet, ordinal, lpad(cast(ordinal as varchar), 4, '0') || '_' || {name("replace(source_file, '.xlsx', '')")} || '_' || {name('source_sheet')} part_file from (select *, row_number() over (order by source_file >= 'file_3', source_file, source_sheet) ordinal from sheets) s"),
+    "parts_built": q(WIDE, f"""select source_file, source_sheet, ordinal, lpad(cast(ordinal as varchar), 4, '0') || '_' || {name("replace(source_file, '.xlsx', '')")} || '_' || {name('source_sheet')} part_file, n_rows, columns
+        from (select *, row_number() over (order by source_file >= 'file_3', source_file, source_sheet) ordinal from headers) h
+        join (select source_file, source_sheet, count(*) n_rows from kept_rows group by all) using (source_file, source_sheet)
+        join (select source_file, source_sheet, array_to_string(list_sort(list(distinct canonical_name)), '|') columns from mapped group by all) using (source_file, source_sheet)"""),
     "parts_check": q(HEADERS, "select (select count(*) from sheets) expected_parts, (select count(*) from headers) written_parts, (select count(*) from sheets) = (select count(*) from headers) complete"),
     # part metadata
     "parse_date_ladder": q(RAW, f"select record_id, {ladder('date_text')} event_date, {ladder('stamp_text')} stamp_date, {ladder("(chr(160) || date_text || chr(8195) || '(see 3/4)')")} noted_date, {ladder("(chr(160) || date_text || chr(8195))")} spaced_date from raw"),

@@ -25,7 +25,7 @@ from gridloom.operators.common import materialise
 from gridloom.plans import release
 from gridloom.plans.profiles import APPREHENSIONS
 from gridloom.session import scratch_path
-from gridloom.sources import readers, sinks
+from gridloom.sources import footers, published, readers, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTERED: dict[str, Query] = {}
@@ -38,6 +38,7 @@ SINCE = "1997-01-01"
 CONFLICTING_RULES = {"person": ("app_age", "gender"), "age": ("age",)}
 WIDE_COLUMNS = ["age", "citizenship", "entry_status", "gender", "nationality"]
 EXCLUDED_PARTS = ["0004_part_1995.xlsx", "0099_part_2090.xlsx"]
+PREVIEW_ROWS = 50
 DATE_PREFERENCE = ("flag_date", "stamp_text", "date_text")
 
 
@@ -104,12 +105,12 @@ def grid_sheet_inventory(spark, sf):
 
 @register
 def scan_parts_union_by_name(spark, sf):
-    """Parts written with differing columns, read back as one table."""
+    """Parts published with differing columns, read back as one table."""
     parts = inputs.parts(spark, sf)
     even = F.regexp_extract("source_file", "([0-9]+)", 1).cast("int") % 2 == 0
     path = scratch_path(spark, "parts")
-    sinks.sink_parts(parts.where(even), path)
-    sinks.sink_parts(parts.where(~even).drop("flag_text"), path)
+    sinks.sink_parquet(parts.where(even), path, ["part_file"])
+    sinks.sink_parquet(parts.where(~even).drop("flag_text"), path, ["part_file"], mode="append")
     return readers.scan_parts_union_by_name(spark, path)
 
 
@@ -145,7 +146,17 @@ def csv_scan_typed(spark, sf):
 def sink_parquet(spark, sf):
     path = scratch_path(spark, "typed")
     sinks.sink_parquet(ty.typed_table(inputs.raw(spark, sf), RAW_SPEC), path)
-    return spark.read.parquet(path)
+    return published.read_published(spark, path)
+
+
+@register
+def published_profile(spark, sf):
+    """The profile that a table is published with; the second half of the records comes in a run of its own."""
+    path, typed = scratch_path(spark, "profiled"), ty.typed_table(inputs.raw(spark, sf), RAW_SPEC)
+    late = F.crc32("record_id") % 2 == 1
+    sinks.sink_parquet(typed.where(~late), path, profile=True)
+    sinks.sink_parquet(typed.where(late), path, mode="append", profile=True)
+    return published.published_profile(spark, path)
 
 
 @register
@@ -161,6 +172,11 @@ def table_profile(spark, sf):
     return ty.table_profile(ty.typed_table(inputs.raw(spark, sf), RAW_SPEC))
 
 
+@register
+def table_preview(spark, sf):
+    return ty.preview(ty.typed_table(inputs.raw(spark, sf), RAW_SPEC), PREVIEW_ROWS)
+
+
 # ---- profiling grids
 
 
@@ -281,6 +297,16 @@ def parts_incremental(spark, sf):
     return ledger.unionByName(pt.part_naming(sheets, ledger)).select("source_file", "source_sheet", "ordinal", "part_file")
 
 
+@register
+def parts_built(spark, sf):
+    """Parts of the first files, then those of all others, each run published with the ledger of all parts so far."""
+    grid, path = materialise(inputs.grid(spark, sf), "grid"), scratch_path(spark, "parts")
+    release.build_parts(_known_files(grid), APPREHENSIONS, path)
+    release.build_parts(grid, APPREHENSIONS, path, release.committed_ledger(spark, path))
+    ledger = release.committed_ledger(spark, path)
+    return ledger.select("source_file", "source_sheet", "ordinal", "part_file", "n_rows", F.array_join("columns", "|").alias("columns"))
+
+
 @register
 def parts_check(spark, sf):
     """Parts built for the sheets that have a header, against all sheets."""
@@ -399,16 +425,25 @@ def parts_exclude_absent(spark, sf):
     return pt.exclusions_absent(inputs.parts(spark, sf), EXCLUDED_PARTS)
 
 
+def _published_parts(spark, sf):
+    path = scratch_path(spark, "parts")
+    sinks.sink_parquet(inputs.parts(spark, sf).hint("rebalance", F.col("part_file")), path, ["part_file"])
+    return path
+
+
 @register
 def stack_audit(spark, sf):
-    return pt.stack_audit(inputs.parts(spark, sf))
+    """From the parts' footers."""
+    return footers.published_counts(spark, _published_parts(spark, sf), ["part_file"])
 
 
 @register
 def stack_reconcile(spark, sf):
-    """The audit of all parts against a stack that left one out."""
-    parts = inputs.parts(spark, sf)
-    return pt.stack_reconcile(pt.stack_audit(parts), pt.parts_exclude(parts, EXCLUDED_PARTS))
+    """The audit of all parts against a stack that left one out, both from footers."""
+    parts, stack = _published_parts(spark, sf), scratch_path(spark, "stack")
+    sinks.sink_parquet(pt.parts_exclude(readers.scan_parts_union_by_name(spark, parts), EXCLUDED_PARTS), stack)
+    counting = footers.counting_session(spark)
+    return pt.reconcile_counts(footers.published_counts(counting, parts, ["part_file"]), footers.published_counts(counting, stack))
 
 
 # ---- cleaning and typing

@@ -139,7 +139,7 @@ def sheet_layouts(inventory: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def _repeats_header(cells: Column, named: Column, threshold: int) -> Column:
+def repeats_header(cells: Column, named: Column, threshold: int) -> Column:
     same = F.filter(named, lambda column: F.coalesce(normalise_cell(F.get(cells, column["index"])) == column["name"], F.lit(False)))
     return F.size(same) >= threshold
 
@@ -154,7 +154,7 @@ def repeat_header_drop(grid: DataFrame, layouts: DataFrame, threshold: int = 2)
     return (
         grid.join(layouts, SHEET)
         .where(F.col("row_number") > F.col("header_row"))
-        .where(~_repeats_header(F.col("cells"), F.col("named"), threshold))
+        .where(~repeats_header(F.col("cells"), F.col("named"), threshold))
     )
 
 

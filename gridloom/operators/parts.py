@@ -168,6 +168,11 @@ def stack_audit(parts: DataFrame) -> DataFrame:
 
 def stack_reconcile(audit: DataFrame, stacked: DataFrame) -> DataFrame:
     """Stacked row count against the sum over parts."""
-    actual = stacked.agg(F.count("*").alias("n"))
-    sums = audit.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("expected_rows")).withColumn("actual_rows", actual.scalar())
+    return reconcile_counts(audit, stacked.agg(F.count("*").alias("n_rows")))
+
+
+def reconcile_counts(expected: DataFrame, actual: DataFrame) -> DataFrame:
+    """Two tables of ``n_rows``, by part or in one row, against each other."""
+    found = actual.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n"))
+    sums = expected.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("expected_rows")).withColumn("actual_rows", found.scalar())
     return sums.withColumn("ok", F.col("expected_rows") == F.col("actual_rows"))

@@ -137,4 +137,5 @@ def table_profile(df: DataFrame) -> DataFrame:
 
 
 def preview(df: DataFrame, n: int = 5) -> DataFrame:
-    return df.limit(n)
+    """The first ``n`` rows in the order of all columns, so that a table shows the same rows each time. Tasks keep ``n`` rows each."""
+    return df.orderBy(*[F.col(f"`{c}`") for c in df.columns]).limit(n)

@@ -9,14 +9,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.operators.common import CheckFailed
+from gridloom.sources.published import current, read_published
 
 
 def scan_parts_union_by_name(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
     """All parts under ``path`` as one frame, matched by column name, missing columns NULL.
 
-    Given the canonical ``columns`` (all text), no file footer is read to find the schema, which matters
-    with very many parts; without them Spark merges the footers' schemas in a distributed job.
+    Parts that were published have their schema in the manifest: no file is opened to find it. Of others, given the
+    canonical ``columns`` (all text) none is either; without them Spark merges the footers' schemas in a distributed job.
     """
+    if current(spark, path) is not None:
+        return read_published(spark, path, columns)
     if columns is not None:
         return spark.read.schema(", ".join(f"`{c}` string" for c in columns)).parquet(path)
     return spark.read.option("mergeSchema", "true").parquet(path)

@@ -1,4 +1,4 @@
-"""Writers. Spark's commit protocol publishes a table only when every task has finished."""
+"""Writers. Tables are published by version; parts and delimited text go to plain folders."""
 
 from __future__ import annotations
 
@@ -7,11 +7,18 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridloom.sources.published import Manifest, publish
 
-def sink_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite") -> None:
-    """Snappy parquet. Partition folders are written by whichever task holds their rows: no shuffle,
-    and a part with much of the data stays spread over tasks."""
-    df.write.option("compression", "snappy").mode(mode).partitionBy(*partition_by).parquet(path)
+
+def sink_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite", profile: bool = False) -> Manifest:
+    """Snappy parquet, published as the table's next version (see :mod:`gridloom.sources.published`): a write that fails, or is
+    still going on, leaves readers the version before. ``mode`` ``append`` adds to that version; ``profile`` keeps the number
+    of values of each column with the manifest.
+
+    Partition folders are written by whichever task holds their rows: no shuffle, and a part with much of the
+    data stays spread over tasks.
+    """
+    return publish(df, path, partition_by, append=mode == "append", profile=profile)
 
 
 def sink_parts(df: DataFrame, path: str, replace_all: bool = False) -> None:
