@@ -251,9 +251,9 @@ def near_duplicates(docs: DataFrame, rule: Rule | None = None, text: str = "text
     own = signed.where("node IS NOT NULL AND doc_id IS NOT NULL")
     sets = materialise(own.groupBy("node").agg(F.min("doc_id").alias("min_id"), F.min("n_shingles").alias("n_shingles"), F.min("signature").alias("signature")), "near-sets")
 
-    # A bucket's pivot is the first member in an order of its own, so that a member meets many pivots in its buckets.
-    bucket = Window.partitionBy("bucket", "lookup").orderBy(F.xxhash64("bucket", "node"), "node")
-    met = lookups(sets, rule).select("bucket", "lookup", "node", F.first("node").over(bucket).alias("pivot"), F.lead("node").over(bucket).alias("next"))
+    # All buckets choose their pivot by one order, so that a group of near copies meets few pivots in all its buckets.
+    bucket = Window.partitionBy("bucket", "lookup").orderBy(F.xxhash64("node"), "node")
+    met = lookups(sets, rule).select("bucket", "lookup", "node", F.first("node").over(bucket).alias("pivot"))
     met = materialise(met.where("pivot <> node"), "near-met")
 
     # Every member of a bucket against its pivot.
