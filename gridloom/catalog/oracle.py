@@ -390,7 +390,7 @@ ORACLE: dict[str, str] = {
     "grid_sheet_inventory": q(SHEETS, "select * from sheets"),
     "scan_parts_union_by_name": q(PARTS, "select * from parts"),
     "scan_projected": "select event_type, cast(date_trunc('week', ts) as date) week_start, count(*) event_count from events group by all",
-    "csv_scan_typed": q(BENCHMARK, "select fiscal_year_text, month_abbreviation, component, cast(encounter_count as integer) encounter_count, benchmark_id, release_date from releases"),
+    "csv_scan_typed": q(BENCHMARK, "select fiscal_year_text, month_abbreviation, component, 'Title \"' || month_abbreviation || '\",' || chr(10) || 'as amended' title_of_authority, case when component = 'MAIN' then '' end encounter_type, cast(encounter_count as integer) encounter_count, benchmark_id, release_date from releases"),
     "sink_parquet": q(TYPED, "select * from typed"),
     "sink_csv": q(EVENTS, "select source_file, source_sheet, cast(date_trunc('week', event_date) as date) week_start, count(*) n from parts group by all"),
     "table_profile": q(TYPED, " union all ".join(

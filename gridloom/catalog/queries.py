@@ -122,24 +122,28 @@ def scan_projected(spark, sf):
     )
 
 
+BENCHMARK_COLUMNS = {
+    "Fiscal Year": "fiscal_year_text",
+    "Month (abbv)": "month_abbreviation",
+    "Component": "component",
+    "Title of Authority": "title_of_authority",
+    "Encounter Type": "encounter_type",
+    "Encounter Count": "encounter_count",
+}
+
+
 @register
 def csv_scan_typed(spark, sf):
-    """Benchmark releases written as delimited text, read back with types and tags."""
-    rows = inputs.benchmark_releases(spark, sf)
-    required = {
-        "Fiscal Year": "fiscal_year_text",
-        "Month (abbv)": "month_abbreviation",
-        "Component": "component",
-        "Encounter Count": "encounter_count",
-    }
-    releases = []
-    for name, day in (("r1", "2000-01-01"), ("r2", "2001-01-01")):
+    """Benchmark releases written as delimited text, titles with quotes and line breaks, read back in one scan with tags."""
+    month, component = F.col("month_abbreviation"), F.col("component")
+    titles = {"title_of_authority": F.concat(F.lit('Title "'), month, F.lit('",\nas amended')), "encounter_type": F.when(component == "MAIN", F.lit(""))}
+    rows = inputs.benchmark_releases(spark, sf).withColumns(titles)
+    releases, headers = [], list(BENCHMARK_COLUMNS)
+    for name, day, order in (("r1", "2000-01-01", headers), ("r2", "2001-01-01", headers[::-1])):
         path = scratch_path(spark, name)
-        sinks.sink_csv(
-            rows.where(F.col("benchmark_id") == name).select(*[F.col(c).alias(h) for h, c in required.items()]), path
-        )
+        sinks.sink_csv(rows.where(F.col("benchmark_id") == name).select(*[F.col(BENCHMARK_COLUMNS[h]).alias(h) for h in order]), path)
         releases.append((name, day, path))
-    return readers.csv_scan_typed(spark, releases, required, {"encounter_count": fn.to_integer(F.col("encounter_count"))})
+    return readers.csv_scan_typed(spark, releases, BENCHMARK_COLUMNS, {"encounter_count": fn.to_integer(F.col("encounter_count"))})
 
 
 @register

@@ -3,12 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from gridloom.operators.common import CheckFailed
+from gridloom.sources.delimited import scan_releases
 from gridloom.sources.published import current, read_published
 
 
@@ -33,7 +31,7 @@ def scan_projected(spark: SparkSession, path: str, columns: Sequence[str]) -> Da
 # Stands for "nothing at all" while reading, so that it differs from quoted empty text.
 NOTHING = "\u0001"
 
-# A quoted value may hold line breaks, and spaces belong to it. Files are then read whole, so work splits by file.
+# A quoted value may hold line breaks, and spaces belong to it. Files are read whole here, so work splits by file.
 FAITHFUL = {"header": "true", "escape": '"', "multiLine": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
@@ -52,18 +50,10 @@ def csv_scan_typed(
     required: Mapping[str, str],
     converters: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """Delimited releases ``(id, release date, path)`` stacked by name and tagged with id and date.
+    """Delimited releases ``(id, release date, path)`` stacked by name and tagged with id and date, in one scan of all of them.
 
-    Every column is read as text, so types do not depend on a guess from the data. ``required`` maps
-    header names to result names; a release that lacks one raises. ``converters`` override result columns.
+    Large files are split by bytes, also where quoted values hold line breaks (see :mod:`gridloom.sources.delimited`). Every
+    column is read as text, so types do not depend on a guess from the data. ``required`` maps header names to result
+    names; a file that lacks one raises. ``converters`` override result columns.
     """
-    frames = []
-    for release, day, path in releases:
-        frame = spark.read.options(**FAITHFUL).csv(path)
-        missing = [name for name in required if name not in frame.columns]
-        if missing:
-            raise CheckFailed(f"Release {release} lacks required columns: {', '.join(missing)}")
-        named = frame.select(*[F.col(f"`{header}`").alias(name) for header, name in required.items()])
-        frames.append(named.withColumns({"benchmark_id": F.lit(release), "release_date": F.lit(day).cast("date")}))
-    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-    return stacked.withColumns(dict(converters or {}))
+    return scan_releases(spark, releases, required).withColumns(dict(converters or {}))
