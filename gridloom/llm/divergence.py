@@ -153,9 +153,10 @@ def audit(docs: DataFrame, least_docs: int = 30, top: int = 50, text: str = "tex
     cells = cells.select("lang", "term", F.inline(F.arrays_zip(F.col("sources").alias("source"), F.col("ns").alias("n"))))
     cells = cells.groupBy("lang", "term", "source").agg(F.sum("n").alias("n"))
     vector = F.array_sort(F.collect_list(F.struct("source", "n"))).alias("vector")
-    vocabulary = cells.groupBy("lang", "term").agg(F.sum("n").alias("n"), vector)
-    # Terms found in the same sources with the same counts stand together.
-    vocabulary = with_ordinal(vocabulary, ["lang", "vector.source", "vector.n", "term"], "place")
+    vocabulary = materialise(cells.groupBy("lang", "term").agg(F.sum("n").alias("n"), vector), "divergence-vectors")
+    # Terms found in the same sources with the same counts stand together. Hashes keep the keys of the sort short.
+    order = ["lang", F.xxhash64("vector.source"), "n", F.xxhash64("vector.n"), "term"]
+    vocabulary = with_ordinal(vocabulary, order, "place")
     vocabulary = materialise(vocabulary.select("lang", "term", "n", "vector", "place", F.floor(F.col("place") / BLOCK).alias("block")), "divergence-terms")
 
     sizes = vocabulary.groupBy("lang").agg(F.count("*").alias("size"), F.sum("n").alias("lang_total"))
