@@ -435,6 +435,10 @@ ORACLE: dict[str, str] = {
       join ({PREFERRED}) d using (part_file) join ({non_empty(PART_COLUMNS + ['flag_date'], 'dated')}) n using (part_file)"""),
     "part_single_source": q(PARTS, "select coalesce(flag_text, part_file) part_file, count(distinct source_file || '/' || source_sheet) n_sources, count(*) n_rows from parts group by 1 having count(distinct source_file || '/' || source_sheet) > 1"),
     "same_date_ranges": q(EVENTS, "select min_date, max_date, count(*) n_parts, string_agg(part_file || ' [rows: ' || cast(n_rows as varchar) || ']', ' | ' order by part_file) files_and_rows from meta group by all having count(*) > 1"),
+    "equal_parts": q(PARTS + """,
+        released as (select part_file p, * from parts union all select part_file || '_again', * from parts where cast(substr(source_file, 6, 4) as integer) % 2 = 0),
+        folded as (select p, count(*) n_rows, list_sort(list(cast(struct_pack(record_id, source_file, source_sheet, date_text, stamp_text, flag_text, int_text, ratio_text, time_text) as varchar))) all_rows from released group by p)""",
+        "select p part_file, (select min(o.p) from folded o where o.n_rows = f.n_rows and o.all_rows = f.all_rows) equal_to, n_rows from folded f where exists (select 1 from folded o where o.p < f.p and o.n_rows = f.n_rows and o.all_rows = f.all_rows)"),
     "same_date_range_members": q(EVENTS, "select min_date, max_date, part_file, n_rows, count(*) over (partition by min_date, max_date) n_parts from meta qualify count(*) over (partition by min_date, max_date) > 1"),
     # pair comparison
     "pair_shared_columns": q(PAIR, f'({populated("rel_a")}) intersect ({populated("rel_b")})'),
@@ -485,6 +489,11 @@ ORACLE: dict[str, str] = {
     "event_date_coalesced": q(RAW, f"select record_id, coalesce({ladder('date_text')}, {ladder('stamp_text')}) event_date from raw"),
     "daily_counts": q(PAIRS, "select * from daily"),
     "date_spine": q(PAIRS, "select * from spine"),
+    "daily_intervals": q(PAIRS, """select pair_id, min(event_date) from_date, max(event_date) to_date, smaller_daily_count, larger_daily_count
+        from (select *, event_date - cast(row_number() over (partition by pair_id, smaller_daily_count, larger_daily_count order by event_date) as integer) run from compared) d
+        group by pair_id, run, smaller_daily_count, larger_daily_count"""),
+    "containing_pairs_cut": """with meta as (select cast(o_custkey % 600 as varchar) f, min(cast(o_orderdate as date)) lo, max(cast(o_orderdate as date)) hi from orders group by 1)
+        select s.f smaller_file, l.f larger_file from meta s join meta l on l.lo <= s.lo and l.hi >= s.hi and s.f <> l.f where l.lo < s.lo or l.hi > s.hi or s.f < l.f""",
     "daily_comparison": q(PAIRS, "select *, smaller_daily_count - larger_daily_count count_difference, smaller_daily_count = larger_daily_count daily_counts_match from compared"),
     "pair_summary": q(PAIRS, """select pair_id, smaller_file, smaller_min_date, smaller_max_date, larger_file, larger_min_date, larger_max_date,
         count(*) days_compared, count(*) filter (where smaller_daily_count = larger_daily_count) matching_days,
@@ -512,6 +521,7 @@ ORACLE: dict[str, str] = {
     "coverage_timeline": q(YEARLY, "select regexp_replace(regexp_replace(part_file, '\\.parquet$', ''), '^[0-9]+_', '') part_label, min_date, max_date, n_rows, contained from flagged"),
     # older operators
     "collapse_multivalue": q(CHARGES, "select row_number() over (order by order_key, o_orderpriority) identifier, order_key, o_orderpriority, cast(count(*) as integer) n_charges, string_agg(coalesce(charge, '-'), ',' order by line, charge nulls first) charge_list from items group by order_key, o_orderpriority"),
+    "collapse_multivalue_split": q(CHARGES, "select order_key, o_orderpriority, cast(line // 3 as bigint) list_part, string_agg(coalesce(charge, '-'), ',' order by line, charge nulls first) charge_list from items group by order_key, o_orderpriority, line // 3"),
     "list_to_text": q(CHARGES, "select order_key, string_agg(coalesce(charge, 'NA'), ', ' order by line, charge nulls first) charge from items group by order_key, o_orderpriority"),
     "tagged_union_cutoff": """select 'part1.xlsx' file, o_orderkey, cast(o_orderdate as date) o_orderdate, o_orderstatus, cast(null as double) o_totalprice from orders where o_orderdate < timestamp '1998-01-01'
         union all select 'part2.xlsx', o_orderkey, cast(o_orderdate as date), null, o_totalprice from orders""",

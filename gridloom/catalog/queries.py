@@ -371,6 +371,17 @@ def same_date_ranges(spark, sf):
     return pt.same_date_ranges(_event_metadata(spark, sf))
 
 
+@register
+def equal_parts(spark, sf):
+    """Yearly parts, those of even years released again under another name, those of every third year with rows missing."""
+    parts = inputs.parts(spark, sf)
+    year = F.substring("source_file", 6, 4).cast("int")
+    renamed = lambda df, mark: df.withColumn("part_file", F.concat("part_file", F.lit(mark)))
+    thinner = parts.where((year % 3 == 0) & (F.crc32("record_id") % 50 != 0))
+    every = parts.unionAll(renamed(parts.where(year % 2 == 0), "_again")).unionAll(renamed(thinner, "_thinner"))
+    return pt.equal_parts(every, [c for c in every.columns if c != "part_file"])
+
+
 @register
 def same_date_range_members(spark, sf):
     return pt.same_date_range_members(_event_metadata(spark, sf))
@@ -546,6 +557,20 @@ def date_spine(spark, sf):
     return ov.date_spine(_pairs_and_counts(spark, sf)[0])
 
 
+@register
+def daily_intervals(spark, sf):
+    return ov.daily_intervals(*_pairs_and_counts(spark, sf))
+
+
+@register
+def containing_pairs_cut(spark, sf):
+    """Date ranges of the orders of 600 groups of customers, blocks cut into small pieces."""
+    day = F.col("o_orderdate").cast("date")
+    groups = table(spark, sf, "orders").groupBy((F.col("o_custkey") % 600).cast("string").alias("part_file"))
+    metadata = groups.agg(F.min(day).alias("min_date"), F.max(day).alias("max_date"), F.count("*").alias("n_rows"))
+    return ov.containing_pairs(materialise(metadata, "metadata"), piece=32).select("smaller_file", "larger_file")
+
+
 @register
 def daily_comparison(spark, sf):
     return ov.daily_comparison(*_pairs_and_counts(spark, sf))
@@ -700,6 +725,13 @@ def collapse_multivalue(spark, sf):
     )
 
 
+@register
+def collapse_multivalue_split(spark, sf):
+    """Lists begun anew every three lines."""
+    folded = ls.collapse_multivalue(_order_flags(spark, sf), "charge", order="line", group_id=None, split_every=3)
+    return folded.select("order_key", "o_orderpriority", "list_part", F.array_join("charge_list", ",", "-").alias("charge_list"))
+
+
 @register
 def list_to_text(spark, sf):
     folded = ls.collapse_multivalue(_order_flags(spark, sf), "charge", order="line", group_id=None)
@@ -726,7 +758,7 @@ def release_monthly_counts(spark, sf):
     """Dirty text to typed table, and monthly counts by source; only the columns of the date are read and typed."""
     typed = ty.typed_table(inputs.raw(spark, sf), RAW_SPEC)
     date = rp.event_date_of(["stamp_text", "date_text"])
-    return rp.monthly_counts_by_source(typed, date, SINCE, "record_count")
+    return rp.monthly_counts_by_source(typed, date, SINCE, "record_count", stored_date=False)
 
 
 @register

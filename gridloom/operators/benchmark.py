@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from gridloom.functions.convert import to_integer
 from gridloom.functions.dates import calendar_year, fiscal_year, month_start
 from gridloom.functions.text import parse_number
-from gridloom.operators.common import CheckFailed, keep_first, require_empty
+from gridloom.operators.common import CheckFailed, keep_first, materialise, require_empty
 
 # Month abbreviations in calendar order, and the outcomes of a monthly comparison.
 MONTHS = ("JAN", "FEB", "MAR", "APR", "MAY", "JUN", "JUL", "AUG", "SEP", "OCT", "NOV", "DEC")
@@ -41,10 +41,18 @@ def benchmark_union(releases: DataFrame, component: str) -> DataFrame:
 
 
 def benchmark_checked(releases: DataFrame, component: str) -> DataFrame:
-    """:func:`benchmark_union`; raises on a month that is not known, and if no release has the component."""
+    """:func:`benchmark_union`; raises on a month that is not known, and if no release has the component.
+
+    The rows of one component are stored, a few for each month, and both checks are observed on the way: ``releases``
+    is evaluated once.
+    """
+    seen = Observation()
     rows = benchmark_union(releases, component)
-    require_empty(benchmark_invalid_months(rows), "Benchmark months are not recognised.")
-    if rows.isEmpty():
+    rows = materialise(rows.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(F.col("fiscal_month").isNull()).alias("unknown")), "benchmark-rows")
+    found = seen.get
+    if found["unknown"]:
+        require_empty(benchmark_invalid_months(rows), "Benchmark months are not recognised.")
+    if not found["rows"]:
         raise CheckFailed(f"No benchmark release has the component {component}.")
     return rows
 

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.operators.common import with_ordinal
+from gridloom.operators.common import materialise, with_ordinal
 
 
 def collapse_multivalue(
@@ -25,7 +25,8 @@ def collapse_multivalue(
     group; without it the list is sorted by value. A list is one cell of the result: where a group can
     outgrow that, ``split_every`` starts a further row, told apart by ``list_part``, each time the
     (numeric) order passes a multiple of it, so that no task holds the whole group.
-    Numbering the groups runs a job; ``group_id=None`` leaves it out.
+    ``group_id`` numbers the rows in the order of their keys. Folded rows are stored first, and only their keys are put
+    in order, without the lists; ``group_id=None`` leaves both out.
     """
     keys = [c for c in df.columns if c not in (column, order)]
     if split_every:
@@ -34,10 +35,14 @@ def collapse_multivalue(
         df = df.withColumn("list_part", F.floor(F.col(order) / F.lit(split_every)))
         keys.append("list_part")
     rank = F.col(order) if order else F.col(column)
-    items = F.array_sort(F.collect_list(F.struct(rank.alias("rank"), F.col(column).alias("value"))))
+    items = F.sort_array(F.collect_list(F.struct(rank.alias("rank"), F.col(column).alias("value"))))
     values = F.transform(items, lambda item: item["value"])
     folded = df.groupBy(*keys).agg(values.alias(f"{column}_list"))
-    return with_ordinal(folded, keys, group_id) if group_id else folded
+    if not group_id:
+        return folded
+    stored = materialise(folded.withColumn("_row", F.monotonically_increasing_id()), "folded")
+    numbered = with_ordinal(stored.select(*keys, "_row"), keys, group_id)
+    return stored.join(numbered.select("_row", group_id), "_row").drop("_row")
 
 
 def list_to_text(values: Column, separator: str = ", ") -> Column:

@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridloom.operators.common import spread, with_ordinal
+from gridloom.operators.common import materialise, spread, with_ordinal
 from gridloom.operators.parts import with_date_range
 
 # Blocks of days have lengths of powers of two; the longest holds every day of the calendar, years 1 to 9999.
 LEVELS = 23
+#: Days that a task writes out of a run at once.
+DAYS_PER_STEP = 3660
 PAIR_COLUMNS = [
     "smaller_file", "smaller_min_date", "smaller_max_date", "larger_file", "larger_min_date", "larger_max_date",
 ]
@@ -36,21 +38,81 @@ def blocks_of_day(day: Column) -> Column:
     return F.array(*[F.struct(F.lit(k).alias("level"), F.shiftright(day_number(day), k).alias("at")) for k in range(LEVELS)])
 
 
-def containing_pairs(metadata: DataFrame) -> DataFrame:
+#: Starts and ranges of a block that one piece of work compares; also the number of parts that need no blocks.
+PIECE = 2048
+
+
+def _all_in_one(day: Column) -> Column:
+    """The longest block alone, which holds every day."""
+    return F.array(F.struct(F.lit(LEVELS).alias("level"), F.shiftright(day_number(day), LEVELS).alias("at")))
+
+
+def _ends(smaller: DataFrame, larger: DataFrame) -> DataFrame:
+    """Per block and end day, how many starts and ranges end there: ``level, at, end, s, l``."""
+    one, none = F.lit(1).alias("n"), F.lit(0)
+    sides = smaller.select("level", "at", F.col("smaller_max_date").alias("end"), one.alias("s"), none.alias("l")).unionAll(
+        larger.select("level", "at", "larger_max_date", none, one)
+    )
+    return sides.groupBy("level", "at", "end").agg(F.sum("s").alias("s"), F.sum("l").alias("l"))
+
+
+def _pieces(ends: DataFrame, piece: int) -> tuple[DataFrame, DataFrame]:
+    """How blocks with many starts and ranges are cut: ``places`` (slice of each end day) and ``grid`` (the pairs of slices that
+    can hold a pair, and into how many parts either side of them is dealt).
+
+    Slices are runs of end days with about ``piece`` rows. A start in one and a range in a later one are a pair of the
+    result, so what is sent to such a piece is no more than what comes out of it; only within a slice is there anything
+    to compare.
+    """
+    block = ["level", "at"]
+    heavy = ends.groupBy(*block).agg(F.sum("s").alias("s"), F.sum("l").alias("l")).where(F.col("s") * F.col("l") > piece * piece).select(*block)
+    running = F.sum(F.col("s") + F.col("l")).over(Window.partitionBy(*block).orderBy("end").rowsBetween(Window.unboundedPreceding, -1))
+    places = ends.join(heavy, block).withColumn("slice", F.floor(F.coalesce(running, F.lit(0)) / piece))
+    slices = places.groupBy(*block, "slice").agg(F.sum("s").alias("s"), F.sum("l").alias("l"))
+    here = slices.where("s > 0").select(*block, F.col("slice").alias("low"), F.ceil(F.col("s") / piece).alias("parts_s"))
+    there = slices.where("l > 0").select(*block, F.col("slice").alias("high"), F.ceil(F.col("l") / piece).alias("parts_l"))
+    return places.select(*block, "end", "slice"), here.join(there, block).where("low <= high")
+
+
+def containing_pairs(metadata: DataFrame, piece: int = PIECE) -> DataFrame:
     """Ordered pairs in which the larger part's range covers the smaller's; equal ranges once, by name.
 
     A covering part holds the day on which the covered one begins, so exactly one of its blocks of days does: the
-    parts meet in an equi-join on blocks, each pair once. A range of any length is a few dozen blocks at most. A
-    block with very many parts is split by adaptive skew handling.
+    parts meet in an equi-join on blocks, each pair once. A range of any length is a few dozen blocks at most. Few
+    parts meet in one block. A block with more starts and ranges than ``piece`` squared comparisons allow is cut by end
+    days into pieces that hold as much each: the work is in proportion to the parts and the pairs found. Runs a job that
+    counts parts and, with many, one that looks for such blocks.
     """
     ranges = with_date_range(metadata).select("part_file", "min_date", "max_date")
     named = lambda prefix: [F.col(c).alias(f"{prefix}_{c.replace('part_', '')}") for c in ranges.columns]
-    smaller = ranges.select(*named("smaller"), F.inline(blocks_of_day(F.col("min_date"))))
-    larger = ranges.select(*named("larger"), F.inline(blocks_of_range(F.col("min_date"), F.col("max_date"))))
-    covers = F.col("larger_max_date") >= F.col("smaller_max_date")
+    few = ranges.limit(piece + 1).count() <= piece
+    of_start, of_range = (_all_in_one(F.col("min_date")),) * 2 if few else (blocks_of_day(F.col("min_date")), blocks_of_range(F.col("min_date"), F.col("max_date")))
+    smaller, larger = ranges.select(*named("smaller"), F.inline(of_start)), ranges.select(*named("larger"), F.inline(of_range))
+    if few:
+        return _covering(smaller, larger, ["level", "at"])
+    block = ["level", "at"]
+    places, grid = (materialise(t, "pair-pieces") for t in _pieces(_ends(smaller, larger), piece))
+    if grid.isEmpty():
+        return _covering(smaller, larger, block)
+    cut = grid.select(*block).distinct()
+    light = _covering(smaller.join(cut, block, "left_anti"), larger.join(cut, block, "left_anti"), block)
+    # Either side of a piece is dealt by name; each deal meets each of the other side's.
+    dealt = lambda side, parts: F.pmod(F.xxhash64(f"{side}_file"), F.col(parts)).alias(f"deal_{side}")
+    every = lambda side, parts: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(parts) - 1)).alias(f"deal_{side}")
+    at = lambda side: F.col(f"{side}_max_date") == F.col("end")
+    keys = [*block, "low", "high", "deal_smaller", "deal_larger"]
+    one = smaller.join(places.withColumnsRenamed({"level": "level_", "at": "at_"}), (F.col("level") == F.col("level_")) & (F.col("at") == F.col("at_")) & at("smaller"))
+    two = larger.join(places.withColumnsRenamed({"level": "level_", "at": "at_"}), (F.col("level") == F.col("level_")) & (F.col("at") == F.col("at_")) & at("larger"))
+    one = one.withColumnRenamed("slice", "low").join(grid, [*block, "low"]).select("smaller_file", "smaller_min_date", "smaller_max_date", *keys[:4], dealt("smaller", "parts_s"), every("larger", "parts_l"))
+    two = two.withColumnRenamed("slice", "high").join(grid, [*block, "high"]).select("larger_file", "larger_min_date", "larger_max_date", *keys[:4], dealt("larger", "parts_l"), every("smaller", "parts_s"))
+    return light.unionAll(_covering(one, two, keys))
+
+
+def _covering(smaller: DataFrame, larger: DataFrame, keys: list[str]) -> DataFrame:
+    covers = (F.col("larger_max_date") >= F.col("smaller_max_date")) & (F.col("larger_min_date") <= F.col("smaller_min_date"))
     wider = (F.col("larger_min_date") < F.col("smaller_min_date")) | (F.col("larger_max_date") > F.col("smaller_max_date"))
     return (
-        smaller.join(larger, ["level", "at"])
+        smaller.join(larger, keys)
         .where((F.col("smaller_file") != F.col("larger_file")) & covers)
         .where(wider | (F.col("smaller_file") < F.col("larger_file")))
         .select(*PAIR_COLUMNS)
@@ -80,28 +142,69 @@ def daily_counts(parts: DataFrame, event_date: Column, pairs: DataFrame | None =
     return counts.join(paired, "part_file", "left_semi")
 
 
+def _days_with_rows(pairs: DataFrame, counts: DataFrame) -> DataFrame:
+    """``pair_id, event_date, s, l``: days of the smaller range on which either part of a pair has rows, and how many."""
+    days, none = counts.select("part_file", "event_date", "daily_count"), F.lit(0).cast("bigint")
+    seen = []
+    for side in ("smaller", "larger"):
+        one = pairs.join(days.withColumnRenamed("part_file", f"{side}_file"), f"{side}_file")
+        one = one.where(F.col("event_date").between(F.col("smaller_min_date"), F.col("smaller_max_date")))
+        here, there = (F.col("daily_count"), none) if side == "smaller" else (none, F.col("daily_count"))
+        seen.append(one.select("pair_id", "event_date", here.alias("s"), there.alias("l")))
+    return seen[0].unionAll(seen[1]).groupBy("pair_id", "event_date").agg(F.sum("s").alias("s"), F.sum("l").alias("l"))
+
+
+def daily_intervals(pairs: DataFrame, counts: DataFrame) -> DataFrame:
+    """The smaller range of each pair as runs of days with equal counts: ``pair_id, from_date, to_date, smaller_daily_count,
+    larger_daily_count``.
+
+    A range costs as many rows as it has days with rows, and one for each stretch without, however long: days without
+    rows on either side are one run. A window here spans the days of a pair that have rows.
+    """
+    day = lambda c, n: F.date_add(c, n)
+    ordered = Window.partitionBy("pair_id").orderBy("event_date")
+    ends = pairs.select("pair_id", "smaller_min_date", "smaller_max_date")
+    rows = _days_with_rows(pairs, counts)
+    # The day after the range stands for its end: a stretch without rows lies before each row of this table.
+    rows = rows.unionAll(pairs.select("pair_id", day(F.col("smaller_max_date"), 1), F.lit(None).cast("bigint"), F.lit(None).cast("bigint")))
+    placed = rows.withColumn("before", F.lag("event_date").over(ordered)).join(ends, "pair_id")
+    gap_from = F.coalesce(day(F.col("before"), 1), F.col("smaller_min_date"))
+    none = F.lit(0).cast("bigint")
+    run = lambda first, last, s, l: F.struct(first.alias("from_date"), last.alias("to_date"), s.alias("s"), l.alias("l"))  # noqa: E731, E741
+    gap = F.when(gap_from < F.col("event_date"), run(gap_from, day(F.col("event_date"), -1), none, none))
+    own = F.when(F.col("s").isNotNull(), run(F.col("event_date"), F.col("event_date"), F.col("s"), F.col("l")))
+    runs = placed.select("pair_id", F.inline(F.array_compact(F.array(gap, own))))
+    # Neighbours with equal counts are one run.
+    before = Window.partitionBy("pair_id").orderBy("from_date")
+    changes = (F.lag("s").over(before).isNull() | (F.lag("s").over(before) != F.col("s")) | (F.lag("l").over(before) != F.col("l"))).cast("int")
+    numbered = runs.withColumn("change", changes).withColumn("run", F.sum("change").over(before))
+    merged = numbered.groupBy("pair_id", "run", "s", "l").agg(F.min("from_date").alias("from_date"), F.max("to_date").alias("to_date"))
+    return merged.select("pair_id", "from_date", "to_date", F.col("s").alias("smaller_daily_count"), F.col("l").alias("larger_daily_count"))
+
+
+def _each_day(runs: DataFrame, first: str, last: str) -> DataFrame:
+    """Runs of days written out, one row per day, also a long run by several tasks."""
+    years = F.sequence(F.lit(0), F.floor(F.date_diff(last, first) / DAYS_PER_STEP).cast("int"))
+    steps = spread(runs.withColumn("_step", F.explode(years)), "_step", *runs.columns)
+    begin = F.date_add(F.col(first), F.col("_step") * DAYS_PER_STEP)
+    days = F.sequence(begin, F.least(F.col(last), F.date_add(begin, DAYS_PER_STEP - 1)), F.expr("interval 1 day"))
+    return steps.withColumn("event_date", F.explode(days)).drop("_step")
+
+
 def date_spine(pairs: DataFrame) -> DataFrame:
-    """One row per pair and day of the smaller range."""
-    days = F.sequence("smaller_min_date", "smaller_max_date", F.expr("interval 1 day"))
-    return spread(pairs, "pair_id").withColumn("event_date", F.explode(days))
+    """One row per pair and day of the smaller range: for export; :func:`daily_intervals` is the form to work on."""
+    return _each_day(pairs, "smaller_min_date", "smaller_max_date")
 
 
 def daily_comparison(pairs: DataFrame, counts: DataFrame) -> DataFrame:
-    """Both parts' counts on every day of the smaller range; no rows count as zero."""
-    days = date_spine(pairs)
-    for side in ("smaller", "larger"):
-        of_side = counts.select(
-            F.col("part_file").alias(f"{side}_file"), "event_date", F.col("daily_count").alias(f"{side}_daily_count")
-        )
-        days = days.join(of_side, [f"{side}_file", "event_date"], "left")
-    small, large = (F.coalesce(f"{side}_daily_count", F.lit(0)) for side in ("smaller", "larger"))
-    return days.select(
-        "pair_id", *PAIR_COLUMNS, "event_date",
-        small.alias("smaller_daily_count"),
-        large.alias("larger_daily_count"),
-        (small - large).alias("count_difference"),
-        (small == large).alias("daily_counts_match"),
-    )
+    """Both parts' counts on every day of the smaller range; no rows count as zero. Runs of days are compared and then
+    written out."""
+    small, large = F.col("smaller_daily_count"), F.col("larger_daily_count")
+    compared = daily_intervals(pairs, counts).withColumns({"count_difference": small - large, "daily_counts_match": small == large})
+    days = _each_day(compared, "from_date", "to_date").drop("from_date", "to_date")
+    return pairs.join(days, "pair_id").select(
+        "pair_id", *PAIR_COLUMNS, "event_date", "smaller_daily_count", "larger_daily_count", "count_difference", "daily_counts_match"
+    )
 
 
 def pair_summary(pairs: DataFrame, counts: DataFrame) -> DataFrame:
@@ -110,14 +213,8 @@ def pair_summary(pairs: DataFrame, counts: DataFrame) -> DataFrame:
     Made from the days that have rows; all other days of the smaller range match, with none on either side, and are
     only counted. A range of thousands of years costs no more than its rows.
     """
-    days, none = counts.select("part_file", "event_date", "daily_count"), F.lit(0).cast("bigint")
-    seen = []
-    for side in ("smaller", "larger"):
-        one = pairs.join(days.withColumnRenamed("part_file", f"{side}_file"), f"{side}_file")
-        one = one.where(F.col("event_date").between(F.col("smaller_min_date"), F.col("smaller_max_date")))
-        here, there = (F.col("daily_count"), none) if side == "smaller" else (none, F.col("daily_count"))
-        seen.append(one.select("pair_id", "event_date", here.alias("s"), there.alias("l")))
-    daily = seen[0].unionAll(seen[1]).groupBy("pair_id", "event_date").agg(F.sum("s").alias("s"), F.sum("l").alias("l"))
+    none = F.lit(0).cast("bigint")
+    daily = _days_with_rows(pairs, counts)
     found = daily.groupBy("pair_id").agg(
         F.count_if(F.col("s") != F.col("l")).alias("differing"),
         F.sum("s").alias("s"),

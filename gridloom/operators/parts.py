@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gridloom.functions.dates import parse_date_ladder
 from gridloom.functions.text import clean_names, file_stem, has_data
-from gridloom.operators.common import PROVENANCE, with_ordinal
+from gridloom.operators.common import PROVENANCE, materialise, with_ordinal
 from gridloom.operators.grid import SHEET
 
 PART_KEYS = ("part_file", *PROVENANCE)
@@ -149,6 +149,46 @@ def same_date_ranges(metadata: DataFrame) -> DataFrame:
     )
 
 
+def fingerprints(parts: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Per part, ``n_rows`` and two sums of row hashes over ``columns``: equal for parts with the same rows in any order, copies
+    counted. Sums combine before the shuffle, so a part of any size is one row of each task."""
+    values = [F.col(f"`{c}`") for c in columns]
+    # A hash alone passes over nulls; which columns are null is hashed with them.
+    nulls = F.concat(*[F.when(v.isNull(), F.lit("1")).otherwise(F.lit("0")) for v in values])
+    hashed = [F.sum(F.xxhash64(F.lit(seed), nulls, *values).cast("decimal(38,0)")).alias(f"sum_{seed}") for seed in (1, 2)]
+    return parts.groupBy("part_file").agg(F.count("*").alias("n_rows"), *hashed)
+
+
+def equal_parts(parts: DataFrame, columns: Sequence[str], metadata: DataFrame | None = None) -> DataFrame:
+    """``part_file, equal_to, n_rows``: parts with the very rows of another, and the first of those by name (a part with
+    itself is no row). With ``metadata`` only parts of one date range are compared.
+
+    Parts meet by their :func:`fingerprints`, never in pairs; those that do are confirmed row by row, each against the
+    first of its group, in one aggregation of the rows of such parts alone.
+    """
+    prints = fingerprints(parts, columns)
+    keys = ["n_rows", "sum_1", "sum_2"]
+    if metadata is not None:
+        prints, keys = prints.join(with_date_range(metadata).select("part_file", "min_date", "max_date"), "part_file"), [*keys, "min_date", "max_date"]
+    prints = materialise(prints, "fingerprints")
+    groups = prints.groupBy(*keys).agg(F.min("part_file").alias("equal_to"), F.count("*").alias("n_parts")).where("n_parts > 1")
+    members = materialise(prints.join(groups, keys).select("part_file", "equal_to", "n_rows"), "equal-members")
+    rows = parts.select("part_file", *columns).join(members, "part_file")
+    copies = rows.groupBy("equal_to", "part_file", *columns).agg(F.count("*").alias("_n"))
+    # Parts of a group are equal if each of their rows is in all of them, as many times.
+    sizes = members.groupBy("equal_to").agg(F.count("*").alias("_parts"))
+    same = copies.groupBy("equal_to", *columns).agg(F.count("*").alias("_in"), F.min("_n").alias("_least"), F.max("_n").alias("_most"))
+    doubtful = same.join(sizes, "equal_to").where((F.col("_in") != F.col("_parts")) | (F.col("_least") != F.col("_most"))).select("equal_to").distinct()
+    # Groups in which hashes alone agree: a part goes if a row of it is not in the first one as many times.
+    inside = copies.join(doubtful, "equal_to")
+    row = F.struct(*[F.col(f"`{c}`") for c in columns])
+    inside = inside.select("equal_to", "part_file", "_n", row.alias("_row"))
+    first = inside.where("part_file = equal_to").select(F.col("equal_to").alias("_of"), F.col("_row").alias("_same"), F.col("_n").alias("_first"))
+    met = inside.join(first, (F.col("equal_to") == F.col("_of")) & F.col("_row").eqNullSafe(F.col("_same")), "left")
+    apart = met.where(~F.col("_n").eqNullSafe(F.col("_first"))).select("part_file").distinct()
+    return members.where("part_file <> equal_to").join(apart, "part_file", "left_anti")
+
+
 def parts_exclude(parts: DataFrame, excluded: Sequence[str]) -> DataFrame:
     """Parts without a hand-kept list of part files; the filter prunes partitions, so nothing is deleted."""
     return parts.where(~F.col("part_file").isin(*excluded)) if excluded else parts

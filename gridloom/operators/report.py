@@ -17,13 +17,20 @@ def event_date_of(columns: Sequence[str]) -> Column:
     return F.coalesce(*[F.col(c).cast("date") for c in columns])
 
 
-def monthly_counts_by_source(events: DataFrame, event_date: Column, since: str = "2020-01-01", count: str = "n") -> DataFrame:
-    """Rows per source file and month since a day; counted on the map side first."""
-    return (
-        events.where(event_date >= F.lit(since).cast("date"))
-        .groupBy("source_file", month_start(event_date).alias("month_start"))
-        .agg(F.count("*").alias(count))
-    )
+def monthly_counts_by_source(events: DataFrame, event_date: Column, since: str = "2020-01-01", count: str = "n", stored_date: bool = True) -> DataFrame:
+    """Rows per source file and month since a day; counted on the map side first.
+
+    A date that is stored, or a cast of a stored one, is compared at the scan. One that rows are converted to first is
+    not (``stored_date=False``): Spark would convert each row for the comparison and again for the month. Rows are then
+    counted by day, and days left out as months are added up.
+    """
+    first = F.lit(since).cast("date")
+    if stored_date:
+        dated = events.where(event_date >= first)
+        return dated.groupBy("source_file", month_start(event_date).alias("month_start")).agg(F.count("*").alias(count))
+    days = events.groupBy("source_file", event_date.alias("_day")).agg(F.count("*").alias("_n"))
+    kept = F.sum(F.when(F.col("_day") >= first, F.col("_n"))).alias(count)
+    return days.groupBy("source_file", month_start(F.col("_day")).alias("month_start")).agg(kept).where(F.col(count).isNotNull())
 
 
 def weekly_counts_by_source(events: DataFrame, event_date: Column, count: str = "n") -> DataFrame:

@@ -311,6 +311,52 @@ def test_containment_equals_brute_force(spark, seed):
     assert flags == {s[0]: any(s[0] != b[0] and covers(b, s) for b in dated) for s in dated}
 
 
+@pytest.mark.parametrize(("seed", "piece"), [(1, 2), (2, 8), (3, 30)])
+def test_cut_blocks_hold_the_same_pairs(spark, seed, piece):
+    rows, metadata = metadata_of(spark, seed)
+    many = metadata.unionAll(metadata.where("part_file < 'p010'").selectExpr("concat('same ', part_file)", "DATE'2024-01-01'", "DATE'2024-03-01'", "n_rows"))
+    whole = sorted(tuples(ov.containing_pairs(many)), key=str)
+    assert len(whole) > 100 and sorted(tuples(ov.containing_pairs(many, piece)), key=str) == whole
+    assert ov.containing_pairs(many.limit(0), piece).count() == 0
+
+
+def test_cut_pieces_are_in_proportion_to_the_pairs(spark):
+    """Parts that end before all ranges begin to, one start day: nothing to be found, nothing to be compared."""
+    day = dt.date(2020, 1, 1)
+    rows = [(f"s{i}", day, day + dt.timedelta(days=900 + i), 1) for i in range(300)] + [(f"l{i}", day - dt.timedelta(days=i + 1), day + dt.timedelta(days=i + 1), 1) for i in range(300)]
+    metadata = spark.createDataFrame(rows, "part_file string, min_date date, max_date date, n_rows int")
+    ranges = metadata.select("part_file", "min_date", "max_date")
+    smaller = ranges.selectExpr("part_file smaller_file", "max_date smaller_max_date", "0 level", "0 at")
+    larger = ranges.selectExpr("part_file larger_file", "max_date larger_max_date", "0 level", "0 at")
+    ends = ov._ends(smaller, larger)
+    places, grid = ov._pieces(ends, 16)
+    sizes = {r.slice: r.n for r in places.join(ends, ["level", "at", "end"]).groupBy("slice").agg(F.sum(F.col("s") + F.col("l")).alias("n")).collect()}
+    assert sum(sizes.values()) == 1200 and max(sizes.values()) <= 2 * 16 and all(r.low <= r.high and r.parts_s * 16 >= 1 for r in grid.collect())
+    found = ov.containing_pairs(metadata, 16)
+    assert found.count() == sum(1 for a in rows for b in rows if a[0] != b[0] and b[1] <= a[1] and b[2] >= a[2] and (b[1:3] != a[1:3] or a[0] < b[0]))
+
+
+def test_a_long_range_costs_its_rows(spark):
+    long = spark.createDataFrame([("a", dt.date(1, 1, 1), dt.date(9999, 12, 31), "b", dt.date(1, 1, 1), dt.date(9999, 12, 31), 1)], "smaller_file string, smaller_min_date date, smaller_max_date date, larger_file string, larger_min_date date, larger_max_date date, pair_id long")
+    counts = spark.createDataFrame([("a", DAY, 2), ("b", DAY, 2), ("b", DAY + dt.timedelta(days=1), 2), ("a", DAY + dt.timedelta(days=1), 2), ("b", DAY + dt.timedelta(days=5), 1)], "part_file string, event_date date, daily_count long")
+    runs = tuples(ov.daily_intervals(long, counts).orderBy("from_date").select("from_date", "to_date", "smaller_daily_count", "larger_daily_count"))
+    day = lambda n: DAY + dt.timedelta(days=n)
+    assert runs == [(dt.date(1, 1, 1), day(-1), 0, 0), (DAY, day(1), 2, 2), (day(2), day(4), 0, 0), (day(5), day(5), 0, 1), (day(6), dt.date(9999, 12, 31), 0, 0)]
+    assert ov.date_spine(long).count() == 3_652_059
+
+
+def test_equal_parts_by_fingerprints(spark, monkeypatch):
+    rows = [("a", 1, "x"), ("a", 1, "x"), ("a", None, "y"), ("b", None, "y"), ("b", 1, "x"), ("b", 1, "x"), ("c", 1, "x"), ("c", None, "y"), ("c", None, "y"), ("d", 1, None), ("e", None, "1"), ("f", 1, None)]
+    parts = spark.createDataFrame(rows, "part_file string, n int, t string")
+    expected = [("b", "a", 3), ("f", "d", 1)]
+    assert sorted(tuples(pt.equal_parts(parts, ["n", "t"]))) == expected
+    days = spark.createDataFrame([(p, DAY, DAY + dt.timedelta(days=int(p == "f")), 1) for p in "abcdef"], "part_file string, min_date date, max_date date, n_rows int")
+    assert sorted(tuples(pt.equal_parts(parts, ["n", "t"], days))) == expected[:1]
+    # Should hashes ever agree where rows do not, the rows decide.
+    monkeypatch.setattr(pt, "fingerprints", lambda parts, columns: parts.groupBy("part_file").agg(F.count("*").alias("n_rows"), F.lit(0).alias("sum_1"), F.lit(0).alias("sum_2")))
+    assert sorted(tuples(pt.equal_parts(parts, ["n", "t"]))) == expected
+
+
 def test_daily_comparison_fills_absent_days(spark):
     events = spark.createDataFrame(
         [("a", DAY), ("a", DAY), ("a", DAY + dt.timedelta(days=2)), ("b", DAY), ("b", DAY + dt.timedelta(days=9)), ("c", None)],

@@ -91,3 +91,13 @@ def test_range_bounds_are_scalar_subqueries(spark, sf_dir):
 @pytest.mark.parametrize("name", ["part_summary", "part_single_source", "non_empty_columns", "daily_counts", "audit_all"])
 def test_row_level_aggregation_does_not_sort(spark, sf_dir, name):
     assert "SortAggregate" not in plan(entry.queries()[name](spark, sf_dir))
+
+
+def test_converted_dates_are_converted_once(spark, sf_dir):
+    text = entry.queries()["release_monthly_counts"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in text.splitlines() if line.strip(" :+-").startswith("Filter") and len(line) > 2000]
+
+
+def test_numbering_of_lists_sorts_keys_alone(spark, sf_dir):
+    text = entry.queries()["collapse_multivalue"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in text and "Sort" not in text
