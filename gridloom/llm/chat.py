@@ -4,7 +4,7 @@ Every part of a turn is visited in order: text becomes escaped text, an image, a
 numbered placeholder. The placeholders' numbers, token counts and places are recorded beside the text, so a loader can
 put the attachments' tokens where the placeholders stand. DataFrame functions only.
 
-Layout of a turn: ``<|turn|>`` role ``<|text|>`` content ``<|end|>``. The role and text parts are escaped: a backslash
+Layout of a turn: ``<|turn|>`` role ``<|text|>`` content ``<|end|>``. The role and runs of text parts are escaped: a backslash
 is doubled, and one is put after the first character of every control string, so no text can end a turn or start a
 placeholder and unescaping gives back every character.
 """
@@ -86,7 +86,13 @@ def format_chats(turns: DataFrame, expansion: Expansion | None = None) -> DataFr
 
     def visit(part: Column, i: Column) -> Column:
         number = F.col("before") + F.size(F.filter(F.slice("parts", F.lit(1), i), other)) + 1
-        return F.when(other(part), mark(part, number)).otherwise(escape(part["text"]))
+        # Texts that follow each other are escaped as one, or a control string could be dealt over two of them.
+        rest = F.slice("parts", i + 1, F.size("parts"))
+        stop = F.array_position(F.transform(rest, other), True).cast("int") - 1
+        run = F.slice(rest, F.lit(1), F.when(stop < 0, F.size(rest)).otherwise(stop))
+        text = F.array_join(F.transform(run, lambda p: F.coalesce(p["text"], F.lit(""))), "")
+        again = (i > 0) & ~other(F.get("parts", i - 1))
+        return F.when(other(part), mark(part, number)).when(again, F.lit("")).otherwise(escape(text))
 
     def attachment(part: Column, i: Column) -> Column:
         number = F.col("before") + i + 1
