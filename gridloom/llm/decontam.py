@@ -34,6 +34,12 @@ def pieces(text: str, budget: int) -> Iterator[tuple[int, str]]:
         yield start, text[start : (i + 1) * len(text) // parts]
 
 
+def whole(text: str, begin: int, end: int) -> bool:
+    """Whether no word goes on at either end of a part of ``text``."""
+    left = begin > 0 and text[begin - 1].isalnum() and text[begin].isalnum()
+    return not left and not (end < len(text) and text[end].isalnum() and text[end - 1].isalnum())
+
+
 class Item:
     """A test item ready for Myers' algorithm: ``masks`` has, for each character, a bit for every place it has."""
 
@@ -67,9 +73,11 @@ class Item:
 
 
 class Matcher:
-    """The automaton over all pieces of ``items``, pairs of id and normalised text. Empty texts match nothing."""
+    """The automaton over all pieces of ``items``, pairs of id and normalised text. Empty texts match nothing. With ``words``,
+    an item that allows no edit must be whole words of a text."""
 
-    def __init__(self, items: list[tuple[int | None, str]], rate: float):
+    def __init__(self, items: list[tuple[int | None, str]], rate: float, words: bool = False):
+        self.words = words
         self.items = [Item(i, text, rate) for i, text in items if text]
         self.automaton = ahocorasick.Automaton()
         found: dict[str, list[tuple[int, int]]] = {}
@@ -85,9 +93,14 @@ class Matcher:
         if not self.items:
             return []
         windows: dict[int, list[list[int]]] = {}
+        exact: dict[int, int] = {}
         for last, (size, owners) in self.automaton.iter(text):
             for n, start in owners:
                 item = self.items[n]
+                if self.words and not item.budget:  # its one piece is the item; within a longer word it is another word
+                    if whole(text, last + 1 - size, last + 1):
+                        exact.setdefault(n, last + 1)
+                    continue
                 begin = last + 1 - size - start - item.budget
                 stop = begin + len(item.text) + 2 * item.budget
                 own = windows.setdefault(n, [])
@@ -96,7 +109,7 @@ class Matcher:
                     own[-1][0], own[-1][1] = min(own[-1][0], begin), max(own[-1][1], stop)
                 else:
                     own.append([begin, stop])
-        out = []
+        out = [{"item_id": self.items[n].item_id, "distance": 0, "end": end} for n, end in exact.items()]
         for n, own in windows.items():
             item, best = self.items[n], None
             for begin, stop in own:
@@ -118,9 +131,10 @@ def find_matches(docs: DataFrame, items: DataFrame, rate: float = 0.05, text: st
 
     Texts and items are compared in lower case with runs of white space as one space. A null or empty text matches
     nothing, nor does a null or empty item; an item with a null id counts, its id stays null. Repeated items are
-    reported each. Texts are read whole, rows and other columns are kept, a column ``matches`` is replaced.
+    reported each. An item so short that no edit is allowed must not begin or end inside a word. Texts are read whole,
+    rows and other columns are kept, a column ``matches`` is replaced.
 
-    Documents are not shuffled. The benchmark is dealt into blocks by a hash of its text, as many as its size asks for;
+    Documents are not shuffled. The benchmark is dealt into blocks by a hash of id and text, as many as its size asks for;
     each is collected, within a fixed size, and looked for in one pass over the documents.
     """
     wanted = items.where(F.col(item_text).isNotNull()).select(F.col(item_id).cast("bigint").alias("i"), F.col(item_text).alias("t"))
@@ -128,7 +142,7 @@ def find_matches(docs: DataFrame, items: DataFrame, rate: float = 0.05, text: st
     blocks = -(-chars // BLOCK_CHARS)
     out = docs.drop("matches").withColumn("matches", F.array().cast(MATCHES))
     for block in range(blocks):
-        part = wanted.where(F.pmod(F.xxhash64("t"), F.lit(blocks)) == block)
+        part = wanted.where(F.pmod(F.xxhash64("t", "i"), F.lit(blocks)) == block)
         held = [(row["i"], normal(row["t"])) for row in part.collect()]
         out = _pass(out, held, rate, text)
     return out.withColumn("matches", F.array_sort("matches")) if blocks else out
@@ -139,7 +153,7 @@ def _pass(docs: DataFrame, items: list[tuple[int | None, str]], rate: float, tex
     place = docs.columns.index("matches")
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = Matcher(items, rate)
+        matcher = Matcher(items, rate, words=True)
         for batch in batches:
             found = [
                 (old or []) + (matcher.matches(normal(t)) if t else [])
