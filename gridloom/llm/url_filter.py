@@ -32,12 +32,14 @@ def url_path(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"^(?s:.*?)://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
-def url_keys(host: Column, path: Column, path_lengths: list[int]) -> Column:
+def url_keys(host: Column, path: Column, path_lengths: list[int], labels_at_most: int) -> Column:
     """Every key a rule for this url could have, the longest first; of equal length, the longer host first.
 
-    ``path_lengths`` are the lengths that paths of rules have; other prefixes can fit no rule.
+    ``path_lengths`` are the lengths that paths of rules have, ``labels_at_most`` the most labels that their hosts have; other
+    prefixes and longer tails can fit no rule.
     """
     labels = F.split(host, r"\.")
+    labels = F.slice(labels, F.greatest(F.size(labels) - labels_at_most + 1, F.lit(1)), F.lit(labels_at_most))
     tails = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
     lengths = F.filter(F.array(*map(F.lit, path_lengths)), lambda n: n <= F.length(path))
     pairs = F.flatten(
@@ -138,10 +140,11 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow", url:
     """
     listed = rules.where("host IS NOT NULL AND path IS NOT NULL").select(F.concat("host", "path").alias("key"), F.length("path").alias("n"), "verdict")
     lengths = sorted(row["n"] for row in listed.select("n").distinct().collect())
+    most = rules.agg(F.max(F.size(F.split("host", r"\."))).alias("n")).first()["n"]
     parsed = pages.withColumns({"host": url_host(F.col(url)), "path": url_path(F.col(url))})
     if not lengths:
         return parsed.withColumns({"rule": F.lit(None).cast("string"), "verdict": F.lit(default)})
-    keys = url_keys(F.col("host"), F.col("path"), lengths)
+    keys = url_keys(F.col("host"), F.col("path"), lengths, most)
     known = build(listed, parsed.select(F.explode(keys).alias("key")))
     blocking = build(listed.where("verdict = 'block'"), listed)
     rule = F.get(F.filter(keys, lambda key: known.holds(key)), F.lit(0))
