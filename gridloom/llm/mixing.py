@@ -156,14 +156,15 @@ def mix(docs: DataFrame, target: Target | None = None, tokens: Column | None = N
     """
     target = target or Target()
     counted = docs.drop("epoch", "place").withColumn("tokens", F.coalesce((word_count(F.col("text")) if tokens is None else tokens).cast("bigint"), F.lit(0)))
-    sized = counted.where("tokens > 0").withColumn("_key", _key(F.col(source)))
+    names = [c for c in counted.columns if c != "tokens"]
+    # The row goes along as one value, so that no column of it can clash with those of the plan.
+    sized = counted.where("tokens > 0").select(F.struct(*names).alias("row"), F.col(doc_id).alias("id"), "tokens", _key(F.col(source)).alias("key"))
     quotas = plan(counted.select(source, "tokens"), target, source)
-    joined = sized.join(quotas.select(F.col("key").alias("_key"), F.col("epochs").alias("_epochs"), F.col("rest").alias("_rest")), "_key")
-    last = order_key(seed, F.col("_epochs") + 1, F.col(doc_id))
-    keys = materialise(joined.where("_rest > 0").select(F.col("_key").alias("key"), last.alias("place"), "tokens"), "mix-keys")
+    joined = sized.join(quotas.select("key", "epochs", "rest"), "key")
+    last = order_key(seed, F.col("epochs") + 1, F.col("id"))
+    keys = materialise(joined.where("rest > 0").select("key", last.alias("place"), "tokens"), "mix-keys")
     cuts = find_cuts(keys, quotas.where("rest > 0").select("key", "rest"))
-    placed = joined.join(cuts.select(F.col("key").alias("_key"), F.col("cut").alias("_cut")), "_key", "left")
-    times = F.col("_epochs") + F.when(last <= F.col("_cut"), 1).otherwise(0)
-    used = placed.withColumn("_times", times).where("_times > 0").withColumn("epoch", F.explode(F.sequence(F.lit(1), F.col("_times"))))
-    used = used.withColumn("place", order_key(seed, F.col("epoch"), F.col(doc_id)))
-    return used.select(*[c for c in counted.columns if c != "tokens"], "epoch", "place", "tokens")
+    placed = joined.join(cuts, "key", "left")
+    times = F.col("epochs") + F.when(last <= F.col("cut"), 1).otherwise(0)
+    used = placed.withColumn("times", times).where("times > 0").withColumn("epoch", F.explode(F.sequence(F.lit(1), F.col("times"))))
+    return used.select(*(F.col("row").getField(c).alias(c) for c in names), "epoch", order_key(seed, F.col("epoch"), F.col("id")).alias("place"), "tokens")
