@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import by_size
+from gridloom.llm.common import by_size, materialise
 from gridloom.llm.shingles import mix
 
 BLOCK_BYTES = 4 << 20
@@ -337,17 +337,23 @@ def expected_pairs(scores: np.ndarray, counts: np.ndarray, transitions: np.ndarr
 
 def held_out(doc_id: Column) -> Column:
     """Whether a document is kept from the fit: a fifth of them, by checksum of the id."""
-    return F.crc32(doc_id.cast("string")) % 5 == 0
+    return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(False))
 
 
 def train(docs: DataFrame, settings: Settings | None = None, text: str = "text", lang: str = "lang", doc_id: str = "doc_id") -> Model:
     """A model fitted on a sample of the labelled documents that are not held out. Documents whose id, language or text is
-    null are not in it. No more than the sample per language leaves a task."""
+    null are not in it. Copies of a text count once. Of a text longer than ``settings.chars`` a part of that length is taken,
+    from a place that its hash tells. No more than the sample per language leaves a task."""
     settings = settings or Settings()
-    usable = docs.where(~held_out(F.col(doc_id)) & F.col(lang).isNotNull() & (F.length(text) <= settings.chars))
-    order = Window.partitionBy(lang).orderBy(F.xxhash64(doc_id), text)
-    rows = usable.select(lang, text, doc_id).withColumn("_place", F.row_number().over(order)).where(F.col("_place") <= settings.texts)
-    sample = rows.select(F.col(lang).alias("lang"), F.col(text).alias("text")).orderBy("lang", "text").collect()
+    chars, size = F.lit(settings.chars), F.length("text")
+    usable = docs.where(~held_out(F.col(doc_id)) & F.col(doc_id).isNotNull() & F.col(lang).isNotNull() & F.col(text).isNotNull())
+    usable = usable.select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.col(doc_id).alias("id")).withColumn("hash", F.xxhash64("text"))
+    ranked = usable.groupBy("lang", "hash").agg(F.min("id").alias("id"))
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "hash")
+    picked = materialise(ranked.withColumn("place", F.row_number().over(order)).where(F.col("place") <= settings.texts).drop("place"), "language-sample")
+    start = F.pmod(F.col("hash"), F.greatest(size - chars + 1, F.lit(1))).cast("int") + 1
+    rows = usable.join(picked, ["lang", "hash", "id"]).select("lang", "hash", F.substring("text", start, chars).alias("text"))
+    sample = rows.dropDuplicates(["lang", "hash"]).select("lang", "text").orderBy("lang", "text").collect()
     return fit([row["text"] for row in sample], [row["lang"] for row in sample], settings)
 
 
