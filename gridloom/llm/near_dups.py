@@ -20,7 +20,7 @@ from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridloom.llm import shingles
@@ -74,20 +74,26 @@ class Rule:
 
 
 def sign(docs: DataFrame, rule: Rule, text: str, doc_id: str) -> DataFrame:
-    """One row ``(doc_id, n_shingles, node, signature)`` per document; ``node`` names its set, null if that is empty."""
+    """One row ``(doc_id, text_hash, n_shingles, node, signature)`` per document; ``node`` names its set, null if that is empty."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in by_size(batches, text, BLOCK_BYTES):
-            values, counts = shingles.shingle_sets(part.column(text), rule.width)
+        for part in by_size(batches, "text", BLOCK_BYTES):
+            values, counts = shingles.shingle_sets(part.column("text"), rule.width)
             nodes, empty = shingles.set_nodes(values, counts).view(np.int64), counts == 0
             signatures = shingles.minhash(values, counts, rule.symbols)
             packed = pa.array([None if e else s.tobytes() for s, e in zip(signatures, empty, strict=True)], pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [part.column(doc_id), pa.array(counts.astype(np.int64)), pa.array(nodes, mask=empty), packed], ["doc_id", "n_shingles", "node", "signature"]
+                [part.column("id"), part.column("hash"), pa.array(counts.astype(np.int64)), pa.array(nodes, mask=empty), packed],
+                ["doc_id", "text_hash", "n_shingles", "node", "signature"],
             )
 
-    columns = docs.select(F.col(doc_id).cast("bigint").alias(doc_id), text)
-    return columns.mapInArrow(work, "doc_id bigint, n_shingles bigint, node bigint, signature binary")
+    columns = docs.select(F.col(doc_id).cast("bigint").alias("id"), text_hash(F.col(text)).alias("hash"), F.col(text).alias("text"))
+    return columns.mapInArrow(work, "doc_id bigint, text_hash bigint, n_shingles bigint, node bigint, signature binary")
+
+
+def text_hash(text: Column) -> Column:
+    """Tells rows apart that share a doc_id."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
 def matrix(column: pa.Array, symbols: int) -> np.ndarray:
@@ -234,7 +240,7 @@ def settle(rows: DataFrame, rule: Rule) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, rule: Rule | None = None, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``n_shingles`` (size of its set), ``component_id`` (smallest doc_id it can
-    reach through links, itself included) and ``kept`` (``doc_id = component_id``).
+    reach through links, itself included), ``kept`` (``doc_id = component_id``), and ``cluster`` and ``text_hash``, names of its component (null for an empty set) and text.
 
     A text of fewer words than a shingle has its whole sequence as one; a null text, or one without words, has an empty
     set and is linked with nothing. Rows of equal sets are linked and worked on as one. Rows that repeat a doc_id get
@@ -282,8 +288,9 @@ def near_duplicates(docs: DataFrame, rule: Rule | None = None, text: str = "text
     rooted = merged(rooted, links)
 
     least = rooted.join(sets.select("node", "min_id"), "node").groupBy("component").agg(F.min("min_id").alias("root_id"))
-    moved = rooted.join(least, "component").select("node", "root_id")
-    named = sets.select("node", "min_id").join(moved, "node", "left").select("node", F.coalesce("root_id", "min_id").alias("root_id"))
+    moved = rooted.join(least, "component").select("node", "root_id", "component")
+    named = sets.select("node", "min_id").join(moved, "node", "left")
+    named = named.select("node", F.coalesce("root_id", "min_id").alias("root_id"), F.coalesce("component", "node").alias("cluster"))
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.coalesce("root_id", "doc_id"))
-    out = signed.select("doc_id", "n_shingles", "node").join(named, "node", "left").withColumn("component_id", F.when(F.col("doc_id").isNotNull(), component))
-    return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+    out = signed.select("doc_id", "n_shingles", "node", "text_hash").join(named, "node", "left").withColumn("component_id", F.when(F.col("doc_id").isNotNull(), component))
+    return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"), "cluster", "text_hash")

@@ -148,7 +148,7 @@ def op6_pretoken_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_hamming_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dups.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), near_dups.Rule(percent=85))
+    return near_dups.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), near_dups.Rule(percent=85)).select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def op1_crf_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

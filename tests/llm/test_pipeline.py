@@ -80,3 +80,18 @@ def test_whole_run(spark, sf_dir, documents):
     out = corpus_pipeline.run(spark, sf_dir)
     kept = {r.doc_id for r in out.select("doc_id").collect()}
     assert 0.5 * documents.count() < len(kept) < documents.count()
+
+
+def test_rows_that_share_an_id_go_by_their_own_text(spark, documents):
+    r = random.Random(9)
+    text = lambda: " ".join(r.choice(["stone", "river", "cloud", "amber", "violet", "north", "lamp", "copper"]) + str(r.randint(0, 99)) for _ in range(60))
+    a, b, c = text(), text(), text()
+    rows = [(1, a), (2, a), (2, b), (3, b + " more"), (5, c), (5, c), (5, c.upper()), (6, c + " more words"), (7, None), (7, None), (7, ""), (None, a), (8, c[::-1]), (8, c[::-1] + " end")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], documents.schema)
+    kept = dict(corpus_pipeline.STAGES)["near_dedup"](spark, docs, "")
+    found = sorted(((x.doc_id, x.text) for x in kept.collect()), key=str)
+    assert kept.columns == docs.columns
+    assert [x for x in found if x[0] in (1, 2, 3)] == [(1, a), (2, b)]
+    assert len([x for x in found if x[0] == 5]) == 1 and not [x for x in found if x[0] == 6]
+    assert sorted(str(x[1]) for x in found if x[0] == 7) == ["", "None", "None"] and (None, a) in found
+    assert len([x for x in found if x[0] == 8]) == 1
