@@ -139,6 +139,25 @@ def grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def dated_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two sheets per year of orders: all of them, and most of the first quarter's, dates as serials or ISO text by turns."""
+    orders = table(spark, sf_dir, "orders").withColumn("y", F.year("o_orderdate").cast("string"))
+    day = F.col("o_orderdate").cast("date")
+    serial = F.datediff(day, F.lit("1899-12-30").cast("date")).cast("string")
+    text = F.when(F.col("o_orderkey") % 2 == 0, F.date_format("o_orderdate", "yyyy-MM-dd")).otherwise(serial)
+    gender = F.when(F.col("o_custkey") % 2 == 0, F.lit("M")).otherwise(F.lit("F"))
+    cells = F.array(text, (F.col("o_custkey") % 90).cast("string"), gender, F.col("o_orderpriority"))
+    header = F.array(*[F.lit(c) for c in ("Apprehension Date", "Age", "Gender", "Citizenship")])
+
+    def sheet(rows: DataFrame, name: str) -> DataFrame:
+        file = F.concat(F.lit("year_"), F.col("y"), F.lit(".xlsx")).alias("source_file")
+        heads = rows.select("y").distinct().select(file, F.lit(name).alias("source_sheet"), F.lit(1).cast("bigint").alias("row_number"), header.alias("cells"))
+        return heads.unionAll(rows.select(file, F.lit(name), F.col("o_orderkey").cast("bigint") + 2, cells))
+
+    quarter = orders.where((F.month("o_orderdate") <= 3) & (F.col("o_orderkey") % 10 != 0))
+    return sheet(orders, "all").unionAll(sheet(quarter, "q1"))
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A part per event type, and a second, slightly thinner release of one week of each."""
     source = table(spark, sf_dir, "events").withColumn("event_date", F.col("ts").cast("date"))

@@ -207,7 +207,7 @@ parts as (select n0 || '_' || event_type || '_all' part_file, event_type || '.xl
   where ts >= timestamp '2024-01-08' and ts < timestamp '2024-01-15' and value >= 1),
 meta as (select part_file, source_file, source_sheet, count(*) n_rows, min(event_date) min_date, max(event_date) max_date from parts group by all)"""
 
-PAIRS = EVENTS + """,
+PAIRS_OF_PARTS = """,
 pairs as (select row_number() over (order by s.min_date, s.max_date, s.part_file, l.min_date, l.max_date, l.part_file) pair_id,
     s.part_file smaller_file, s.min_date smaller_min_date, s.max_date smaller_max_date,
     l.part_file larger_file, l.min_date larger_min_date, l.max_date larger_max_date
@@ -221,6 +221,16 @@ compared as (select spine.*, coalesce(s.daily_count, 0) smaller_daily_count, coa
   from spine left join daily s on s.part_file = smaller_file and s.event_date = spine.event_date
   left join daily l on l.part_file = larger_file and l.event_date = spine.event_date)"""
 
+PAIRS = EVENTS + PAIRS_OF_PARTS
+
+DATED_SHEETS = """
+ord as (select year(o_orderdate) y, month(o_orderdate) m, o_orderkey k, cast(o_orderdate as date) event_date from orders),
+sheet_rows as (select 'year_' || cast(y as varchar) f, 'all' s, event_date from ord
+  union all select 'year_' || cast(y as varchar), 'q1', event_date from ord where m <= 3 and k % 10 <> 0),
+sheet_names as (select f, s, lpad(cast(row_number() over (order by f, s) as varchar), 4, '0') || '_' || f || '_' || s part_file from (select distinct f, s from sheet_rows) d),
+parts as (select part_file, f || '.xlsx' source_file, s source_sheet, event_date from sheet_rows join sheet_names using (f, s)),
+meta as (select part_file, source_file, source_sheet, count(*) n_rows, min(event_date) min_date, max(event_date) max_date from parts group by all)"""
+
 WEEKLY = EVENTS + """,
 weekly as (select source_file, source_sheet, cast(date_trunc('week', event_date) as date) week_start, count(*) event_count from parts group by all),
 numbered as (select w.*, split_part(m.part_file, '_', 1) part_number from weekly w left join meta m using (source_file, source_sheet))"""
@@ -527,5 +537,8 @@ ORACLE: dict[str, str] = {
         union all select 'part2.xlsx', o_orderkey, cast(o_orderdate as date), null, o_totalprice from orders""",
     # whole paths
     "release_monthly_counts": q(TYPED, "select source_file, cast(date_trunc('month', coalesce(cast(stamp_text as date), date_text)) as date) month_start, count(*) record_count from typed where coalesce(cast(stamp_text as date), date_text) >= date '1997-01-01' group by all"),
+    "release_overlaps": q(DATED_SHEETS + PAIRS_OF_PARTS, """select smaller_file, larger_file, count(*) days_compared,
+        count(*) filter (where smaller_daily_count = larger_daily_count) matching_days,
+        cast(sum(smaller_daily_count) as bigint) smaller_records_in_range, cast(sum(larger_daily_count) as bigint) larger_records_in_range from compared group by all"""),
     "release_grid_to_typed": q(WIDE, f"select source_file, {clean('gender')} gender, {clean('citizenship')} citizenship, count(*) n_rows, cast(sum(try_cast({clean('age')} as integer)) as bigint) total_age, count(nationality) n_nationality from wide group by all"),
 }

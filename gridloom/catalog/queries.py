@@ -22,7 +22,7 @@ from gridloom.operators import parts as pt
 from gridloom.operators import report as rp
 from gridloom.operators import typed as ty
 from gridloom.operators.common import materialise
-from gridloom.plans import release
+from gridloom.plans import release, validation
 from gridloom.plans.profiles import APPREHENSIONS
 from gridloom.session import scratch_path
 from gridloom.sources import footers, published, readers, sinks
@@ -761,6 +761,13 @@ def release_monthly_counts(spark, sf):
     return rp.monthly_counts_by_source(typed, date, SINCE, "record_count", stored_date=False)
 
 
+@register
+def release_overlaps(spark, sf):
+    """Sheets through all steps of a release: parts, metadata, stack, typed table, overlaps and reports, each published."""
+    done = validation.run_release(inputs.dated_grid(spark, sf), APPREHENSIONS, scratch_path(spark, "release"))
+    return done.overlaps.summary.select("smaller_file", "larger_file", "days_compared", "matching_days", "smaller_records_in_range", "larger_records_in_range")
+
+
 @register
 def release_grid_to_typed(spark, sf):
     """Sheets to typed table: header search, crosswalk, standardisation and typing in one plan."""
