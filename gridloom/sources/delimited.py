@@ -15,7 +15,7 @@ from collections.abc import Iterator, Mapping, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridloom.operators.common import CheckFailed, materialise
@@ -94,8 +94,9 @@ def pieces(rows: DataFrame, starts: DataFrame) -> DataFrame:
             yield row(REST if began_inside else BEGIN)
 
     schema = pa.schema([("file", pa.string()), ("range", pa.int64()), ("place", pa.int64()), ("kind", pa.int32()), ("record", pa.string())])
-    inside_ones = materialise(starts.where("inside"), "ranges-inside")
-    if inside_ones.count() <= LISTED:
+    seen = Observation()
+    inside_ones = materialise(starts.where("inside").observe(seen, F.count(F.lit(1)).alias("n")), "ranges-inside")
+    if seen.get["n"] <= LISTED:
         met = rows.join(F.broadcast(inside_ones), ["file", "range"], "left")  # rows keep their order
     else:
         numbered = rows.withColumn("id", F.monotonically_increasing_id())
@@ -148,8 +149,9 @@ def scan_releases(spark: SparkSession, releases: Sequence[tuple[str, str, str]],
     """The ``required`` columns of releases ``(id, release date, path)``, as text, by the header of each file, with ``benchmark_id``
     and ``release_date``. A path is a file or a folder of files. Raises if a file lacks a required column."""
     heads, rest = records(spark, [path for _, _, path in releases])
-    heads = materialise(heads, "csv-heads")
-    width = heads.agg(F.max(F.length("record") - F.length(F.replace("record", F.lit(","), F.lit(""))))).first()[0]
+    seen, commas = Observation(), F.length("record") - F.length(F.replace("record", F.lit(","), F.lit("")))
+    heads = materialise(heads.observe(seen, F.max(commas).alias("commas")), "csv-heads")
+    width = seen.get["commas"]
     names = [F.lit(name) for name in required]
     tags = spark.createDataFrame([(whole_path(spark, path), name, day) for name, day, path in releases], "path string, benchmark_id string, release_date string")
     width = (width or 0) + 1
@@ -157,10 +159,13 @@ def scan_releases(spark: SparkSession, releases: Sequence[tuple[str, str, str]],
     at = F.regexp_replace("file", "^([a-z0-9]+):/+", "$1:/")
     tagged = parsed.select("file", "names", F.explode(F.array(at, F.regexp_replace(at, "/[^/]*$", ""))).alias("path")).join(tags, "path")
     places = F.transform(F.array(*names), lambda n: F.array_position("names", n).cast("int"))
-    layout = materialise(tagged.select("file", "benchmark_id", F.col("release_date").cast("date").alias("release_date"), places.alias("places")), "csv-layout")
-    lacking = layout.where(F.array_contains("places", 0)).select("benchmark_id", F.array_join(F.filter(F.transform(F.arrays_zip(F.array(*names).alias("n"), F.col("places").alias("p")), lambda x: F.when(x["p"] == 0, x["n"])), lambda x: x.isNotNull()), ", ").alias("missing"))
-    if found := lacking.first():
-        raise CheckFailed(f"Release {found.benchmark_id} lacks required columns: {found.missing}")
+    tagged = tagged.select("file", "benchmark_id", F.col("release_date").cast("date").alias("release_date"), places.alias("places"))
+    lacking = F.count_if(F.array_contains("places", 0)).alias("lacking")
+    layout = materialise(tagged.observe(seen := Observation(), lacking), "csv-layout")
+    if seen.get["lacking"]:
+        found = layout.where(F.array_contains("places", 0)).first()
+        missing = [name for name, place in zip(required, found.places, strict=True) if not place]
+        raise CheckFailed(f"Release {found.benchmark_id} lacks required columns: {', '.join(missing)}")
     rows = rest.join(layout, "file").withColumn("parsed", fields(F.col("record"), width)).withColumn("values", listed("parsed", width))
     values = [F.get("values", F.get("places", F.lit(i)) - 1).alias(name) for i, name in enumerate(required.values())]
     return rows.select(*values, "benchmark_id", "release_date")
