@@ -255,10 +255,10 @@ def crosswalk_apply(spark, sf):
 @register
 def crosswalk_lost(spark, sf):
     """Columns that a crosswalk made from the first two columns of each sheet does not list."""
-    grid = inputs.grid(spark, sf)
-    earlier = _inventory(grid).where(F.col("column_position") <= 2)
+    inventory = materialise(_inventory(inputs.grid(spark, sf)), "inventory")
+    earlier = inventory.where(F.col("column_position") <= 2)
     crosswalk = cw.crosswalk_apply(earlier.select("clean_column", "raw_column").distinct(), _rules(spark))
-    return cw.crosswalk_lost(_distinct_columns(grid), crosswalk)
+    return cw.crosswalk_lost(cw.distinct_columns(inventory).select("clean_column", "raw_column", "n_files"), crosswalk)
 
 
 @register

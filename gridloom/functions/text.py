@@ -71,20 +71,17 @@ def redaction_flag(c: Column) -> Column:
 def clean_names(c: Column) -> Column:
     """Free-text header to snake_case. Names left empty become ``x``; NULL stays NULL."""
     s = F.when(c.rlike("[\u00c0-\u017f]"), F.translate(c, ACCENTED, UNACCENTED)).otherwise(c)
-    s = F.regexp_replace(s, "[\"']", "")
-    s = F.regexp_replace(s, "%", "_percent_")
-    s = F.regexp_replace(s, "#", "_number_")
-    s = F.regexp_replace(s, "([a-z])([A-Z])", "$1_$2")
-    s = F.regexp_replace(s, "([A-Z])([A-Z][a-z])", "$1_$2")
-    s = F.regexp_replace(F.lower(s), "[^a-z0-9]+", "_")
-    s = F.regexp_replace(s, "^_+|_+$", "")
-    return F.regexp_replace(s, "^([0-9]|$)", "x$1")
+    s = F.translate(s, "\"'", "")
+    s = F.replace(F.replace(s, F.lit("%"), F.lit("_percent_")), F.lit("#"), F.lit("_number_"))
+    # Words begin at a capital after a small letter, and at the last of several capitals before one.
+    s = F.regexp_replace(s, "(?<=[a-z])(?=[A-Z])|(?<=[A-Z])(?=[A-Z][a-z])", "_")
+    s = F.trim(F.regexp_replace(F.lower(s), "[^a-z0-9]+", "_"), F.lit("_"))
+    return F.when((s == "") | F.substring(s, 1, 1).between("0", "9"), F.concat(F.lit("x"), s)).otherwise(s)
 
 
 def normalise_cell(c: Column) -> Column:
     """Form in which a data cell is compared with its own column header."""
-    s = F.regexp_replace(F.lower(squish(c)), "[^a-z0-9]+", "_")
-    return F.regexp_replace(s, "^_|_$", "")
+    return F.trim(F.regexp_replace(F.lower(c), "[^a-z0-9]+", "_"), F.lit("_"))  # white space goes with the rest
 
 
 def file_name(c: Column) -> Column:

@@ -13,8 +13,11 @@ from gridloom.operators.grid import SHEET
 
 def rules_frame(spark: SparkSession, rules: Mapping[str, tuple[str, ...]]) -> DataFrame:
     """Rules written as ``canonical -> variants`` as a two-column frame, a literal table of known size."""
-    rows = ", ".join(f"('{variant}', '{canonical}')" for canonical, variants in rules.items() for variant in variants)
-    return spark.sql(f"select * from values {rows} as rules(clean_column, canonical_name)")
+    pairs = [(variant, canonical) for canonical, variants in rules.items() for variant in variants]
+    if not pairs:
+        return spark.range(0).select(F.lit("").alias("clean_column"), F.lit("").alias("canonical_name"))
+    rows = [F.struct(F.lit(variant).alias("clean_column"), F.lit(canonical).alias("canonical_name")) for variant, canonical in pairs]
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def distinct_columns(inventory: DataFrame, examples: int = 5) -> DataFrame:

@@ -140,7 +140,13 @@ def sheet_layouts(inventory: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def repeats_header(cells: Column, named: Column, threshold: int) -> Column:
-    same = F.filter(named, lambda column: F.coalesce(normalise_cell(F.get(cells, column["index"])) == column["name"], F.lit(False)))
+    def equal(column: Column) -> Column:
+        # Most cells are not even near their header: the name's first word is looked for before the cell is normalised.
+        cell = F.get(cells, column["index"])
+        near = F.contains(F.lower(cell), F.substring_index(column["name"], "_", 1))
+        return F.coalesce(near & (normalise_cell(cell) == column["name"]), F.lit(False))
+
+    same = F.filter(named, equal)
     return F.size(same) >= threshold
 
 

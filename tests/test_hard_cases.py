@@ -6,8 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridloom.functions.dates import parse_date_ladder
-from gridloom.functions.text import has_data, squish
+from gridloom.functions.text import clean_names, has_data, squish
 from gridloom.operators import benchmark as bm
+from gridloom.operators import crosswalk as cw
 from gridloom.operators import grid as g
 from gridloom.operators import overlap as ov
 from gridloom.operators import report as rp
@@ -107,3 +108,16 @@ def test_ranges_to_the_end_of_the_calendar(spark):
     summary = {(r.smaller_file, r.larger_file): r for r in ov.pair_summary(pairs, counts).collect()}
     assert summary["b", "a"].all_daily_counts_match and summary["b", "a"].days_compared == (rows[1][2] - rows[1][1]).days + 1
     assert summary["a", "c"].differing_days == 2 and summary["a", "c"].maximum_absolute_daily_difference == 2
+
+
+def test_rules_with_quotes(spark):
+    rules = cw.rules_frame(spark, {"o'clock": ("it's", "a\\b"), "plain": ()})
+    assert sorted(map(tuple, rules.collect())) == [("a\\b", "o'clock"), ("it's", "o'clock")]
+    assert cw.rules_frame(spark, {}).count() == 0
+
+
+def test_names_as_two_passes_give_them(spark):
+    texts = ["ABc aBCd ABCdEf", "a%b#c", "9lives", "", " _x_ ", "ÀÉ\"q'", "XMLHttpRequest2Go", "__", " Name (s) "]
+    expected = ["a_bc_a_b_cd_ab_cd_ef", "a_percent_b_number_c", "x9lives", "x", "x", "a_eq", "xml_http_request2go", "x", "name_s"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", clean_names(F.col("t")).alias("n"))
+    assert [r.n for r in rows.orderBy("i").collect()] == expected
