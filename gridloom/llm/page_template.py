@@ -72,12 +72,12 @@ ATTRIBUTE = re.compile(r"(?<![\w-])(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\
 @dataclass(frozen=True)
 class Settings:
     """A class is frequent if it is on ``tag_share`` of a host's different pages, or ``text_share`` of them for its text to be the
-    template's, and large if it has ``size`` tokens. Text is only deduced from ``pages`` different pages on."""
+    template's, and large if it has ``size`` tokens. What one page alone has tells nothing: a class is on two different
+    pages at least."""
 
     tag_share: float = 0.5
     text_share: float = 0.9
     size: int = 3
-    pages: int = 10
 
 
 @dataclass(frozen=True)
@@ -246,7 +246,7 @@ def candidate_classes(pages: DataFrame, settings: Settings) -> DataFrame:
     sizes = contents.groupBy(F.col("_host").alias("host")).agg(F.count("*").alias("n"))
     named = counted.join(materialise(sizes, "template-hosts"), "host").where(
         (F.col("support") >= settings.tag_share * F.col("n"))
-        & (~F.col("is_text") | ((F.col("support") >= settings.text_share * F.col("n")) & (F.col("n") >= settings.pages)))
+        & (~F.col("is_text") | ((F.col("support") >= settings.text_share * F.col("n")) & (F.col("support") > 1)))
     )
     classes = named.select("host", "token", F.xxhash64("one", "two", "support").alias("class"))
     large = classes.groupBy("host", "class").agg(F.collect_list("token").alias("own")).where(F.size("own") >= settings.size)

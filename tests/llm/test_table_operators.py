@@ -128,10 +128,12 @@ def test_main_text_of_hard_pages(spark):
 def test_template_text_goes_where_elements_do_not_tell(spark):
     body = lambda i: f"<div><p>Welcome to the site</p></div><div><h1>title {i}</h1><p>story {i} of many</p></div><div><p>All rights reserved</p></div>"
     rows = [(i, f"s://h.example/{i}", page(body(i))) for i in range(30)] + [(100 + i, f"s://small.example/{i}", page(body(i))) for i in range(3)]
+    rows += [(200 + i, "s://single.example/", page(body(7))) for i in range(2)]
     out = {r.page_id: r.text for r in page_template.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert all(out[i] == f"title {i}\nstory {i} of many" for i in range(30))
-    # Too few pages to deduce text from: nothing is taken away.
-    assert out[101] == "Welcome to the site\ntitle 1\nstory 1 of many\nAll rights reserved"
+    # Few pages tell as much, if they differ; a host of one page has no template.
+    assert [out[100 + i] for i in range(3)] == [f"title {i}\nstory {i} of many" for i in range(3)]
+    assert out[200] == "Welcome to the site\ntitle 7\nstory 7 of many\nAll rights reserved"
 
 
 MARKED = {
