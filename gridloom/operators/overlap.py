@@ -69,8 +69,8 @@ def _pieces(ends: DataFrame, piece: int) -> tuple[DataFrame, DataFrame]:
     running = F.sum(F.col("s") + F.col("l")).over(Window.partitionBy(*block).orderBy("end").rowsBetween(Window.unboundedPreceding, -1))
     places = ends.join(heavy, block).withColumn("slice", F.floor(F.coalesce(running, F.lit(0)) / piece))
     slices = places.groupBy(*block, "slice").agg(F.sum("s").alias("s"), F.sum("l").alias("l"))
-    here = slices.where("s > 0").select(*block, F.col("slice").alias("low"), F.ceil(F.col("s") / piece).alias("parts_s"))
-    there = slices.where("l > 0").select(*block, F.col("slice").alias("high"), F.ceil(F.col("l") / piece).alias("parts_l"))
+    here = slices.where("s > 0").select(*block, F.col("slice").alias("low"), F.ceil(F.col("s") / piece).alias("parts_smaller"))
+    there = slices.where("l > 0").select(*block, F.col("slice").alias("high"), F.ceil(F.col("l") / piece).alias("parts_larger"))
     return places.select(*block, "end", "slice"), here.join(there, block).where("low <= high")
 
 
@@ -96,16 +96,18 @@ def containing_pairs(metadata: DataFrame, piece: int = PIECE) -> DataFrame:
         return _covering(smaller, larger, block)
     cut = grid.select(*block).distinct()
     light = _covering(smaller.join(cut, block, "left_anti"), larger.join(cut, block, "left_anti"), block)
-    # Either side of a piece is dealt by name; each deal meets each of the other side's.
-    dealt = lambda side, parts: F.pmod(F.xxhash64(f"{side}_file"), F.col(parts)).alias(f"deal_{side}")
-    every = lambda side, parts: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(parts) - 1)).alias(f"deal_{side}")
-    at = lambda side: F.col(f"{side}_max_date") == F.col("end")
-    keys = [*block, "low", "high", "deal_smaller", "deal_larger"]
-    one = smaller.join(places.withColumnsRenamed({"level": "level_", "at": "at_"}), (F.col("level") == F.col("level_")) & (F.col("at") == F.col("at_")) & at("smaller"))
-    two = larger.join(places.withColumnsRenamed({"level": "level_", "at": "at_"}), (F.col("level") == F.col("level_")) & (F.col("at") == F.col("at_")) & at("larger"))
-    one = one.withColumnRenamed("slice", "low").join(grid, [*block, "low"]).select("smaller_file", "smaller_min_date", "smaller_max_date", *keys[:4], dealt("smaller", "parts_s"), every("larger", "parts_l"))
-    two = two.withColumnRenamed("slice", "high").join(grid, [*block, "high"]).select("larger_file", "larger_min_date", "larger_max_date", *keys[:4], dealt("larger", "parts_l"), every("smaller", "parts_s"))
-    return light.unionAll(_covering(one, two, keys))
+    there = places.select(*(F.col(c).alias(f"_{c}") for c in places.columns))
+
+    def in_pieces(rows: DataFrame, side: str, other: str, of_slice: str) -> DataFrame:
+        """Rows of one side in all pieces of their slice. They are dealt by name, each deal to every one of the other side's."""
+        here = (F.col("level") == F.col("_level")) & (F.col("at") == F.col("_at")) & (F.col(f"{side}_max_date") == F.col("_end"))
+        met = rows.join(there, here).withColumn(of_slice, F.col("_slice")).join(grid, [*block, of_slice])
+        dealt = F.pmod(F.xxhash64(f"{side}_file"), F.col(f"parts_{side}")).alias(f"deal_{side}")
+        every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(f"parts_{other}") - 1)).alias(f"deal_{other}")
+        return met.select(*(f"{side}_{c}" for c in ("file", "min_date", "max_date")), *block, "low", "high", dealt, every)
+
+    one, two = in_pieces(smaller, "smaller", "larger", "low"), in_pieces(larger, "larger", "smaller", "high")
+    return light.unionAll(_covering(one, two, [*block, "low", "high", "deal_smaller", "deal_larger"]))
 
 
 def _covering(smaller: DataFrame, larger: DataFrame, keys: list[str]) -> DataFrame:

@@ -331,7 +331,7 @@ def test_cut_pieces_are_in_proportion_to_the_pairs(spark):
     ends = ov._ends(smaller, larger)
     places, grid = ov._pieces(ends, 16)
     sizes = {r.slice: r.n for r in places.join(ends, ["level", "at", "end"]).groupBy("slice").agg(F.sum(F.col("s") + F.col("l")).alias("n")).collect()}
-    assert sum(sizes.values()) == 1200 and max(sizes.values()) <= 2 * 16 and all(r.low <= r.high and r.parts_s * 16 >= 1 for r in grid.collect())
+    assert sum(sizes.values()) == 1200 and max(sizes.values()) <= 2 * 16 and all(r.low <= r.high and r.parts_smaller * 16 >= 1 for r in grid.collect())
     found = ov.containing_pairs(metadata, 16)
     assert found.count() == sum(1 for a in rows for b in rows if a[0] != b[0] and b[1] <= a[1] and b[2] >= a[2] and (b[1:3] != a[1:3] or a[0] < b[0]))
 
