@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from gridloom.llm.common import by_size, materialise
 from gridloom.llm.shingles import mix
 
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 SEGMENT = 32
 UNKNOWN = "und"
 #: How far below the mean of the sample's texts one may be, in standard deviations, and still count as known.
