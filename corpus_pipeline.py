@@ -13,21 +13,28 @@ from pyspark.sql import functions as F
 from gridloom.llm import decontam, language_crf, mixing, near_dups, pseudonyms
 from gridloom.llm.common import importable, materialise, table
 
+#: Share of a text's words from which on its language is the one found, whatever is stated.
+SURE = 0.85
 NEAR = near_dups.Rule(percent=80)
 #: Edits per character of a benchmark item within which a text holds it.
 EDITS = 0.05
 #: A key for tests; a real one comes from a vault.
 KEY = "not a secret"
-MIX = mixing.Target(entropy=0.95, max_repeat=4.0)
+MIX = mixing.Target(entropy=0.95, max_repeat=4.0, whole=True)
 SEED = 11
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts in languages that the labelled ones teach, also if they switch between them; others go, by their letters, as do
-    texts without a letter."""
+    texts without a letter.
+
+    ``lang`` is the language that the field finds in the text: where none is stated, and where it has nearly all words
+    (``SURE``). Else the stated one stays, as in texts that are mixed or too short to tell. ``mix`` goes by it.
+    """
     importable(spark)
-    found = language_crf.predict(docs, language_crf.train(docs), known=True)
-    return found.where("known").select(docs.columns)
+    found = language_crf.predict(docs, language_crf.train(docs), known=True).where("known")
+    lang = F.when(F.col("lang").isNull() | (F.col("score") >= SURE), F.col("lang_pred")).otherwise(F.col("lang"))
+    return found.withColumn("lang", lang).select(docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -75,8 +82,9 @@ def pseudonymise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The training schedule: a row for each time a document is used, with ``epoch``, ``place`` and ``tokens``."""
-    return mixing.mix(docs, MIX, seed=SEED)
+    """The training schedule: a row for each time a document is used, with ``epoch``, ``place`` and ``tokens``. Weights are
+    those of each source's languages: a rare one is used more often, and every document with words once at least."""
+    return mixing.mix(docs, MIX, seed=SEED, source=("source", "lang"))
 
 
 STAGES = [

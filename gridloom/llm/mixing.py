@@ -9,7 +9,7 @@ the first part of one more.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -27,20 +27,27 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^ \t\n\x0B\f\r]+")), F.lit(0)).cast("bigint")
 
 
-def _key(source: Column) -> Column:
-    """Source as a join key; null is a source of its own."""
-    return F.coalesce(F.concat(F.lit("="), source.cast("string")), F.lit("null"))
+def _names(source: str | Sequence[str]) -> list[str]:
+    return [source] if isinstance(source, str) else list(source)
+
+
+def _key(source: str | Sequence[str]) -> Column:
+    """Source as a join key; null is a source of its own. Of several columns every combination is a source."""
+    *more, last = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("null")) for c in _names(source)]
+    # Lengths go before all but the last, so that no two combinations give the same key.
+    return F.concat(*(x for part in more for x in (F.length(part).cast("string"), part)), last)
 
 
 @dataclass(frozen=True)
 class Target:
     """``entropy``: share of the largest possible entropy, the logarithm of the number of sources, that weights shall reach.
     ``max_repeat``: how often a source's tokens may be used at most. ``budget``: tokens to schedule; None: as many as
-    there are."""
+    there are. With ``whole`` it is the least that leaves no source short of one epoch, so that no document is left out."""
 
     entropy: float = 0.95
     max_repeat: float = 4.0
     budget: int | None = None
+    whole: bool = False
 
 
 def _bisect(holds: Callable[[float], bool], low_side: bool) -> float:
@@ -64,34 +71,39 @@ def find_exponent(shares: DataFrame, target: Target, budget: int) -> float:
 
     def sums(a: float):
         powered = F.exp(a * F.log("p"))
-        return shares.agg(F.sum(powered), F.sum(powered * a * F.log("p")), F.max(powered / F.col("n"))).first()
+        return shares.agg(F.sum(powered), F.sum(powered * a * F.log("p")), F.max(powered / F.col("n")), F.max(F.col("n") / powered)).first()
 
     def spread_enough(a: float) -> bool:
-        z, zlog, _ = sums(a)
+        z, zlog, _, _ = sums(a)
         return math.log(z) - zlog / z >= target.entropy * math.log(sources)
 
     def seldom_enough(a: float) -> bool:
-        z, _, most = sums(a)
-        return most * budget / z <= target.max_repeat
+        z, _, most, once = sums(a)
+        return most * (once * z if target.whole else budget) / z <= target.max_repeat
 
     a = max(_bisect(spread_enough, True), _bisect(seldom_enough, False) if seldom_enough(1.0) else 1.0)
     return round(a, 6)
 
 
-def plan(docs: DataFrame, target: Target, source: str = "source", tokens: str = "tokens") -> DataFrame:
+def plan(docs: DataFrame, target: Target, source: str | Sequence[str] = "source", tokens: str = "tokens") -> DataFrame:
     """One row per source with tokens: ``key``, ``n`` tokens, ``weight``, ``quota`` tokens to schedule, ``epochs`` whole
     permutations and ``rest`` tokens of one more. ``docs`` are aggregated by source before they are shuffled."""
     ensure_checkpoint_dir(docs.sparkSession)
-    sums = docs.groupBy(_key(F.col(source)).alias("key")).agg(F.sum(tokens).alias("n")).where("n > 0").checkpoint()
+    sums = docs.groupBy(_key(source).alias("key")).agg(F.sum(tokens).alias("n")).where("n > 0").checkpoint()
     all_tokens = sums.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     budget = all_tokens if target.budget is None else target.budget
     shares = sums.withColumn("p", F.col("n") / F.lit(float(max(all_tokens, 1))))
     a = find_exponent(shares, target, budget) if all_tokens else 1.0
     powered = F.exp(a * F.log("p"))
-    z = shares.agg(F.sum(powered)).first()[0] or 1.0
+    z, once = shares.agg(F.sum(powered), F.max(F.col("n") / powered)).first()
+    z = z or 1.0
     weight = powered / z
+    if target.whole:
+        budget = math.ceil((once or 0.0) * z)
     # Rounded first: a product that is a whole number but for floating point is that number.
     quota = F.least(F.floor(F.round(weight * budget, 3)), F.floor(F.col("n") * F.lit(target.max_repeat)))
+    if target.whole:
+        quota = F.greatest(quota, F.col("n"))
     out = shares.select("key", "n", weight.alias("weight"), quota.cast("bigint").alias("quota"))
     return materialise(
         out.withColumn("epochs", F.floor(F.col("quota") / F.col("n")).cast("int")).withColumn("rest", F.col("quota") - F.col("epochs") * F.col("n")),
@@ -141,15 +153,18 @@ def find_cuts(keys: DataFrame, rests: DataFrame) -> DataFrame:
     return state.select("key", "cut")
 
 
-def mix(docs: DataFrame, target: Target | None = None, tokens: Column | None = None, seed: int = 0, source: str = "source", doc_id: str = "doc_id") -> DataFrame:
+def mix(
+    docs: DataFrame, target: Target | None = None, tokens: Column | None = None, seed: int = 0, source: str | Sequence[str] = "source", doc_id: str = "doc_id"
+) -> DataFrame:
     """The schedule: the columns of ``docs`` with ``epoch`` (from 1), ``place`` and ``tokens`` added, one row for each time
     a document is used. Read by epoch and place it is the training order: each epoch of a source is a permutation of all its
     documents, the last one the beginning of a permutation.
 
     The tokens of a source never pass its quota; they fall short of it by less than one document (with equal places,
     that is equal ids, by less than those together). ``tokens`` is the number of tokens of a document, by default its words;
-    null counts as none. Documents without tokens are in no epoch. A null source is a source of its own. Columns of
-    ``docs`` named like the added ones are replaced. No documents, no rows.
+    null counts as none. Documents without tokens are in no epoch. A null source is a source of its own; of several
+    columns named as ``source``, every combination is one. Columns of ``docs`` named like the added ones are replaced.
+    No documents, no rows.
 
     Documents are read three times and never shuffled, unless there are so many sources that the table of them is too
     large to be broadcast by Spark's own threshold.
@@ -158,8 +173,8 @@ def mix(docs: DataFrame, target: Target | None = None, tokens: Column | None = N
     counted = docs.drop("epoch", "place").withColumn("tokens", F.coalesce((word_count(F.col("text")) if tokens is None else tokens).cast("bigint"), F.lit(0)))
     names = [c for c in counted.columns if c != "tokens"]
     # The row goes along as one value, so that no column of it can clash with those of the plan.
-    sized = counted.where("tokens > 0").select(F.struct(*names).alias("row"), F.col(doc_id).alias("id"), "tokens", _key(F.col(source)).alias("key"))
-    quotas = plan(counted.select(source, "tokens"), target, source)
+    sized = counted.where("tokens > 0").select(F.struct(*names).alias("row"), F.col(doc_id).alias("id"), "tokens", _key(source).alias("key"))
+    quotas = plan(counted.select(*_names(source), "tokens"), target, source)
     joined = sized.join(quotas.select("key", "epochs", "rest"), "key")
     last = order_key(seed, F.col("epochs") + 1, F.col("id"))
     keys = materialise(joined.where("rest > 0").select("key", last.alias("place"), "tokens"), "mix-keys")

@@ -4,8 +4,10 @@ import random
 
 import corpus_pipeline
 import pytest
+from pyspark.sql import functions as F
 
 from gridloom.llm import near_dups
+from gridloom.llm.common import materialise
 
 WORDS = "the of and to in is was for that on"
 
@@ -95,3 +97,27 @@ def test_rows_that_share_an_id_go_by_their_own_text(spark, documents):
     assert len([x for x in found if x[0] == 5]) == 1 and not [x for x in found if x[0] == 6]
     assert sorted(str(x[1]) for x in found if x[0] == 7) == ["", "None", "None"] and (None, a) in found
     assert len([x for x in found if x[0] == 8]) == 1
+
+
+def test_language_found_in_a_text_is_its_language(spark, sf_dir, documents):
+    first = lambda lang: documents.where(f"lang = '{lang}' AND n_chars BETWEEN 600 AND 3000").orderBy("doc_id").first().text
+    de, en, fr = first("de"), first("en"), first("fr")
+    cut = lambda text: text[:300]
+    rows = [(9001, fr, None), (9002, de, "en"), (9003, de, "de"), (9004, cut(en) + " " + cut(fr), "fr"), (9005, cut(en) + " " + cut(fr), "en"), (9006, "12", "en")]
+    docs = added(documents, [(i, t, lang, "s", len(t)) for i, t, lang in rows])
+    out = dict(corpus_pipeline.STAGES)["language_id"](spark, docs, sf_dir)
+    found = {r.doc_id: r.lang for r in out.collect()}
+    assert {i: found[i] for i in found if i > 9000} == {9001: "fr", 9002: "de", 9003: "de", 9004: "fr", 9005: "en"}
+    assert out.schema.simpleString() == docs.schema.simpleString()
+
+
+def test_schedule_goes_by_the_language_found(spark, sf_dir, documents):
+    stages = dict(corpus_pipeline.STAGES)
+    # The model is not learned from documents held out, so it is the same without their languages.
+    bare = documents.withColumn("lang", F.expr("CASE WHEN crc32(CAST(doc_id AS STRING)) % 5 <> 0 THEN lang END"))
+    plan = lambda docs: sorted((r.doc_id, r.epoch, r.place, str(r.lang)) for r in stages["mix"](spark, docs, sf_dir).collect())
+    stated, found = (materialise(stages["language_id"](spark, docs, sf_dir), "test-language") for docs in (documents, bare))
+    used = {(i, epoch) for i, epoch, *_ in plan(stated)}
+    assert plan(found) == plan(stated)
+    assert {i for i, _ in used} == {r.doc_id for r in stated.where("text RLIKE '[^ \\\\t\\\\n\\\\x0B\\\\f\\\\r]'").collect()}
+    assert {(i, epoch) for i, epoch, *_ in plan(bare)} != used != {(i, epoch) for i, epoch, *_ in plan(documents.withColumn("lang", F.lit("en")))}

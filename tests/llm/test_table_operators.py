@@ -82,6 +82,28 @@ def test_weights_reach_the_entropy_and_the_schedule_the_weights(spark):
     assert any(places[r.doc_id] != r.place for r in rows if r.epoch == 2)
 
 
+def test_combinations_of_columns_are_sources(spark):
+    pairs = [("a", "b=c"), ("a=b", "c"), ("a", None), (None, "a"), ("null", None), (None, "null"), (None, None), ("1", "2=null")]
+    rows = [(i, *pairs[i % 8], "w " * (1 + i % 8)) for i in range(800)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, lang string, text string")
+    found = {(r.key, r.n) for r in mixing.plan(docs.withColumn("tokens", mixing.word_count(F.col("text"))), mixing.Target(), ("source", "lang")).collect()}
+    assert len({key for key, _ in found}) == 8 and sorted(n for _, n in found) == [100 * n for n in range(1, 9)]
+    # One column that tells the same combinations apart gives the same schedule.
+    one = docs.withColumn("both", F.to_json(F.array("source", "lang")))
+    plain = lambda source: sorted((r.doc_id, r.epoch, r.place) for r in mixing.mix(one, mixing.Target(entropy=0.98), seed=3, source=source).collect())
+    assert plain(("source", "lang")) == plain("both") == plain(["both"]) != plain("source")
+
+
+def test_whole_schedule_leaves_no_document_out(spark):
+    docs = mix_docs(spark).where("doc_id <> 5002")
+    some, every = (mixing.mix(docs, mixing.Target(entropy=0.9, max_repeat=4.0, whole=x), seed=3).collect() for x in (False, True))
+    ids = {r.doc_id for r in docs.where("source IS NULL OR source <> 'empty'").select("doc_id").union(docs.where("doc_id IS NULL").select("doc_id")).collect()} - {5000, 5001}
+    assert {r.doc_id for r in every} | {None} == ids | {None} != {r.doc_id for r in some} | {None}
+    n = {r.source: r.n for r in docs.groupBy("source").agg(F.sum(mixing.word_count(F.col("text"))).alias("n")).collect() if r.n}
+    used = {source: sum(r.tokens for r in every if r.source == source) / n[source] for source in n}
+    assert used["big"] == 1 and used["mid"] > 1.2 and max(used.values()) <= 4
+
+
 @pytest.mark.parametrize("target", [mixing.Target(entropy=1.0, max_repeat=1.5), mixing.Target(entropy=0.0), mixing.Target(budget=0), mixing.Target(budget=10**7, max_repeat=2.0)])
 def test_limits_hold(spark, target):
     docs = mix_docs(spark)
